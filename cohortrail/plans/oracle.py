@@ -353,6 +353,7 @@ def statements() -> dict[str, str]:
             f" {micros('ts')} AS ts FROM web"
         ),
     }
+    out["state_from_logs"] = out["device_state_snapshot"]
     out["launch_daily_stream"] = out["launch_daily_base"]
     out["app_tables_stream"] = out["daily_base_full"]
     out["web_daily_stream"] = out["web_daily_base"]

@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortrail.operators import attribution, registry, stats, timeline
+from cohortrail.operators.skew import materialize
 from cohortrail.plans import tables
+from cohortrail.plans.replay import replay
 from cohortrail.schemas import FIRST, LAUNCH, PAY, REG
 from cohortrail.sources import given_tables as given
-from cohortrail.sources import payload
+from cohortrail.sources import payload, stored
+from cohortrail.streaming.streams import AppStream, WebStream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,6 +181,39 @@ def web_payload_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(tagged, "event_id", "app_id", "media_clickid", "media_creativeid", "plan_id", "channel_id", "ts")
 
 
+STREAM_RUNS = 3
+
+
+def _app_stream(raw: DataFrame, sf_dir: str) -> AppStream:
+    spark = raw.sparkSession
+    return replay(raw, STREAM_RUNS, lambda root: AppStream(spark, root, lambda: given.clicks(spark, sf_dir)))
+
+
+def launch_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Launch statistics of the launch topic, damaged messages included, streamed in three runs."""
+    stream = _app_stream(given.raw_payloads(spark, sf_dir).where(f"kind = '{LAUNCH}'"), sf_dir)
+    return present(stream.current(stream.daily), *_DAILY_KEY, *LAUNCH_COUNTS)
+
+
+def app_tables_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship from all three topics, streamed in three runs."""
+    stream = _app_stream(given.raw_payloads(spark, sf_dir), sf_dir)
+    return present(stream.current(stream.daily).drop(*FIRST))
+
+
+def web_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = replay(given.raw_web_payloads(spark, sf_dir), STREAM_RUNS, lambda root: WebStream(spark, root))
+    return present(stream.current(stream.daily).drop(*FIRST))
+
+
+def state_from_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device state rebuilt from the log tables alone."""
+    logs = materialize(tables.app_logs(_step(spark, sf_dir).facts), "logs")
+    parts = {name: logs.where(f"log = '{name}'") for name in tables.APP_LOGS}
+    state = stored.state_from_logs(parts["active"], parts["launch"], parts["reg_first"], parts["pay"])
+    return present(stored.split_incomplete(state)[0])
+
+
 def registered() -> dict[str, Query]:
     return {
         "daily_base_full": daily_base_full,
@@ -210,4 +246,8 @@ def registered() -> dict[str, Query]:
         "web_retention": web_retention,
         "web_logs": web_logs,
         "web_state": web_state,
+        "state_from_logs": state_from_logs,
+        "launch_daily_stream": launch_daily_stream,
+        "app_tables_stream": app_tables_stream,
+        "web_daily_stream": web_daily_stream,
     }

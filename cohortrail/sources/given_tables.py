@@ -105,7 +105,7 @@ def typed_clicks(events: DataFrame) -> DataFrame:
 
 
 def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The app topics as JSON text, `kind, value`. Errors become damaged launches: cut text, a platform that does
+    """The app topics as JSON text, `ts, kind, value`. Errors become damaged launches: cut text, a platform that does
     not exist, or no platform at all."""
     return raw_app_payloads(table(spark, sf_dir, "events"))
 
@@ -134,11 +134,12 @@ def raw_app_payloads(events: DataFrame) -> DataFrame:
     return (
         events.where("event_type <> 'click'")
         .selectExpr(
+            "ts",
             f"coalesce({_KIND}, '{LAUNCH}') AS kind",
             f"to_json(named_struct({struct})) AS text",
             f"({error} AND {_K} % 3 = 0) AS cut",
         )
-        .selectExpr("kind", "CASE WHEN cut THEN left(text, length(text) - 2) ELSE text END AS value")
+        .selectExpr("ts", "kind", "CASE WHEN cut THEN left(text, length(text) - 2) ELSE text END AS value")
     )
 
 
@@ -173,7 +174,7 @@ def typed_web_events(events: DataFrame) -> DataFrame:
 def raw_web_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = [f"'{c}', {c}" for c in WEB_EVENT.fieldNames() if c not in ("ts", "event_id")]
     fields = ", ".join([*text, f"'active_time', {_MICROS}", "'event_id', CAST(event_id AS string)"])
-    return web_events(spark, sf_dir).selectExpr(f"to_json(named_struct({fields})) AS value")
+    return web_events(spark, sf_dir).selectExpr("ts", "'webLaunch' AS kind", f"to_json(named_struct({fields})) AS value")
 
 
 def app_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
