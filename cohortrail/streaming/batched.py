@@ -51,6 +51,9 @@ class BatchedTable:
     def rows(self, before: int) -> DataFrame:
         """Unfolded rows of the base and of the batches after it; those of a base carry `batch_id` -1."""
         full = StructType([*self.schema.fields, StructField(BATCH, LongType())])
+        if not self.fold and before:
+            # Never folded, so there may be very many folders: let the scan prune them.
+            return self.spark.read.schema(full).parquet(f"{self.root}/delta").where(f"{BATCH} < {before}")
         base = self._base(before)
         out = None
         if base:
