@@ -65,6 +65,10 @@ def _order_columns(raw: DataFrame, ts: str) -> list[str]:
     return [f"{ts} AS ts", f"{event_id} AS event_id"]
 
 
+def _passed(raw: DataFrame) -> list[str]:
+    return ["arrival"] if "arrival" in raw.columns else []
+
+
 def app_events(raw: DataFrame, hash_ids: bool = True, keep_extra: bool = False) -> DataFrame:
     """Rows of `kind, value` to app events plus `reason` and the raw text.
 
@@ -90,6 +94,7 @@ def app_events(raw: DataFrame, hash_ids: bool = True, keep_extra: bool = False)
         "value AS raw",
         _BROKEN,
         *(["extra"] if keep_extra else []),
+        *_passed(raw),
     )
     reason = _first_reason(
         {
@@ -113,6 +118,7 @@ def web_events(raw: DataFrame) -> DataFrame:
         "'webLaunch' AS kind",
         "value AS raw",
         _BROKEN,
+        *_passed(raw),
     )
     reason = _first_reason(
         {

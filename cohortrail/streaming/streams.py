@@ -93,9 +93,17 @@ class _Stream:
     def _stat(self, name: str, table: StatTable) -> BatchedTable:
         return self._table(name, _stat_schema(table), lambda rows: stats.merge_deltas(rows, table))
 
-    def process(self, raw: DataFrame, batch_id: int) -> None:
+    def parse(self, raw: DataFrame) -> DataFrame:
+        """Raw messages to typed rows with a `reason` where unusable."""
+        raise NotImplementedError
+
+    def apply(self, tagged: DataFrame, batch_id: int) -> None:
+        """Work through one batch of parsed messages and write all its tables."""
         raise NotImplementedError
 
+    def process(self, raw: DataFrame, batch_id: int) -> None:
+        self.apply(self.parse(raw), batch_id)
+
     def _finish(self, batch_id: int, *folded: BatchedTable) -> None:
         for table in folded:
             table.compact(batch_id)
@@ -109,9 +117,18 @@ class _Stream:
     def current(self, table: BatchedTable) -> DataFrame:
         return table.read(self.next_batch())
 
-    def start(self, source: DataFrame, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-        """Run over a stream of raw messages: every five seconds, or over what is there and then stop."""
-        writer = source.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+    def start(
+        self, source: DataFrame, checkpoint: str, available_now: bool = False, redelivery: str | None = None
+    ) -> StreamingQuery:
+        """Run over a stream of raw messages: every five seconds, or over what is there and then stop.
+
+        With `redelivery`, a length of time, messages that arrive again within it are dropped.
+        """
+        if redelivery is None:
+            writer = source.writeStream.foreachBatch(self.process)
+        else:
+            writer = drop_redelivered(self.parse(source), redelivery).writeStream.foreachBatch(self.apply)
+        writer = writer.option("checkpointLocation", checkpoint)
         if available_now:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=f"{TRIGGER_SECONDS} seconds").start()
@@ -143,8 +160,10 @@ class AppStream(_Stream):
         self.retention = self._stat("stat_retention", stats.RETENTION)
         self.pay_cohort = self._stat("stat_pay", stats.PAY_COHORT)
 
-    def process(self, raw: DataFrame, batch_id: int) -> None:
-        tagged = payload.app_events(raw, self.hash_ids)
+    def parse(self, raw: DataFrame) -> DataFrame:
+        return payload.app_events(raw, self.hash_ids)
+
+    def apply(self, tagged: DataFrame, batch_id: int) -> None:
         if self.registry is not None:
             tagged = onboarding.flag_unknown_apps(tagged, self.registry(), self.hot_rows)
         tagged = tagged.persist()
@@ -191,8 +210,11 @@ class WebStream(_Stream):
         self.daily = self._stat("stat_daily", stats.WEB_DAILY)
         self.retention = self._stat("stat_retention", stats.WEB_RETENTION)
 
-    def process(self, raw: DataFrame, batch_id: int) -> None:
-        tagged = payload.web_events(raw).persist()
+    def parse(self, raw: DataFrame) -> DataFrame:
+        return payload.web_events(raw)
+
+    def apply(self, tagged: DataFrame, batch_id: int) -> None:
+        tagged = tagged.persist()
         try:
             step = timeline.web_step(
                 payload.accepted(tagged, WEB_EVENT), self.state.read(batch_id), self.hot_rows
@@ -211,19 +233,19 @@ class WebStream(_Stream):
         return tables.web_logs(self.current(self.facts))
 
 
-def drop_redelivered(tagged: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Messages delivered again within `delay` of event time are dropped, by event id, in stream state.
+def drop_redelivered(tagged: DataFrame, delay: str) -> DataFrame:
+    """Messages delivered again within `delay` are dropped, by topic and event id, in stream state.
 
-    Opt-in: a watermark also drops what arrives later than `delay`. Damaged messages have no id and are told apart by
-    their text.
+    The watermark runs on the arrival time of the queue, which no client clock can push ahead; the source must supply
+    `arrival`. Damaged messages have no id and are told apart by their text.
     """
     keyed = tagged.selectExpr(
         "*",
         "coalesce(CAST(event_id AS string), md5(raw)) AS delivery",
-        "coalesce(CAST(ts AS timestamp), current_timestamp()) AS delivery_time",
+        "CAST(arrival AS timestamp) AS arrival_time",
     )
-    unique = keyed.withWatermark("delivery_time", delay).dropDuplicatesWithinWatermark(["kind", "delivery"])
-    return unique.drop("delivery", "delivery_time")
+    unique = keyed.withWatermark("arrival_time", delay).dropDuplicatesWithinWatermark(["kind", "delivery"])
+    return unique.drop("delivery", "arrival_time")
 
 
 def daily_event_counts(tagged: DataFrame, delay: str = "1 day") -> DataFrame:
