@@ -51,7 +51,7 @@ WEB_RETENTION = StatTable(
 )
 
 
-def _aggregate(rows: DataFrame, table: StatTable, measures: dict[str, str], ts="ts", event_id="event_id") -> DataFrame:
+def aggregate(rows: DataFrame, table: StatTable, measures: dict[str, str], ts="ts", event_id="event_id") -> DataFrame:
     """Group by the table's key; `measures` are SQL aggregates by column name."""
     described = ", ".join(table.described)
     first = f"min(struct({ts} AS first_ts, {event_id} AS first_event_id, {described})) AS first"
@@ -71,12 +71,12 @@ def _finish(grouped: DataFrame, table: StatTable) -> DataFrame:
 def merge_deltas(deltas: DataFrame, table: StatTable) -> DataFrame:
     """Fold deltas of any number of batches into one row per key."""
     sums = {c: f"sum({c})" for c in (*table.counts, *table.money)}
-    return _aggregate(deltas, table, sums, *FIRST)
+    return aggregate(deltas, table, sums, *FIRST)
 
 
 def daily(facts: DataFrame) -> DataFrame:
     """Launches, activations, active devices, registrations and payments per app, plan and day."""
-    return _aggregate(
+    return aggregate(
         facts,
         DAILY,
         {
@@ -98,7 +98,7 @@ def retained(facts: DataFrame) -> DataFrame:
 
 
 def retention(facts: DataFrame) -> DataFrame:
-    return _aggregate(retained(facts), RETENTION, {"retention_count": "count(1)"})
+    return aggregate(retained(facts), RETENTION, {"retention_count": "count(1)"})
 
 
 def pay_cohort(facts: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def pay_cohort(facts: DataFrame) -> DataFrame:
     payments = facts.where(f"kind = '{PAY}'").selectExpr(
         "*", f"{S.day_number('active_date', 'stat_date')} AS pay_days", "stat_date AS pay_date"
     )
-    return _aggregate(
+    return aggregate(
         payments,
         PAY_COHORT,
         {
@@ -125,7 +125,7 @@ def pay_cohort(facts: DataFrame) -> DataFrame:
 
 
 def web_daily(facts: DataFrame) -> DataFrame:
-    return _aggregate(
+    return aggregate(
         facts,
         WEB_DAILY,
         {"launch_count": "count(1)", "active_count": "sum(is_new)", "vibrant_count": "sum(new_today)"},
@@ -133,4 +133,4 @@ def web_daily(facts: DataFrame) -> DataFrame:
 
 
 def web_retention(facts: DataFrame) -> DataFrame:
-    return _aggregate(retained(facts), WEB_RETENTION, {"retention_count": "count(1)"})
+    return aggregate(retained(facts), WEB_RETENTION, {"retention_count": "count(1)"})
