@@ -23,6 +23,8 @@ SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Payment status bits.
 PAID_BEFORE, PAID_TODAY, ACTIVE_TODAY = 1, 2, 4
 
+_ID_ROOM = "20000000000000000000BD"
+
 MONEY_TYPE = "decimal(18,2)"
 
 
@@ -78,6 +80,21 @@ def has_bit(status: str, value: int) -> str:
     return f"({status} & {value}) = {value}"
 
 
+def order_key(ts: str, event_id: str) -> str:
+    """`(ts, event_id)` as one number, in the same order.
+
+    A minimum over a number is kept in place by hash aggregation, whereas a minimum over a struct makes Spark sort
+    all rows first. Microseconds leave room for any 64-bit id below them.
+    """
+    seconds = f"CAST(CAST({ts} - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS interval second) AS decimal(18,6))"
+    return f"(CAST({seconds} * 1000000 AS decimal(38,0)) * {_ID_ROOM} + CAST({event_id} AS decimal(38,0)))"
+
+
+def order_id(order: str, ts: str) -> str:
+    """The event id in an order key, given its time."""
+    return f"CAST({order} - {order_key(ts, '0')} AS bigint)"
+
+
 def count_if(condition: str) -> str:
     return f"count_if({condition})"
 

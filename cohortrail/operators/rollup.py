@@ -10,42 +10,63 @@ decided by the day alone; `settle` recounts from events only those days that the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortrail.functions import scalars as S
-from cohortrail.operators import attribution as A
 from cohortrail.operators.skew import HOT_ROWS, heaviest, join_unique, materialize
 from cohortrail.operators.stats import DAILY, PAY_COHORT, RETENTION, aggregate
-from cohortrail.operators.timeline import resolve_devices
+from cohortrail.operators.timeline import first_launches, resolve_devices
 from cohortrail.schemas import DEVICE_KEYS, LAUNCH, PAY, REG
 
 DAY_KEYS = [*DEVICE_KEYS, "stat_date"]
 
 _LAUNCH, _REG, _PAY = (f"kind = '{k}'" for k in (LAUNCH, REG, PAY))
-_LAUNCH_MEASURES = {
-    "launches": f"count_if({_LAUNCH})",
-    "first_launch": f"min(CASE WHEN {_LAUNCH} THEN struct(ts, event_id, os, {', '.join(A.MATCH_COLUMNS)}) END)",
-}
+
+
+def _first(name: str, kind: str) -> dict[str, str]:
+    """Time and order key of the first event of a kind."""
+    return {f"{name}_ts": f"min(ts) FILTER (WHERE {kind})", f"{name}_order": f"min(ord) FILTER (WHERE {kind})"}
+
+
+# All of these are numbers, so hash aggregation combines them on the map side without a sort.
+_LAUNCH_MEASURES = {"launches": f"count_if({_LAUNCH})", **_first("launch", _LAUNCH)}
 _LATER_MEASURES = {
     "regs": f"count_if({_REG})",
     "pays": f"count_if({_PAY})",
     "pay_amount": S.sum_if(_PAY, "amount"),
-    "first_reg": f"min(CASE WHEN {_REG} THEN struct(ts, event_id) END)",
-    "first_pay": f"min(CASE WHEN {_PAY} THEN struct(ts, event_id, amount) END)",
+    **_first("reg", _REG),
+    **_first("pay", _PAY),
 }
+_FIRST_AMOUNT = {"first_amount": "min(struct(ts, event_id, amount)).amount"}
+
+
+def _dated(events: DataFrame) -> DataFrame:
+    order = f"{S.order_key('ts', 'event_id')} AS ord"
+    return events.selectExpr(*DEVICE_KEYS, "to_date(ts) AS stat_date", "kind", "ts", "event_id", "amount", order)
+
+
+def _measures(rows: DataFrame, measures: dict[str, str]) -> DataFrame:
+    return rows.groupBy(*DAY_KEYS).agg(*[F.expr(f"{e} AS {m}") for m, e in measures.items()])
 
 
-def _measures(rows: DataFrame, keys: Sequence[str], measures: dict[str, str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(*[F.expr(f"{e} AS {m}") for m, e in measures.items()])
+def _with_first_amount(measured: DataFrame, rows: DataFrame) -> DataFrame:
+    """The amount of the day's first payment is no plain minimum; only payments are sorted for it."""
+    return measured.join(_measures(rows.where(_PAY), _FIRST_AMOUNT), DAY_KEYS, "left")
 
 
 def device_days(events: DataFrame) -> DataFrame:
     """Counts, amounts and first events per device and day, before any validity rule."""
-    dated = events.selectExpr("*", "to_date(ts) AS stat_date")
-    return _measures(dated, DAY_KEYS, {"n": "count(1)", **_LAUNCH_MEASURES, **_LATER_MEASURES})
+    rows = _dated(events)
+    return _with_first_amount(_measures(rows, {"n": "count(1)", **_LAUNCH_MEASURES, **_LATER_MEASURES}), rows)
+
+
+def resolved(events: DataFrame, clicks: DataFrame, hot_rows: int = HOT_ROWS, **match) -> DataFrame:
+    """Activated devices with their plan and activation day."""
+    firsts = materialize(first_launches(events.where(_LAUNCH)), "firsts")
+    return resolve_devices(firsts, clicks, None, hot_rows, **match).selectExpr(
+        *DEVICE_KEYS, "plan_id", "channel_id", "active_time", "to_date(active_time) AS active_date"
+    )
 
 
 def settled_days(events: DataFrame, clicks: DataFrame, hot_rows: int = HOT_ROWS, **match) -> DataFrame:
@@ -53,18 +74,9 @@ def settled_days(events: DataFrame, clicks: DataFrame, hot_rows: int = HOT_ROWS,
 
     `match` goes to `attribution.match_clicks`.
     """
-    days = materialize(device_days(events), "device-days")
-    firsts = (
-        days.groupBy(*DEVICE_KEYS)
-        .agg(F.expr("sum(n) AS n"), F.expr("min(first_launch) AS first"))
-        .select(*DEVICE_KEYS, "n", "first.*")
-    )
-    devices = resolve_devices(firsts, clicks, None, hot_rows, **match)
-    devices = materialize(
-        devices.where("active_time IS NOT NULL").select(*DEVICE_KEYS, "plan_id", "channel_id", "active_time"), "devices"
-    )
-    joined = days.join(devices, DEVICE_KEYS).selectExpr("*", "to_date(active_time) AS active_date")
-    return _first_days(settle(joined.where("stat_date >= active_date"), events, hot_rows))
+    devices = resolved(events, clicks, hot_rows, **match)
+    days = device_days(events).join(devices, DEVICE_KEYS).where("stat_date >= active_date")
+    return _first_days(settle(materialize(days, "device-days"), events, hot_rows))
 
 
 def settle(days: DataFrame, events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -73,22 +85,20 @@ def settle(days: DataFrame, events: DataFrame, hot_rows: int = HOT_ROWS) -> Data
     Only a day whose earliest registration or payment lies before the activation is cut. The list of such days is
     written; its size decides whether Spark broadcasts it, and hot days in it are joined in place.
     """
-    earliest = "least(first_reg.ts, first_pay.ts)"
-    is_cut = f"coalesce({earliest} < active_time, false)"
+    is_cut = "coalesce(least(reg_ts, pay_ts) < active_time, false)"
     cut = materialize(days.where(is_cut).select(*DAY_KEYS, "active_time", "n"), "cut-days")
-    later = events.where(f"kind IN ('{REG}', '{PAY}')").selectExpr(
-        *DEVICE_KEYS, "to_date(ts) AS stat_date", "kind", "ts", "event_id", "amount"
-    )
-    kept = join_unique(later, cut.drop("n"), DAY_KEYS, "inner", heaviest(cut, DAY_KEYS, hot_rows)).where("active_time <= ts")
-    recount = _measures(kept, DAY_KEYS, _LATER_MEASURES)
-    renamed = recount.selectExpr(*DAY_KEYS, *[f"{m} AS new_{m}" for m in _LATER_MEASURES])
+    later = _dated(events.where(f"kind IN ('{REG}', '{PAY}')"))
+    hot = heaviest(cut, DAY_KEYS, hot_rows)
+    kept = join_unique(later, cut.drop("n"), DAY_KEYS, "inner", hot).where("active_time <= ts").drop("active_time")
+    recount = _with_first_amount(_measures(kept, _LATER_MEASURES), kept)
+    replaced = [*_LATER_MEASURES, *_FIRST_AMOUNT]
+    renamed = recount.selectExpr(*DAY_KEYS, *[f"{m} AS new_{m}" for m in replaced])
     zero = {"regs": "0L", "pays": "0L", "pay_amount": f"CAST(0 AS {S.MONEY_TYPE})"}
-    same = [c for c in days.columns if c not in _LATER_MEASURES]
     return days.join(renamed, DAY_KEYS, "left").selectExpr(
-        *same,
+        *[c for c in days.columns if c not in replaced],
         *[
             f"CASE WHEN {is_cut} THEN {f'coalesce(new_{m}, {zero[m]})' if m in zero else f'new_{m}'} ELSE {m} END AS {m}"
-            for m in _LATER_MEASURES
+            for m in replaced
         ],
     )
 
@@ -104,17 +114,8 @@ def _first_days(days: DataFrame) -> DataFrame:
 
 def launch_days(events: DataFrame, clicks: DataFrame, hot_rows: int = HOT_ROWS, **match) -> DataFrame:
     """Device-days of launches alone, with the plan of the device. Launches are always valid."""
-    dated = events.where(_LAUNCH).selectExpr("*", "to_date(ts) AS stat_date")
-    days = materialize(_measures(dated, DAY_KEYS, {"n": "count(1)", **_LAUNCH_MEASURES}), "launch-days")
-    firsts = (
-        days.groupBy(*DEVICE_KEYS)
-        .agg(F.expr("sum(n) AS n"), F.expr("min(first_launch) AS first"))
-        .select(*DEVICE_KEYS, "n", "first.*")
-    )
-    devices = resolve_devices(firsts, clicks, None, hot_rows, **match)
-    return days.join(
-        devices.selectExpr(*DEVICE_KEYS, "plan_id", "channel_id", "to_date(active_time) AS active_date"), DEVICE_KEYS
-    )
+    days = _measures(_dated(events.where(_LAUNCH)), _LAUNCH_MEASURES)
+    return days.join(resolved(events, clicks, hot_rows, **match), DEVICE_KEYS)
 
 
 _LAUNCHED = "launches > 0"
@@ -125,39 +126,36 @@ DAILY_LAUNCH = {
 }
 DAILY_REG = {"reg_count": "sum(regs)", "onlyreg_count": S.count_if("regs > 0 AND stat_date = first_reg_date")}
 DAILY_PAY = {"pay_count": "sum(pays)", "pay_amount": "sum(pay_amount)"}
-_NOTHING = {m: "0" for m in (*DAILY.counts, *DAILY.money)}
+_NOTHING = {m: "max(0)" for m in (*DAILY.counts, *DAILY.money)}
 
 
-def _ordered(days: DataFrame, *firsts: str) -> DataFrame:
-    """Add the order `ts, event_id` of the earliest of the named first events."""
-    orders = [f"CASE WHEN {f} IS NOT NULL THEN struct({f}.ts AS ts, {f}.event_id AS event_id) END" for f in firsts]
-    first = orders[0] if len(orders) == 1 else f"least({', '.join(orders)})"
-    return days.selectExpr("*", f"{first} AS day_first").selectExpr("*", "day_first.ts AS ts", "day_first.event_id AS event_id")
+def _earliest(part: str) -> str:
+    return f"least(launch_{part}, reg_{part}, pay_{part})"
 
 
 def daily(days: DataFrame) -> DataFrame:
-    ordered = _ordered(days, "first_launch", "first_reg", "first_pay")
-    return aggregate(ordered, DAILY, {**DAILY_LAUNCH, **DAILY_REG, **DAILY_PAY})
+    measures = {**DAILY_LAUNCH, **DAILY_REG, **DAILY_PAY}
+    return aggregate(days, DAILY, measures, _earliest("ts"), _earliest("order"))
 
 
 def daily_launches(days: DataFrame) -> DataFrame:
-    """Launch measures of rows with launches; the other measures are 0."""
-    return aggregate(_ordered(days.where(_LAUNCHED), "first_launch"), DAILY, {**_NOTHING, **DAILY_LAUNCH})
+    """Launch measures, from `settled_days` or `launch_days`; the other measures are 0."""
+    return aggregate(days.where(_LAUNCHED), DAILY, {**_NOTHING, **DAILY_LAUNCH}, "launch_ts", "launch_order")
 
 
 def daily_regs(days: DataFrame) -> DataFrame:
-    return aggregate(_ordered(days.where("regs > 0"), "first_reg"), DAILY, {**_NOTHING, **DAILY_REG})
+    return aggregate(days.where("regs > 0"), DAILY, {**_NOTHING, **DAILY_REG}, "reg_ts", "reg_order")
 
 
 def daily_pays(days: DataFrame) -> DataFrame:
-    return aggregate(_ordered(days.where("pays > 0"), "first_pay"), DAILY, {**_NOTHING, **DAILY_PAY})
+    return aggregate(days.where("pays > 0"), DAILY, {**_NOTHING, **DAILY_PAY}, "pay_ts", "pay_order")
 
 
 def retention(days: DataFrame) -> DataFrame:
-    """Device-days with launches after the activation day."""
+    """Device-days with launches after the activation day, from `settled_days` or `launch_days`."""
     age = S.day_number("active_date", "stat_date")
     later = days.where(f"{_LAUNCHED} AND {age} > 1").selectExpr("*", f"{age} AS retention_days")
-    return aggregate(_ordered(later, "first_launch"), RETENTION, {"retention_count": "count(1)"})
+    return aggregate(later, RETENTION, {"retention_count": "count(1)"}, "launch_ts", "launch_order")
 
 
 def pay_cohort(days: DataFrame) -> DataFrame:
@@ -165,16 +163,13 @@ def pay_cohort(days: DataFrame) -> DataFrame:
         "*", f"{S.day_number('active_date', 'stat_date')} AS pay_days", "stat_date AS pay_date"
     )
     new_payer, active_today = "stat_date = first_pay_date", "stat_date = active_date"
-    return aggregate(
-        _ordered(paid, "first_pay"),
-        PAY_COHORT,
-        {
-            "pay_count": "sum(pays)",
-            "pay_amount": "sum(pay_amount)",
-            "pay_new_devices": S.count_if(new_payer),
-            "pay_new_amount": S.sum_if(new_payer, "first_pay.amount"),
-            "pay_total_devices": "count(1)",
-            "pay_active_count": f"coalesce(sum(pays) FILTER (WHERE {active_today}), 0)",
-            "pay_active_amount": S.sum_if(active_today, "pay_amount"),
-        },
-    )
+    measures = {
+        "pay_count": "sum(pays)",
+        "pay_amount": "sum(pay_amount)",
+        "pay_new_devices": S.count_if(new_payer),
+        "pay_new_amount": S.sum_if(new_payer, "first_amount"),
+        "pay_total_devices": "count(1)",
+        "pay_active_count": f"coalesce(sum(pays) FILTER (WHERE {active_today}), 0)",
+        "pay_active_amount": S.sum_if(active_today, "pay_amount"),
+    }
+    return aggregate(paid, PAY_COHORT, measures, "pay_ts", "pay_order")

@@ -51,27 +51,37 @@ WEB_RETENTION = StatTable(
 )
 
 
-def aggregate(rows: DataFrame, table: StatTable, measures: dict[str, str], ts="ts", event_id="event_id") -> DataFrame:
-    """Group by the table's key; `measures` are SQL aggregates by column name."""
-    described = ", ".join(table.described)
-    first = f"min(struct({ts} AS first_ts, {event_id} AS first_event_id, {described})) AS first"
-    grouped = rows.groupBy(*table.keys).agg(*[F.expr(f"{e} AS {m}") for m, e in measures.items()], F.expr(first))
-    return _finish(grouped, table)
+_ORDER = S.order_key("ts", "event_id")
 
 
-def _finish(grouped: DataFrame, table: StatTable) -> DataFrame:
-    return grouped.selectExpr(
+def aggregate(
+    rows: DataFrame, table: StatTable, measures: dict[str, str], ts: str = "ts", order: str = _ORDER
+) -> DataFrame:
+    """Group by the table's key; `measures` are SQL aggregates by column name, each folding by sum. `ts` and `order` give
+    the time and order key of a row.
+
+    First by key and described columns, where all buffers are plain numbers and hash aggregation combines on the map
+    side; then the few rows per key are added up and the earliest supplies the description.
+    """
+    parts = rows.groupBy(*table.keys, *table.described).agg(
+        *[F.expr(f"{e} AS {m}") for m, e in measures.items()], F.expr(f"min({order}) AS first_order"), F.expr(f"min({ts}) AS first_ts")
+    )
+    earliest = f"min(struct(first_order, first_ts, {', '.join(table.described)})) AS first"
+    added = parts.groupBy(*table.keys).agg(*[F.expr(f"sum({m}) AS {m}") for m in measures], F.expr(earliest))
+    return added.selectExpr(
         *table.keys,
         *[f"CAST({c} AS bigint) AS {c}" for c in table.counts],
         *[f"CAST({c} AS {S.MONEY_TYPE}) AS {c}" for c in table.money],
-        *[f"first.{c} AS {c}" for c in (*table.described, *FIRST)],
+        *[f"first.{c} AS {c}" for c in table.described],
+        f"first.first_ts AS {FIRST[0]}",
+        f"{S.order_id('first.first_order', 'first.first_ts')} AS {FIRST[1]}",
     )
 
 
 def merge_deltas(deltas: DataFrame, table: StatTable) -> DataFrame:
     """Fold deltas of any number of batches into one row per key."""
     sums = {c: f"sum({c})" for c in (*table.counts, *table.money)}
-    return aggregate(deltas, table, sums, *FIRST)
+    return aggregate(deltas, table, sums, FIRST[0], S.order_key(*FIRST))
 
 
 def daily(facts: DataFrame) -> DataFrame:

@@ -47,13 +47,14 @@ class Step(NamedTuple):
 
 
 def first_launches(events: DataFrame) -> DataFrame:
-    """One row per device: number of events and the first launch with the ids it was reported under."""
-    first = f"min(struct(ts, event_id, os, {', '.join(A.MATCH_COLUMNS)})) FILTER (WHERE {_LAUNCH}) AS first"
-    return (
-        events.groupBy(*DEVICE_KEYS)
-        .agg(F.expr("count(1) AS n"), F.expr(first))
-        .select(*DEVICE_KEYS, "n", "first.*")
-    )
+    """One row per device: number of events and the first launch with the ids it was reported under.
+
+    Counting all events needs no more than the keys and hash aggregation; only launches bring their ids along.
+    """
+    counted = events.groupBy(*DEVICE_KEYS).agg(F.expr("count(1) AS n"))
+    first = f"min(struct(ts, event_id, os, {', '.join(A.MATCH_COLUMNS)})) AS first"
+    launched = events.where(_LAUNCH).groupBy(*DEVICE_KEYS).agg(F.expr(first)).select(*DEVICE_KEYS, "first.*")
+    return counted.join(launched, DEVICE_KEYS, "left")
 
 
 def _with_state(firsts: DataFrame, state: DataFrame | None, schema: StructType, keys: Sequence[str]) -> DataFrame:
@@ -159,9 +160,10 @@ def step(
     hot = heaviest(firsts, DEVICE_KEYS, hot_rows)
     devices = resolve_devices(firsts, clicks, state, hot_rows, **match)
     spread = carry(events, devices, hot, DEVICE_KEYS, APP_MEASURES, ["active_time", "s_last_launch_time"])
+    # A hash join leaves the one sort of the events to the windows, which use the same partitioning.
     joined = (
         cut_hot(events, hot, DEVICE_KEYS)
-        .join(spread.drop("n"), [*DEVICE_KEYS, SLICE])
+        .join(spread.drop("n").hint("shuffle_hash"), [*DEVICE_KEYS, SLICE])
         .selectExpr("*", f"({_LAUNCH} OR {_SINCE_ACTIVE}) AS valid")
     )
     windowed = joined.where("valid").selectExpr(
@@ -261,7 +263,7 @@ def web_step(events: DataFrame, state: DataFrame | None = None, hot_rows: int =
         *WEB_KEYS, "coalesce(s_active_time, first_ts) AS active_time", "s_last_launch_time"
     )
     spread = carry(events, devices, hot, WEB_KEYS, WEB_MEASURES, ["s_last_launch_time"])
-    joined = cut_hot(events, hot, WEB_KEYS).join(spread, [*WEB_KEYS, SLICE])
+    joined = cut_hot(events, hot, WEB_KEYS).join(spread.hint("shuffle_hash"), [*WEB_KEYS, SLICE])
     facts = joined.selectExpr(
         "*",
         f"coalesce({_latest_before(WEB_KEYS, WEB_MEASURES['launch'])}, carry_launch, s_last_launch_time)"

@@ -353,6 +353,8 @@ def statements() -> dict[str, str]:
             f" {micros('ts')} AS ts FROM web"
         ),
     }
+    out["daily_base_rollup"] = out["daily_base_full"]
+    out["pay_cohort_rollup"] = out["pay_cohort"]
     out["state_from_logs"] = out["device_state_snapshot"]
     out["launch_daily_stream"] = out["launch_daily_base"]
     out["app_tables_stream"] = out["daily_base_full"]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortrail.operators import attribution, registry, stats, timeline
+from cohortrail.operators import attribution, registry, rollup, stats, timeline
 from cohortrail.operators.skew import materialize
 from cohortrail.plans import tables
 from cohortrail.plans.replay import replay
@@ -58,8 +58,27 @@ def _daily_of(kind: str, counts: list[str]) -> Query:
     return query
 
 
+def launch_daily_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = rollup.launch_days(given.app_events(spark, sf_dir), given.clicks(spark, sf_dir))
+    return present(rollup.daily_launches(days), *_DAILY_KEY, *LAUNCH_COUNTS)
+
+
 def retention_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(stats.retention(_step(spark, sf_dir).facts).drop(*FIRST))
+    days = rollup.launch_days(given.app_events(spark, sf_dir), given.clicks(spark, sf_dir))
+    return present(rollup.retention(days).drop(*FIRST))
+
+
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.settled_days(given.app_events(spark, sf_dir), given.clicks(spark, sf_dir))
+
+
+def daily_base_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship by way of device-days."""
+    return present(rollup.daily(_days(spark, sf_dir)).drop(*FIRST))
+
+
+def pay_cohort_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(rollup.pay_cohort(_days(spark, sf_dir)).drop(*FIRST))
 
 
 def pay_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,11 +236,13 @@ def state_from_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {
         "daily_base_full": daily_base_full,
-        "launch_daily_base": _daily_of(LAUNCH, LAUNCH_COUNTS),
+        "launch_daily_base": launch_daily_base,
         "retention_cohort": retention_cohort,
         "reg_daily": _daily_of(REG, REG_COUNTS),
         "pay_daily_base": _daily_of(PAY, PAY_COUNTS),
         "pay_cohort": pay_cohort,
+        "daily_base_rollup": daily_base_rollup,
+        "pay_cohort_rollup": pay_cohort_rollup,
         "attribution_android": _attribution("os = 1"),
         "attribution_ios": _attribution("os = 2"),
         "attribution_lookback": _attribution("true", lookback_days=2),
