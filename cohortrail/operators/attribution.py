@@ -28,6 +28,9 @@ LEVELS: dict[int, list[str]] = {
 }
 MATCH_COLUMNS = ["imei", "oaid", "androidid", "idfa", "external_ip"]
 
+# Up to this many device keys are broadcast to the click scan; the number is checked before.
+FEW_KEYS = 200_000
+
 _KEY = ["os", "level", "key"]
 _CLICK = ["click_ts", "click_id", "plan_id", "channel_id"]
 
@@ -43,14 +46,10 @@ def unpivot_keys(df: DataFrame, levels: Mapping[int, Sequence[str]], keep: Seque
     return df.selectExpr("os", *keep, f"inline(filter(CASE os {cases} END, p -> p.key IS NOT NULL))")
 
 
-def earliest_click(clicks: DataFrame, levels: Mapping[int, Sequence[str]], extra: Sequence[str] = ()) -> DataFrame:
-    """One row per `(os, level, key)`: the first click that carries the key."""
-    return (
-        unpivot_keys(clicks, levels, [*_CLICK, *extra])
-        .groupBy(*_KEY, *extra)
-        .agg(F.expr(f"min(struct({', '.join(_CLICK)})) AS click"))
-        .select(*_KEY, *extra, "click.*")
-    )
+def earliest_click(offers: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row per key: the first click that carries it."""
+    first = F.expr(f"min(struct({', '.join(_CLICK)})) AS click")
+    return offers.groupBy(*on).agg(first).select(*on, "click.*")
 
 
 def _best_level(matched: DataFrame) -> DataFrame:
@@ -66,23 +65,27 @@ def match_clicks(
     click_keys: Sequence[str] = (),
     lookback_days: int | None = None,
     hot_rows: int = HOT_ROWS,
+    few_keys: int = FEW_KEYS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Matched devices only: `app_id, device_id, level, click_ts, click_id, plan_id, channel_id`.
 
-    `devices` has one row per device with its first launch (`ts` and the id columns), best a written table: it is
-    counted to see whether keys can be hot. `click_keys=("app_id",)` also asks for the same app; clicks carry none
-    by default. `lookback_days` bounds the age of a click; there is no bound by default.
+    `devices` has one row per device with its first launch (`ts` and the id columns); `at_most` bounds their number
+    and is counted if not given. `click_keys=("app_id",)` also asks for the same app; clicks carry none by default.
+    `lookback_days` bounds the age of a click; there is no bound by default.
     """
-    keys = unpivot_keys(devices, levels, [*DEVICE_KEYS, "ts"])
     on = [*_KEY, *click_keys]
+    keys = unpivot_keys(devices, levels, [*DEVICE_KEYS, "ts"])
+    offers = unpivot_keys(clicks, levels, [*_CLICK, *click_keys])
+    most_keys = (devices.count() if at_most is None else at_most) * max(map(len, levels.values()))
+    if most_keys <= few_keys:
+        # A small batch of devices against all clicks: only clicks that share a key leave the scan.
+        offers = offers.join(F.broadcast(keys.select(*on).distinct()), on, "left_semi")
     if lookback_days is not None:
-        offers = unpivot_keys(clicks, levels, [*_CLICK, *click_keys])
         return _best_level(_first_click_since(keys, offers, on, lookback_days))
     # A shared address can be the key of very many devices; fewer devices than the limit need no look.
-    crowded = devices.count() * max(map(len, levels.values())) >= hot_rows
-    hot = hot_keys(keys, on, hot_rows) if crowded else None
-    joined = join_unique(keys, earliest_click(clicks, levels, click_keys), on, "inner", hot)
-    return _best_level(joined.where("click_ts <= ts"))
+    hot = hot_keys(keys, on, hot_rows) if most_keys >= hot_rows else None
+    return _best_level(join_unique(keys, earliest_click(offers, on), on, "inner", hot).where("click_ts <= ts"))
 
 
 def _first_click_since(keys: DataFrame, offers: DataFrame, on: Sequence[str], lookback_days: int) -> DataFrame:

@@ -21,14 +21,15 @@ HOT_ROWS = 2_000_000
 MAX_HOT = 1000
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Cuts the lineage of a table that several later plans use, survives lost executors, and gives the optimizer
-    its true size for choosing joins.
+    its true size for choosing joins. Each call takes a folder of its own; a caller that runs for ever names one
+    and has it overwritten.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}" if folder is None else f"{folder}/{name}"
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

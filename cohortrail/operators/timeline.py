@@ -68,7 +68,7 @@ def _with_state(firsts: DataFrame, state: DataFrame | None, schema: StructType,
 def resolve_devices(
     firsts: DataFrame, clicks: DataFrame, state: DataFrame | None = None, hot_rows: int = HOT_ROWS, **match
 ) -> DataFrame:
-    """Activation time and credited plan of every device in `firsts`.
+    """Activation time and credited plan of every device in `firsts`, a written table.
 
     A device known from `state` keeps what it has; only new ones are matched to clicks. Devices without any launch
     have a null `active_time`.
@@ -76,7 +76,11 @@ def resolve_devices(
     known = _with_state(firsts, state, DEVICE_STATE, DEVICE_KEYS)
     fresh = known.where("ts IS NOT NULL AND s_active_time IS NULL")
     credited = A.match_clicks(
-        fresh.select(*DEVICE_KEYS, "os", "ts", *A.MATCH_COLUMNS), clicks, hot_rows=hot_rows, **match
+        fresh.select(*DEVICE_KEYS, "os", "ts", *A.MATCH_COLUMNS),
+        clicks,
+        hot_rows=hot_rows,
+        at_most=firsts.count(),
+        **match,
     ).selectExpr(*DEVICE_KEYS, "plan_id AS c_plan", "channel_id AS c_channel")
     return known.join(credited, DEVICE_KEYS, "left").selectExpr(
         *DEVICE_KEYS,
@@ -148,15 +152,16 @@ def step(
     clicks: DataFrame,
     state: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
     **match,
 ) -> Step:
     """Facts, rejects and the new state of the devices touched.
 
     A launch older than the device's last one in state is `late`: it is a launch and nothing else. A payment on a day
     not after the last pay day in state opens no payer-day. State never moves back. `match` goes to
-    `attribution.match_clicks`.
+    `attribution.match_clicks`; `scratch` is a folder for the intermediate device table, overwritten.
     """
-    firsts = materialize(first_launches(events), "firsts")
+    firsts = materialize(first_launches(events), "firsts", scratch)
     hot = heaviest(firsts, DEVICE_KEYS, hot_rows)
     devices = resolve_devices(firsts, clicks, state, hot_rows, **match)
     spread = carry(events, devices, hot, DEVICE_KEYS, APP_MEASURES, ["active_time", "s_last_launch_time"])
@@ -254,10 +259,12 @@ def state_from_text(exported: DataFrame) -> DataFrame:
     )
 
 
-def web_step(events: DataFrame, state: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> Step:
+def web_step(
+    events: DataFrame, state: DataFrame | None = None, hot_rows: int = HOT_ROWS, scratch: str | None = None
+) -> Step:
     """Web launches: the click id is the device, plan and creative come with the event, nothing is rejected."""
     firsts = events.groupBy(*WEB_KEYS).agg(F.expr("count(1) AS n"), F.expr("min(ts) AS first_ts"))
-    firsts = materialize(firsts, "web-firsts")
+    firsts = materialize(firsts, "web-firsts", scratch)
     hot = heaviest(firsts, WEB_KEYS, hot_rows)
     devices = _with_state(firsts, state, WEB_STATE, WEB_KEYS).selectExpr(
         *WEB_KEYS, "coalesce(s_active_time, first_ts) AS active_time", "s_last_launch_time"

@@ -89,7 +89,8 @@ def _attribution(where: str, **match) -> Query:
     """Every device of the platform with the level that matched it, 0 for none."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        firsts = timeline.first_launches(given.app_events(spark, sf_dir).where(f"kind = '{LAUNCH}'")).where(where)
+        launches = given.app_events(spark, sf_dir).where(f"kind = '{LAUNCH}' AND {where}")
+        firsts = materialize(timeline.first_launches(launches), "firsts")
         matched = attribution.match_clicks(firsts, given.clicks(spark, sf_dir), **match)
         joined = firsts.join(matched.drop("os"), ["app_id", "device_id"], "left")
         return present(

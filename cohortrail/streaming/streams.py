@@ -93,6 +93,10 @@ class _Stream:
     def _stat(self, name: str, table: StatTable) -> BatchedTable:
         return self._table(name, _stat_schema(table), lambda rows: stats.merge_deltas(rows, table))
 
+    def _scratch(self, batch_id: int) -> str:
+        """Two folders in turn, so that intermediate tables do not pile up."""
+        return f"{self.root}/scratch/{batch_id % 2}"
+
     def parse(self, raw: DataFrame) -> DataFrame:
         """Raw messages to typed rows with a `reason` where unusable."""
         raise NotImplementedError
@@ -169,7 +173,8 @@ class AppStream(_Stream):
         tagged = tagged.persist()
         try:
             step = timeline.step(
-                payload.accepted(tagged), self.clicks(), self.state.read(batch_id), self.hot_rows, **self.match
+                payload.accepted(tagged), self.clicks(), self.state.read(batch_id), self.hot_rows,
+                self._scratch(batch_id), **self.match,
             )
             # The written facts feed everything below, so the history is worked through once.
             self.facts.write(step.facts, batch_id)
@@ -217,7 +222,8 @@ class WebStream(_Stream):
         tagged = tagged.persist()
         try:
             step = timeline.web_step(
-                payload.accepted(tagged, WEB_EVENT), self.state.read(batch_id), self.hot_rows
+                payload.accepted(tagged, WEB_EVENT), self.state.read(batch_id), self.hot_rows,
+                self._scratch(batch_id),
             )
             self.facts.write(step.facts, batch_id)
             facts = self.facts.read_batch(batch_id)

@@ -63,7 +63,7 @@ def test_attribution_levels(spark):  # 5-12
         click("N", "1 08:00"),
     ]
     want = {"a": "A", "b": "A", "c": "0", "m": "0", "n": "0", "t": "early tie", "l": "0", "e": "0"}
-    for options in ({}, {"hot_rows": 1}, {"lookback_days": 7}):
+    for options in ({}, {"hot_rows": 1, "few_keys": 0}, {"lookback_days": 7}, {"lookback_days": 7, "few_keys": 0}):
         assert plans(step(spark, events, clicks, **options)) == {md5(k): v for k, v in want.items()}
 
 

@@ -19,11 +19,11 @@ def case(request, spark):
 
 
 # A hot limit of 20 rows sends nearly all devices and addresses down the paths for hot keys.
-@pytest.mark.parametrize("hot_rows", [2_000_000, 20])
-def test_step_equals_record_model(case, hot_rows):
+@pytest.mark.parametrize("hot_rows, few_keys", [(2_000_000, 200_000), (20, 0)])
+def test_step_equals_record_model(case, hot_rows, few_keys):
     events, clicks, ordered, click_rows = case
     want = model.run(ordered, click_rows)
-    step = timeline.step(events, clicks, hot_rows=hot_rows)
+    step = timeline.step(events, clicks, hot_rows=hot_rows, few_keys=few_keys)
     facts = step.facts.persist()
     daily = model.table(stats.daily(facts), stats.DAILY.keys, [*stats.DAILY.counts, *stats.DAILY.money])
     assert daily == model.trimmed(want["daily"])
