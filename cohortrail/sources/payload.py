@@ -33,18 +33,20 @@ APP_PAYLOAD = PAY_PAYLOAD
 def parse_json(raw: DataFrame, schema: StructType, keep_extra: bool = False) -> DataFrame:
     """Parse column `value` into struct `p`; malformed text sets `p._corrupt`.
 
-    With `keep_extra`, fields outside the schema stay available as a text map `extra`.
+    The struct leaves a one-element generator, so that a filter on parsed fields is not pushed below the parse, where
+    every field it names would parse the text again. With `keep_extra`, fields outside the schema stay available as a text map `extra`.
     """
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
     parsed = (
-        f"from_json(value, '{fields}, {CORRUPT} string', "
-        f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT}')) AS p"
+        f"explode(array(from_json(value, '{fields}, {CORRUPT} string', "
+        f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT}')))) AS p"
     )
+    out = raw.selectExpr("*", parsed)
     if not keep_extra:
-        return raw.selectExpr("*", parsed)
+        return out
     known = ", ".join(map(S.text, schema.fieldNames()))
     extra = f"map_filter(from_json(value, 'map<string,string>'), (k, v) -> k NOT IN ({known})) AS extra"
-    return raw.selectExpr("*", parsed, extra)
+    return out.selectExpr("*", extra)
 
 
 def _first_reason(rules: dict[str, str]) -> str:
@@ -52,17 +54,17 @@ def _first_reason(rules: dict[str, str]) -> str:
     return f"CASE {cases} END AS reason"
 
 
-_BROKEN = f"(p IS NULL OR p.{CORRUPT} IS NOT NULL) AS broken"
+_BROKEN = f"p IS NULL OR p.{CORRUPT} IS NOT NULL"
 
 
-def _order_columns(raw: DataFrame, ts: str) -> list[str]:
+def _order_columns(raw: DataFrame, ts: str) -> tuple[str, str]:
     """Event time and tie-break: from the payload, else as the message queue supplies them."""
     ts, event_id = S.parse_time(ts), "try_cast(p.event_id AS bigint)"
     if "arrival" in raw.columns:
         ts = f"coalesce({ts}, CAST(arrival AS timestamp_ntz))"
     if "position" in raw.columns:
         event_id = f"coalesce({event_id}, position)"
-    return [f"{ts} AS ts", f"{event_id} AS event_id"]
+    return ts, event_id
 
 
 def _passed(raw: DataFrame) -> list[str]:
@@ -80,57 +82,61 @@ def app_events(raw: DataFrame, hash_ids: bool = True, keep_extra: bool = False)
         return S.pseudonym(column) if hash_ids else column
 
     os = "try_cast(p.os AS int)"
-    typed = parse_json(raw, APP_PAYLOAD, keep_extra).selectExpr(
+    ts, event_id = _order_columns(raw, "p.ts")
+    amount = S.money("p.amount")
+    # Rules look at the clear values: hashing is left to the rows that pass.
+    reason = _first_reason(
+        {
+            "json": _BROKEN,
+            "platform": f"{os} IS NULL OR {os} NOT IN ({ANDROID}, {IOS})",
+            "app": "p.appid IS NULL",
+            "identity": f"{S.by_platform(os, 'p.oaid', 'p.uuid')} IS NULL",
+            "time": f"{ts} IS NULL",
+            "event_id": f"{event_id} IS NULL",
+            "amount": f"kind = '{PAY}' AND {amount} IS NULL",
+        }
+    )
+    return parse_json(raw, APP_PAYLOAD, keep_extra).selectExpr(
         "p.appid AS app_id",
         f"{S.by_platform(os, hashed('p.oaid'), hashed('p.uuid'))} AS device_id",
         f"{os} AS os",
         "kind",
-        *_order_columns(raw, "p.ts"),
+        f"{ts} AS ts",
+        f"{event_id} AS event_id",
         *[f"{hashed('p.' + name)} AS {name}" for name in ID_COLUMNS],
         f"{S.by_platform(os, 'p.ip', 'p.ipAddress')} AS ip",
         "p.externalip AS external_ip",
         "p.deviceModel AS model",
-        f"{S.money('p.amount')} AS amount",
+        f"{amount} AS amount",
         "value AS raw",
-        _BROKEN,
         *(["extra"] if keep_extra else []),
         *_passed(raw),
+        reason,
     )
-    reason = _first_reason(
-        {
-            "json": "broken",
-            "platform": f"os IS NULL OR os NOT IN ({ANDROID}, {IOS})",
-            "app": "app_id IS NULL",
-            "identity": "device_id IS NULL",
-            "time": "ts IS NULL",
-            "event_id": "event_id IS NULL",
-            "amount": f"kind = '{PAY}' AND amount IS NULL",
-        }
-    )
-    return typed.selectExpr("*", reason).drop("broken")
 
 
 def web_events(raw: DataFrame) -> DataFrame:
     """Rows of `value` to web launches plus `reason` and the raw text."""
-    typed = parse_json(raw, WEB_PAYLOAD).selectExpr(
+    ts, event_id = _order_columns(raw, "p.active_time")
+    reason = _first_reason(
+        {
+            "json": _BROKEN,
+            "app": "p.app_id IS NULL",
+            "creative": "p.media_creativeid IS NULL",
+            "identity": "p.media_clickid IS NULL",
+            "time": f"{ts} IS NULL",
+            "event_id": f"{event_id} IS NULL",
+        }
+    )
+    return parse_json(raw, WEB_PAYLOAD).selectExpr(
         *[f"p.{c} AS {c}" for c in WEB_EVENT.fieldNames() if c not in ("ts", "event_id")],
-        *_order_columns(raw, "p.active_time"),
+        f"{ts} AS ts",
+        f"{event_id} AS event_id",
         "'webLaunch' AS kind",
         "value AS raw",
-        _BROKEN,
         *_passed(raw),
+        reason,
     )
-    reason = _first_reason(
-        {
-            "json": "broken",
-            "app": "app_id IS NULL",
-            "creative": "media_creativeid IS NULL",
-            "identity": "media_clickid IS NULL",
-            "time": "ts IS NULL",
-            "event_id": "event_id IS NULL",
-        }
-    )
-    return typed.selectExpr("*", reason).drop("broken")
 
 
 def accepted(tagged: DataFrame, schema: StructType = APP_EVENT) -> DataFrame:

@@ -2,9 +2,9 @@ import pytest
 
 from cohortrail.operators import skew, timeline
 from cohortrail.plans import tables
-from cohortrail.schemas import CLICK
+from cohortrail.schemas import CLICK, WEB_EVENT
 from cohortrail.session import shared_dir
-from cohortrail.sources import files, jdbc, kafka, stored
+from cohortrail.sources import files, jdbc, kafka, payload, stored
 from tests.build import at, click, clicks_frame, event, events_frame
 
 
@@ -88,3 +88,10 @@ def test_join_unique_equals_plain_join(spark, how):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_messages_are_parsed_once(spark):
+    raw = spark.createDataFrame([("launch", "{}")], files.RAW_SCHEMA)
+    for kept in (payload.accepted(payload.app_events(raw)), payload.rejected(payload.app_events(raw)),
+                 payload.accepted(payload.web_events(raw), WEB_EVENT)):
+        assert kept._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
