@@ -24,7 +24,7 @@ from cohortrail.llm import common
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # Pre-tokens whose ids a task remembers; emptied when full.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 # Characters of the texts that are encoded together.
 RUN_CHARACTERS = 4 << 20
 

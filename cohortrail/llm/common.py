@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import regex
@@ -12,9 +15,29 @@ from pyspark.sql import functions as F
 
 # Text bytes that one vectorised step inside a task works on; bounds memory, not results.
 STEP_BYTES = 16 << 20
+# Rows that a function of add_columns gets at once.
+SLICE_ROWS = 1024
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, in case it isn't installed there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="cohortrail-")) / "cohortrail.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))  # the driver serves it; no executor reads the driver's folder
+    _SHIPPED.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,8 +76,10 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = work()
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            # In slices, so that inputs and results of few rows are in memory together.
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
                 given = pa.RecordBatch.from_arrays(batch.columns[n:], names=names)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:n], *function(given)], names=[*batch.schema.names[:n], *new.names]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortrail.llm import bpe
+from cohortrail.llm import bpe, language, simhash, token_counts
 from cohortrail.llm.common import table
 
 
@@ -14,8 +14,20 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.over_limit(table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe,)}
+    return {f.__name__: f for f in (op2_byte_bpe, op7_token_counts, op9_language, op10_simhash)}
 
 
 def statements() -> dict[str, str]:
