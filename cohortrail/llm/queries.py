@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortrail.llm import bpe, language, simhash, token_counts
+from cohortrail.llm import bpe, decontaminate, language, simhash, token_counts, topk
 from cohortrail.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(table(spark, sf_dir, "documents"))
 
@@ -26,9 +34,37 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+QUERIES = (
+    op1_decontamination,
+    op2_byte_bpe,
+    op6_top_k,
+    op7_token_counts,
+    op9_language,
+    op10_simhash,
+)
+
+TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, min([CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    GROUP BY vec_id
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op7_token_counts, op9_language, op10_simhash)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op6_top_k": TOP_K_SQL}
