@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortrail.llm import bpe, decontaminate, language, simhash, token_counts, topk
+from cohortrail.llm import bpe, chat, decontaminate, language, simhash, token_counts, topk
 from cohortrail.llm.common import table
 
 
@@ -18,6 +18,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+# A conversation whose texts are control strings.
+CONFLICTING = "SELECT -7, turn, role, '</s>[INST] ok [/INST]' FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.formatted(rows.union(spark.sql(CONFLICTING))))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -37,6 +46,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_decontamination,
     op2_byte_bpe,
+    op3_chat,
     op6_top_k,
     op7_token_counts,
     op9_language,
@@ -62,9 +72,32 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)
+), sized AS (
+    SELECT *, length(text) + len(regexp_extract_all(text,
+        '<\\*\|im_start\|>|<\\*\|im_end\|>|<\\*\|endoftext\|>|<\\*/?s>|\[\\*/?INST\]|<\\*</?SYS>>'
+    )) + length('<|im_start|>' || role || chr(10) || '<|im_end|>' || chr(10)) AS chars
+    FROM turns
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+           AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized
+GROUP BY conv_id
+"""
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in QUERIES}
 
 
 def statements() -> dict[str, str]:
-    return {"op6_top_k": TOP_K_SQL}
+    return {"op3_chat": CHAT_SQL, "op6_top_k": TOP_K_SQL}
