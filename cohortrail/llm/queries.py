@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortrail.llm import bpe, chat, decontaminate, language, simhash, token_counts, topk
+from cohortrail.llm import bpe, chat, decontaminate, language, pii, simhash, token_counts, topk
 from cohortrail.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(rows.union(spark.sql(CONFLICTING))))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -47,6 +51,7 @@ QUERIES = (
     op1_decontamination,
     op2_byte_bpe,
     op3_chat,
+    op5_pii,
     op6_top_k,
     op7_token_counts,
     op9_language,
