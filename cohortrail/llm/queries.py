@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortrail.llm import bpe, chat, decontaminate, language, pii, simhash, token_counts, topk
+from cohortrail.llm import bpe, chat, decontaminate, html_text, language, pii, simhash, token_counts, topk
 from cohortrail.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(table(spark, sf_dir, "documents"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES = (
     op5_pii,
     op6_top_k,
     op7_token_counts,
+    op8_main_text,
     op9_language,
     op10_simhash,
 )
