@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortrail.llm import bpe, chat, decontaminate, html_text, language, pii, simhash, token_counts, topk
+from cohortrail.llm import bpe, chat, decontaminate, html_text, language, pii, repeats, simhash, token_counts, topk
 from cohortrail.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(rows.union(spark.sql(CONFLICTING))))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -55,6 +59,7 @@ QUERIES = (
     op1_decontamination,
     op2_byte_bpe,
     op3_chat,
+    op4_repeats,
     op5_pii,
     op6_top_k,
     op7_token_counts,
@@ -105,9 +110,41 @@ GROUP BY conv_id
 """
 
 
+REPEATS_SQL = """
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+    FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 49)) AS i FROM d)
+), first AS (
+    SELECT s, min(doc_id) AS doc FROM w GROUP BY s
+), r AS (
+    SELECT w.doc_id, w.i, lag(w.i) OVER o AS p, lead(w.i) OVER o AS n
+    FROM w JOIN first USING (s)
+    WHERE first.doc < w.doc_id
+    WINDOW o AS (PARTITION BY w.doc_id ORDER BY w.i)
+), gone AS (
+    SELECT doc_id,
+           CAST(sum(least(50, coalesce(n - i, 50))) AS BIGINT) AS n_removed,
+           count(*) FILTER (p IS NULL OR i - p > 50) AS n_spans,
+           string_agg(CASE WHEN p IS NULL THEN substr(h, 1, 2 * i)
+                           WHEN i - p > 50 THEN substr(h, 2 * (p + 50) + 1, 2 * (i - p - 50))
+                           ELSE '' END, '' ORDER BY i) || substr(any_value(h), 2 * (max(i) + 50) + 1) AS kept
+    FROM r JOIN d USING (doc_id)
+    GROUP BY doc_id
+)
+SELECT d.doc_id,
+       CAST(len(h) // 2 AS BIGINT) AS n_bytes,
+       coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in QUERIES}
 
 
 def statements() -> dict[str, str]:
-    return {"op3_chat": CHAT_SQL, "op6_top_k": TOP_K_SQL}
+    return {"op3_chat": CHAT_SQL, "op4_repeats": REPEATS_SQL, "op6_top_k": TOP_K_SQL}
