@@ -51,6 +51,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores behind it as it takes to be no column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def add_columns(
     df: DataFrame,
     inputs: dict[str, str],

@@ -222,6 +222,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `documents` that hold no benchmark passage."""
-    found = matches(documents, benchmark).select("h").distinct().withColumnRenamed("h", "found_h")
-    hashed = documents.withColumn("own_h", F.expr("xxhash64(doc_id, text)"))
-    return hashed.join(found, hashed.own_h == found.found_h, "left_anti").drop("own_h")
+    key = common.fresh(documents, "h")
+    found = matches(documents, benchmark).select(F.col("h").alias(key)).distinct()
+    hashed = documents.withColumn(key, F.expr("xxhash64(doc_id, text)"))
+    return hashed.join(found, key, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])

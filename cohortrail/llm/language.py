@@ -202,6 +202,20 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     return common.add_columns(df, {"text": f"`{text}`"}, "lang_pred string, score double", work)
 
 
+# Times an equal share of all languages, which is what a text gets that resembles none of them.
+LEAST_SCORE = 1.2
+
+
+def accepted(documents: DataFrame) -> DataFrame:
+    """The rows of `documents` in a language of those that have a `lang`, with the columns they have."""
+    model = train(documents.select("doc_id", "text", "lang"))
+    kept = documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns)])
+    kept = predict(kept, model, f"c{documents.columns.index('text')}")
+    least = LEAST_SCORE / len(model.languages) if model and len(model.languages) > 1 else 0
+    kept = kept.where(f"lang_pred <> '{UNDETERMINED}' AND score >= {least}")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)])
+
+
 HELD_OUT = "crc32(CAST(doc_id AS string)) % 4 = 2"
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortrail.llm import common
 from cohortrail.operators.skew import materialize
 
 KEY = "surrogates"
@@ -174,7 +175,8 @@ _FORMATTED = (
 def _with_matches(documents: DataFrame) -> DataFrame:
     """Rows with an entity, or digits like one: `found` has the matches in order."""
     found = f"IF(text RLIKE {_sql(HINT)}, regexp_extract_all(text, {_sql(ENTITY)}, 0), array())"
-    return documents.withColumn("found", F.expr(found)).where("size(found) > 0")
+    name = common.fresh(documents, "found")
+    return documents.withColumn(name, F.expr(found)).where(f"size({name}) > 0")
 
 
 def occurrences(documents: DataFrame) -> DataFrame:
@@ -228,12 +230,13 @@ def replace(documents: DataFrame, key: str = KEY) -> DataFrame:
         .groupBy("digest")
         .agg(F.expr("array_sort(collect_list(struct(nr, put))).put AS puts"))
     )
-    columns = documents.columns
-    hits = _with_matches(documents).drop("found").withColumn("digest", F.expr("md5(text)")).join(per_text, "digest")
+    digest, puts = common.fresh(documents, "digest"), common.fresh(documents, "puts")
+    hits = _with_matches(documents).withColumn(digest, F.expr("md5(text)"))
+    hits = hits.join(per_text.selectExpr(f"digest AS {digest}", f"puts AS {puts}"), digest)
     between = f"split(text, {_sql(ENTITY)}, -1)"
     hits = hits.withColumn(
-        "text", F.expr(f"array_join(zip_with({between}, concat(puts, array('')), (a, b) -> concat(a, b)), '')")
-    ).select(*[F.col(f"`{c}`") for c in columns])
+        "text", F.expr(f"array_join(zip_with({between}, concat({puts}, array('')), (a, b) -> concat(a, b)), '')")
+    ).select(*[F.col(f"`{c}`") for c in documents.columns])
     none = f"NOT (text RLIKE {_sql(HINT)} AND size(regexp_extract_all(text, {_sql(ENTITY)}, 0)) > 0)"
     rest = documents.where(f"coalesce({none}, true)")
     return rest.unionByName(hits)

@@ -164,14 +164,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 def one_per_group(documents: DataFrame) -> DataFrame:
     """The rows of `documents` of which one stays per component: that of the smallest id, then of the smallest hash."""
+    key, first, nr = (common.fresh(documents, c) for c in ("keep_h", "keep_id", "keep_nr"))
     keep = (
         clusters(documents)
         .groupBy("root")
         .agg(F.expr("min(struct(doc_id IS NULL AS no_id, doc_id, h)) AS first"))
-        .selectExpr("first.doc_id AS keep_id", "first.h AS keep_h")
+        .selectExpr(f"first.doc_id AS {first}", f"first.h AS {key}")
     )
-    hashed = documents.withColumn("keep_h", F.expr("xxhash64(doc_id, text)"))
-    joined = hashed.join(keep, ["keep_h"]).where("doc_id <=> keep_id")
+    hashed = documents.withColumn(key, F.expr("xxhash64(doc_id, text)"))
+    joined = hashed.join(keep, [key]).where(f"doc_id <=> {first}")
     # A row that is there several times stays once.
-    order = "row_number() OVER (PARTITION BY keep_h, keep_id ORDER BY keep_h)"
-    return joined.withColumn("keep_nr", F.expr(order)).where("keep_nr = 1").select(documents.columns)
+    order = f"row_number() OVER (PARTITION BY {key}, {first} ORDER BY {key})"
+    kept = joined.withColumn(nr, F.expr(order)).where(f"{nr} = 1")
+    return kept.select(*[F.col(f"`{c}`") for c in documents.columns])
