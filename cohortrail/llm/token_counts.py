@@ -33,7 +33,7 @@ TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
 # Pre-tokens that are looked up by broadcast, the most frequent ones.
 HEAD = 1 << 17
-# Words whose pre-tokens a task remembers; emptied when full.
+# Words that a task remembers; emptied when full.
 REMEMBERED = 300_000
 # Stands for each special token of a text. Pre-tokens contain no space.
 SPECIAL = " special"
@@ -81,34 +81,29 @@ class Tokens:
             and not parts[1]["use_regex"]
         )
         self._mapped = dict(enumerate(byte_characters()))
-        self._known: dict[str, tuple[str, ...]] = {}
-
-    def _of_word(self, word: str) -> tuple[str, ...]:
-        found = self._known.get(word)
-        if found is None:
-            if len(self._known) >= REMEMBERED:
-                self._known = {}
-            lower = _FAST_MATCHES.findall(word.lower())
-            found = tuple(p.encode().decode("latin-1").translate(self._mapped) for p in lower)
-            self._known[word] = found
-        return found
-
-    def add(self, text: str, counts: Counter) -> None:
-        """Add the pre-tokens of `text` to `counts`."""
-        parts = [text]
+
+    def _of_word(self, word: str) -> list[str]:
+        found = _FAST_MATCHES.findall(word.lower())
+        return [p if p.isascii() else p.encode().decode("latin-1").translate(self._mapped) for p in found]
+
+    def _slowly(self, text: str) -> list[str]:
+        plain = self._normalizer.normalize_str(text) if self._normalizer else text
+        return [p for p, _ in self._pre.pre_tokenize_str(plain)] if self._pre else [plain]
+
+    def words(self, text: str) -> list[str]:
+        """`text` in parts whose pre-tokens don't depend on each other, to be counted before they are cut further."""
         if self._special and self._special.search(text):
             parts = self._special.split(text)
-            counts[SPECIAL] += len(parts) - 1
-        for part in parts:
-            if self._fast and not common.is_odd(part):
-                # No pre-token contains white space, so words can be counted first.
-                for word, n in Counter(part.split()).items():
-                    for p in self._of_word(word):
-                        counts[p] += n
-            elif part:
-                plain = self._normalizer.normalize_str(part) if self._normalizer else part
-                found = self._pre.pre_tokenize_str(plain) if self._pre else [(plain, None)]
-                counts.update(p for p, _ in found)
+            found = [SPECIAL] * (len(parts) - 1)
+            return [w for part in parts for w in self.words(part)] + found
+        # No pre-token contains white space.
+        return text.split() if self._fast and not common.is_odd(text) else [text] if text else []
+
+    def of(self, word: str) -> list[str]:
+        """The pre-tokens of one of the `words`."""
+        if word == SPECIAL:
+            return [SPECIAL]
+        return self._of_word(word) if self._fast and not common.is_odd(word) else self._slowly(word)
 
     def pieces(self, pre_token: str) -> int:
         return 1 if pre_token == SPECIAL else len(self._library.model.tokenize(pre_token))
@@ -125,17 +120,25 @@ def pieces(texts: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(tokenizer.value)
-        for batch in batches:
+
+        def batch_of(words: Counter) -> pa.RecordBatch:
             counts: Counter = Counter()
-            for text in batch.column(0):
-                tokens.add(text.as_py() or "", counts)
-                if len(counts) >= REMEMBERED:
-                    yield pa.RecordBatch.from_pydict({"pre_token": list(counts), "frequency": list(counts.values())})
-                    counts = Counter()
-            yield pa.RecordBatch.from_pydict(
+            for word, n in words.items():
+                for p in tokens.of(word):
+                    counts[p] += n
+            return pa.RecordBatch.from_pydict(
                 {"pre_token": pa.array(counts, pa.string()), "frequency": pa.array(counts.values(), pa.int64())}
             )
 
+        for batch in batches:
+            words: Counter = Counter()
+            for text in batch.column(0):
+                words.update(tokens.words(text.as_py() or ""))
+                if len(words) >= REMEMBERED:
+                    yield batch_of(words)
+                    words = Counter()
+            yield batch_of(words)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(tokenizer.value)
         for batch in batches:
@@ -161,17 +164,30 @@ def counts(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per document: what the head accounts for, under a key that no pre-token has, and the other pre-tokens."""
-        tokens, known = Tokens(tokenizer.value), head.value
+        tokens, in_head = Tokens(tokenizer.value), head.value
+        known: dict[str, int] = {}  # what the head accounts for in a word
+        rest: dict[str, list[str]] = {}  # the other pre-tokens of words that have some
         for batch in batches:
             ends, keys, ns = [0], [], []
             for i, text in enumerate(batch.column("text")):
-                found: Counter = Counter()
-                tokens.add(text.as_py() or "", found)
-                rest = found.keys() - known.keys()
+                words = tokens.words(text.as_py() or "")
+                distinct = set(words)
+                if len(known) + len(distinct) > REMEMBERED:
+                    known, rest = {}, {}
+                for word in distinct - known.keys():
+                    found = tokens.of(word)
+                    known[word] = sum(in_head.get(p, 0) for p in found)
+                    if others := [p for p in found if p not in in_head]:
+                        rest[word] = others
                 keys.append(f" {i % 997}")
-                ns.append(sum(known[p] * n for p, n in found.items() if p in known))
-                keys.extend(rest)
-                ns.extend(found[p] for p in rest)
+                ns.append(sum(map(known.__getitem__, words)))
+                if rare := distinct & rest.keys():
+                    counts: Counter = Counter()
+                    for word, n in Counter(w for w in words if w in rare).items():
+                        for p in rest[word]:
+                            counts[p] += n
+                    keys.extend(counts)
+                    ns.extend(counts.values())
                 ends.append(len(keys))
             offsets = pa.array(ends, pa.int32())
             yield pa.RecordBatch.from_arrays(
