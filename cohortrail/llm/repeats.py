@@ -33,15 +33,17 @@ LENGTH = 50
 ANCHOR = 8
 WINDOWS = LENGTH - ANCHOR + 1  # anchors of a window
 SIDE = (WINDOWS - 1) // 2  # one side of the anchor has so many bytes of a window at least
-MOST = 64  # windows of a fragment
+MOST = WINDOWS  # windows of a fragment
 SUBS = 8  # steps in which a task works on its share
 NONE = (1 << 63) - 1  # stands for a null doc_id
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 12 << 20
+STEP_BYTES = 1 << 20
 # Suffixes that one array holds; fragments of equal minimizers stay together.
 ARRAY_SUFFIXES = 1 << 19
 HELD_SPANS = 1 << 21
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_PLACE = np.uint64(63)
 _EMPTY = np.zeros(0, np.int64)
 
 
@@ -77,23 +79,27 @@ def fragments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     n = len(data) - LENGTH + 1
     if n <= 0:
         return _EMPTY, _EMPTY, _EMPTY
-    hashes = _mix(_words(data))
-    low = _sliding_min(hashes, WINDOWS)
+    out = []
+    # In steps, since each byte takes many while its windows are worked out.
+    for at in range(0, n, STEP_BYTES):
+        out.append(_fragments(data[at : at + STEP_BYTES + LENGTH - 1], ends - at, at))
+    starts, lengths, where = (np.concatenate(x) for x in zip(*out, strict=True))
+    return starts, lengths, where
+
+
+def _fragments(data: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(data) - LENGTH + 1
+    # The last bits of a hash give way to the place, which so comes with the minimum.
+    places = np.arange(len(data) - ANCHOR + 1, dtype=np.uint64) & _PLACE
+    low = _sliding_min(_mix(_words(data)) & ~_PLACE | places, WINDOWS)
     inside = np.ones(n, bool)
-    for end in ends.tolist():
+    for end in ends[(ends > 0) & (ends < len(data))].tolist():
         inside[max(0, end - LENGTH + 1) : end] = False
     same = (low[1:] == low[:-1]) & inside[1:] & inside[:-1]
     starts = np.flatnonzero(np.concatenate(([True], ~same)) & inside)
     stops = np.flatnonzero(np.concatenate((~same, [True])) & inside) + 1
-    pieces = -(-(stops - starts) // MOST)
-    nr = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    starts = np.repeat(starts, pieces) + nr * MOST
-    stops = np.minimum(np.repeat(stops, pieces), starts + MOST)
-    where = np.empty(len(starts), np.int64)
-    for at in range(0, len(starts), 1 << 15):
-        s = starts[at : at + (1 << 15)]
-        where[at : at + (1 << 15)] = (hashes[s[:, None] + np.arange(WINDOWS)] == low[s][:, None]).argmax(axis=1)
-    return starts, stops - starts + LENGTH - 1, starts + where
+    where = starts + ((low[starts] & _PLACE).astype(np.int64) - starts & int(_PLACE))
+    return starts + base, stops - starts + LENGTH - 1, where + base
 
 
 def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -216,8 +222,10 @@ def _candidates(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ancho
     """
     padded = _padded(data)
     kmers = _words(padded, starts + anchors)
-    repeated = anchors < lengths - LENGTH  # not in the last window
-    keep = np.isin(kmers, kmers[repeated])
+    times = np.zeros(len(starts), np.int8)
+    for k in range(int(lengths.max(initial=ANCHOR)) - ANCHOR + 1):
+        times += (_words(padded, starts + k) == kmers) & (k <= lengths - ANCHOR)
+    keep = np.isin(kmers, np.unique(kmers[times > 1]))
     for side in (-SIDE, 0):
         usable = np.flatnonzero((anchors + side >= 0) & (anchors + side + SIDE + ANCHOR <= lengths))
         if len(usable):
