@@ -7,6 +7,9 @@ defined where the original rule left it to storage order. Missing and placeholde
 Set-wise this is one equi-join: both sides are unpivoted to `(os, level, key)`, clicks are reduced to the earliest
 per key first (a shared address costs one row, however many clicks it has), and the best level is a minimum.
 If the earliest click of a key is later than the launch, so are all others of that key.
+
+A click without a time can't be put before or after a launch: it takes no part (`undated_clicks` sets such rows apart)
+and never hides a dated one. Of clicks at the same time, one without an id comes first.
 """
 
 from __future__ import annotations
@@ -46,6 +49,11 @@ def unpivot_keys(df: DataFrame, levels: Mapping[int, Sequence[str]], keep: Seque
     return df.selectExpr("os", *keep, f"inline(filter(CASE os {cases} END, p -> p.key IS NOT NULL))")
 
 
+def undated_clicks(clicks: DataFrame) -> DataFrame:
+    """Clicks that `match_clicks` can't use, with the reason."""
+    return clicks.where("click_ts IS NULL").selectExpr("'time' AS reason", "*")
+
+
 def earliest_click(offers: DataFrame, on: Sequence[str]) -> DataFrame:
     """One row per key: the first click that carries it."""
     first = F.expr(f"min(struct({', '.join(_CLICK)})) AS click")
@@ -76,12 +84,13 @@ def match_clicks(
     """
     on = [*_KEY, *click_keys]
     keys = unpivot_keys(devices, levels, [*DEVICE_KEYS, "ts"])
-    offers = unpivot_keys(clicks, levels, [*_CLICK, *click_keys])
+    offers = unpivot_keys(clicks.where("click_ts IS NOT NULL"), levels, [*_CLICK, *click_keys])
     most_keys = (devices.count() if at_most is None else at_most) * max(map(len, levels.values()))
     if most_keys <= few_keys:
         # A small batch of devices against all clicks: only clicks that share a key leave the scan.
         offers = offers.join(F.broadcast(keys.select(*on).distinct()), on, "left_semi")
     if lookback_days is not None:
+        keys = keys.where("ts IS NOT NULL")
         return _best_level(_first_click_since(keys, offers, on, lookback_days))
     # A shared address can be the key of very many devices; fewer devices than the limit need no look.
     hot = hot_keys(keys, on, hot_rows) if most_keys >= hot_rows else None
@@ -108,14 +117,15 @@ def _first_click_since(keys: DataFrame, offers: DataFrame, on: Sequence[str], lo
     minutes = line.groupBy(*on, "cut").agg(F.expr("min(click) AS first_click"))
     later = minutes.selectExpr(
         *on, "cut",
-        f"min(first_click) OVER (PARTITION BY {by} ORDER BY cut"
-        " ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later_click",
+        f"min(first_click) OVER (PARTITION BY {by} ORDER BY cut DESC"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS later_click",
     )
-    # At equal times the probe (side 0) comes first, so a click at the very bound still counts.
+    # Windows run backwards in time, since only frames that start with the partition are computed in one pass.
+    # At equal times the probe (side 0) comes last, so a click at the very bound still counts.
     ahead = line.selectExpr(
         "*",
-        f"min(click) OVER (PARTITION BY {by}, cut ORDER BY at, side"
-        " ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS same_minute",
+        f"min(click) OVER (PARTITION BY {by}, cut ORDER BY at DESC, side DESC"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS same_minute",
     )
     found = (
         ahead.where("side = 0")

@@ -10,7 +10,7 @@ One shuffle of the events serves all windows. A device with very many events is
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -19,10 +19,12 @@ from pyspark.sql.types import StructType
 
 from cohortrail.functions import scalars as S
 from cohortrail.operators import attribution as A
-from cohortrail.operators.skew import HOT_ROWS, heaviest, materialize
+from cohortrail.operators.skew import HOT_ROWS, HotKeys, heaviest, materialize
 from cohortrail.schemas import DEVICE_KEYS, DEVICE_STATE, LAUNCH, ORGANIC, PAY, REG, WEB_KEYS, WEB_STATE
 
 SLICE = "slice"
+# Devices per shuffle partition up to which their side of a join is hashed in memory; beyond, both sides are sorted.
+HASHED_ROWS = 2_000_000
 _WHOLE = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 _MINUTE = "CAST(date_trunc('minute', ts) AS timestamp_ntz)"
 
@@ -41,11 +43,29 @@ WEB_MEASURES = {"launch": f"CASE WHEN {_ON_TIME} THEN ts END"}
 
 
 class Step(NamedTuple):
+    """Every event of the batch is in `facts` or in `rejects`."""
+
     facts: DataFrame
     rejects: DataFrame
     state: DataFrame  # complete rows of the devices this batch touched
 
 
+def _unusable(rules: dict[str, str]) -> str:
+    """The reason why an event can't be placed in the history of a device, or null."""
+    return "CASE " + " ".join(f"WHEN {column} IS NULL THEN '{reason}'" for column, reason in rules.items()) + " END"
+
+
+APP_UNUSABLE = _unusable({"app_id": "app", "device_id": "identity", "ts": "time"})
+WEB_UNUSABLE = _unusable({"media_clickid": "identity", "ts": "time"})
+
+
+def _hashed(devices: DataFrame, n: int) -> DataFrame:
+    """A hash join leaves the one sort of the events to the windows, which use the same partitioning. It can't spill,
+    so it is asked for only while the devices of a partition are known to be few."""
+    partitions = int(devices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return devices.hint("shuffle_hash") if n <= HASHED_ROWS * partitions else devices
+
+
 def first_launches(events: DataFrame) -> DataFrame:
     """One row per device: number of events and the first launch with the ids it was reported under.
 
@@ -66,7 +86,12 @@ def _with_state(firsts: DataFrame, state: DataFrame | None, schema: StructType,
 
 
 def resolve_devices(
-    firsts: DataFrame, clicks: DataFrame, state: DataFrame | None = None, hot_rows: int = HOT_ROWS, **match
+    firsts: DataFrame,
+    clicks: DataFrame,
+    state: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
+    **match,
 ) -> DataFrame:
     """Activation time and credited plan of every device in `firsts`, a written table.
 
@@ -74,13 +99,12 @@ def resolve_devices(
     have a null `active_time`.
     """
     known = _with_state(firsts, state, DEVICE_STATE, DEVICE_KEYS)
+    if state is not None:
+        # Read once; the devices to be matched are counted, not those already known.
+        known = materialize(known, "known", scratch)
     fresh = known.where("ts IS NOT NULL AND s_active_time IS NULL")
     credited = A.match_clicks(
-        fresh.select(*DEVICE_KEYS, "os", "ts", *A.MATCH_COLUMNS),
-        clicks,
-        hot_rows=hot_rows,
-        at_most=firsts.count(),
-        **match,
+        fresh.select(*DEVICE_KEYS, "os", "ts", *A.MATCH_COLUMNS), clicks, hot_rows=hot_rows, at_most=fresh.count(), **match
     ).selectExpr(*DEVICE_KEYS, "plan_id AS c_plan", "channel_id AS c_channel")
     return known.join(credited, DEVICE_KEYS, "left").selectExpr(
         *DEVICE_KEYS,
@@ -95,13 +119,13 @@ def resolve_devices(
     )
 
 
-def cut_hot(events: DataFrame, hot: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+def cut_hot(events: DataFrame, hot: HotKeys | None, keys: Sequence[str]) -> DataFrame:
     """Add the slice: the minute for hot keys, one constant for all others."""
     if hot is None:
         return events.selectExpr("*", f"{_WHOLE} AS {SLICE}")
-    flagged = hot.selectExpr(*keys, "true AS is_hot")
+    flagged = hot.rows.selectExpr(*keys, "true AS is_hot")
     return (
-        events.join(F.broadcast(flagged), list(keys), "left")
+        events.join(hot.spread(flagged), list(keys), "left")
         .selectExpr("*", f"CASE WHEN is_hot THEN {_MINUTE} ELSE {_WHOLE} END AS {SLICE}")
         .drop("is_hot")
     )
@@ -110,7 +134,7 @@ def cut_hot(events: DataFrame, hot: DataFrame | None, keys: Sequence[str]) -> Da
 def carry(
     events: DataFrame,
     devices: DataFrame,
-    hot: DataFrame | None,
+    hot: HotKeys | None,
     keys: Sequence[str],
     measures: dict[str, str],
     needs: Sequence[str],
@@ -122,10 +146,10 @@ def carry(
     if hot is None:
         nothing = [f"CAST(NULL AS timestamp_ntz) AS carry_{m}" for m in measures]
         return devices.selectExpr("*", f"{_WHOLE} AS {SLICE}", *nothing)
-    few = devices.join(F.broadcast(hot), list(keys), "left_semi").select(*keys, *needs)
+    few = devices.join(hot.spread(hot.rows), list(keys), "left_semi").select(*keys, *needs)
     minutes = (
         events.selectExpr("*", f"{_MINUTE} AS {SLICE}")
-        .join(F.broadcast(few), list(keys))
+        .join(hot.spread(few), list(keys))
         .groupBy(*keys, SLICE)
         .agg(*[F.expr(f"max({c}) AS {m}") for m, c in measures.items()])
     )
@@ -150,25 +174,34 @@ _NEW_TODAY = f"NOT {_LATE} AND ({_NEW} OR to_date(prev_launch_time) < to_date(ts
 def step(
     events: DataFrame,
     clicks: DataFrame,
-    state: DataFrame | None = None,
+    state: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
     hot_rows: int = HOT_ROWS,
     scratch: str | None = None,
     **match,
 ) -> Step:
     """Facts, rejects and the new state of the devices touched.
 
+    Events without app, device or time are rejects (`app`, `identity`, `time`), as are registrations and payments
+    without an activation. `state` may be a function of the devices of the batch (a written table of their keys).
+
     A launch older than the device's last one in state is `late`: it is a launch and nothing else. A payment on a day
     not after the last pay day in state opens no payer-day. State never moves back. `match` goes to
-    `attribution.match_clicks`; `scratch` is a folder for the intermediate device table, overwritten.
+    `attribution.match_clicks`; `scratch` is a folder for the intermediate device tables, overwritten. With it, the
+    resolved devices are written too, so that state and clicks are read once for all three results.
     """
+    unusable = events.selectExpr(f"{APP_UNUSABLE} AS reason", *events.columns).where("reason IS NOT NULL")
+    events = events.where(f"{APP_UNUSABLE} IS NULL")
     firsts = materialize(first_launches(events), "firsts", scratch)
     hot = heaviest(firsts, DEVICE_KEYS, hot_rows)
-    devices = resolve_devices(firsts, clicks, state, hot_rows, **match)
+    if callable(state):
+        state = state(firsts.select(*DEVICE_KEYS))
+    devices = resolve_devices(firsts, clicks, state, hot_rows, scratch, **match)
+    if scratch is not None:
+        devices = materialize(devices, "devices", scratch)
     spread = carry(events, devices, hot, DEVICE_KEYS, APP_MEASURES, ["active_time", "s_last_launch_time"])
-    # A hash join leaves the one sort of the events to the windows, which use the same partitioning.
     joined = (
         cut_hot(events, hot, DEVICE_KEYS)
-        .join(spread.drop("n").hint("shuffle_hash"), [*DEVICE_KEYS, SLICE])
+        .join(_hashed(spread.drop("n"), firsts.count()), [*DEVICE_KEYS, SLICE])
         .selectExpr("*", f"({_LAUNCH} OR {_SINCE_ACTIVE}) AS valid")
     )
     windowed = joined.where("valid").selectExpr(
@@ -204,7 +237,7 @@ def step(
         *passed,
     )
     rejects = joined.where("NOT valid").selectExpr("'no_activation' AS reason", *events.columns)
-    return Step(facts, rejects, _next_state(joined))
+    return Step(facts, rejects.unionByName(unusable), _next_state(joined))
 
 
 def _next_state(joined: DataFrame) -> DataFrame:
@@ -234,8 +267,9 @@ def _next_state(joined: DataFrame) -> DataFrame:
 
 
 def state_to_text(state: DataFrame) -> DataFrame:
-    """Export form of the device state: key `app-device`, value a JSON object of four texts."""
+    """Export form of the device state: key `app-device`, value a JSON object of four texts, and the key's two parts."""
     return state.selectExpr(
+        *DEVICE_KEYS,
         "concat_ws('-', app_id, device_id) AS state_key",
         f"to_json(named_struct('activetime', {S.time_text('active_time')},"
         f" 'launchtime', {S.time_text('last_launch_time')},"
@@ -244,11 +278,18 @@ def state_to_text(state: DataFrame) -> DataFrame:
 
 
 def state_from_text(exported: DataFrame) -> DataFrame:
-    """Inverse of `state_to_text`, to second precision; registration and payment history are not in the text."""
-    device = "substring_index(state_key, '-', -1)"
+    """Inverse of `state_to_text`, to second precision; registration and payment history are not in the text.
+
+    Where only the key is there, not its parts, it is cut before a hashed device id, else at its first dash, as device
+    ids may hold dashes.
+    """
+    parts = DEVICE_KEYS
+    if not set(DEVICE_KEYS) <= set(exported.columns):
+        hashed = "state_key RLIKE '-[0-9a-f]{32}$'"
+        app = f"IF({hashed}, left(state_key, length(state_key) - 33), substring_index(state_key, '-', 1))"
+        parts = [f"{app} AS app_id", f"substr(state_key, length({app}) + 2) AS device_id"]
     return exported.selectExpr(
-        f"left(state_key, length(state_key) - length({device}) - 1) AS app_id",
-        f"{device} AS device_id",
+        *parts,
         "from_json(state_value, 'activetime string, launchtime string, planid string, channelid string') AS v",
     ).selectExpr(
         *DEVICE_KEYS,
@@ -260,17 +301,27 @@ def state_from_text(exported: DataFrame) -> DataFrame:
 
 
 def web_step(
-    events: DataFrame, state: DataFrame | None = None, hot_rows: int = HOT_ROWS, scratch: str | None = None
+    events: DataFrame,
+    state: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
+    hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
 ) -> Step:
-    """Web launches: the click id is the device, plan and creative come with the event, nothing is rejected."""
+    """Web launches: the click id is the device, plan and creative come with the event. Events without click id or time
+    are rejects (`identity`, `time`)."""
+    unusable = events.selectExpr(f"{WEB_UNUSABLE} AS reason", *events.columns).where("reason IS NOT NULL")
+    events = events.where(f"{WEB_UNUSABLE} IS NULL")
     firsts = events.groupBy(*WEB_KEYS).agg(F.expr("count(1) AS n"), F.expr("min(ts) AS first_ts"))
     firsts = materialize(firsts, "web-firsts", scratch)
     hot = heaviest(firsts, WEB_KEYS, hot_rows)
+    if callable(state):
+        state = state(firsts.select(*WEB_KEYS))
     devices = _with_state(firsts, state, WEB_STATE, WEB_KEYS).selectExpr(
         *WEB_KEYS, "coalesce(s_active_time, first_ts) AS active_time", "s_last_launch_time"
     )
+    if scratch is not None:
+        devices = materialize(devices, "web-devices", scratch)
     spread = carry(events, devices, hot, WEB_KEYS, WEB_MEASURES, ["s_last_launch_time"])
-    joined = cut_hot(events, hot, WEB_KEYS).join(spread.hint("shuffle_hash"), [*WEB_KEYS, SLICE])
+    joined = cut_hot(events, hot, WEB_KEYS).join(_hashed(spread, firsts.count()), [*WEB_KEYS, SLICE])
     facts = joined.selectExpr(
         "*",
         f"coalesce({_latest_before(WEB_KEYS, WEB_MEASURES['launch'])}, carry_launch, s_last_launch_time)"
@@ -290,4 +341,4 @@ def web_step(
         .agg(F.expr("max(ts) AS launch"))
         .selectExpr(*WEB_KEYS, "active_time", "greatest(s_last_launch_time, launch) AS last_launch_time")
     )
-    return Step(facts, events.where("false").selectExpr("'none' AS reason", *events.columns), new_state)
+    return Step(facts, unusable, new_state)

@@ -214,10 +214,10 @@ _LOGS = {
 _MEDIA = ["media_accountid", "media_campaignid", "media_advgroupid", "plan_id", "channel_id"]
 
 
-def _attribution(os: int, lookback_days: int | None = None) -> str:
-    devices = DEVICES
+def _attribution(os: int, lookback_days: int | None = None, dated: str = "true") -> str:
+    devices = DEVICES.replace("WHERE click_ts <= ts", f"WHERE {dated} AND click_ts <= ts")
     if lookback_days is not None:
-        devices = DEVICES.replace("/*LOOKBACK*/", f"AND click_ts >= ts - INTERVAL {lookback_days} DAY")
+        devices = devices.replace("/*LOOKBACK*/", f"AND click_ts >= ts - INTERVAL {lookback_days} DAY")
     where = f"WHERE os = {os}" if os else ""
     return (
         f"{_with(BASE, devices)} SELECT app_id, device_id, {big('os', 'os')}, {micros('active_time')} AS active_time,"
@@ -317,8 +317,35 @@ def statements() -> dict[str, str]:
             " || ',\"pay\":' || CASE WHEN changes THEN p1 ELSE p0 END || '}' AS app_event FROM j"
         ),
         "unknown_app_rejects": (
-            f"{_with(BASE, REGISTRY)} SELECT kind, app_id, {big('count(*)', 'n')} FROM ev"
-            " WHERE app_id NOT IN (SELECT app_id FROM reg WHERE app_id <> '2') GROUP BY ALL"
+            f"{_with(BASE, REGISTRY)}, dealt AS (SELECT event_id, CAST(user_id % 7 AS VARCHAR) AS app FROM src)"
+            " SELECT 'app' AS reason, event_id, kind, app AS app_id, device_id FROM ev JOIN dealt USING (event_id)"
+            " WHERE app NOT IN (SELECT app_id FROM reg)"
+        ),
+        "attribution_dirty_clicks": _attribution(0, None, "click_id % 3 <> 0"),
+        "event_accounting": (
+            f"{_with(BASE)}, e AS (SELECT * REPLACE (CASE WHEN event_id % 7 <> 0 THEN device_id END AS device_id,"
+            " CASE WHEN event_id % 11 <> 0 THEN ts END AS ts) FROM ev),"
+            " l AS (SELECT app_id, device_id, min(ts) AS first FROM e WHERE kind = 'launch' GROUP BY ALL)"
+            " SELECT kind, CASE WHEN device_id IS NULL THEN 'identity' WHEN ts IS NULL THEN 'time'"
+            " WHEN kind = 'launch' OR first <= ts THEN 'fact' ELSE 'no_activation' END AS outcome,"
+            f" {big('count(*)', 'n')} FROM e LEFT JOIN l USING (app_id, device_id) GROUP BY ALL"
+        ),
+        "state_text_round_trip": (
+            f"{_STATE} SELECT app_id, 'u-' || device_id[:8] || '-' || device_id[9:] AS device_id, plan_id, channel_id,"
+            f" strftime(active_time, {SECONDS}) || '.000000' AS active_time,"
+            f" strftime(last_launch_time, {SECONDS}) || '.000000' AS last_launch_time FROM st"
+        ),
+        "stream_rejects": (
+            f"SELECT * FROM ({_with(RAW)} SELECT reason, kind, CAST(event_id AS VARCHAR) AS event_id FROM msg"
+            " WHERE reason IS NOT NULL)"
+            f" UNION ALL SELECT * FROM ({_with(BASE)} SELECT 'no_activation' AS reason, kind,"
+            " CAST(event_id AS VARCHAR) AS event_id FROM ev e"
+            " WHERE kind <> 'launch' AND NOT EXISTS (SELECT 1 FROM ev l WHERE l.kind = 'launch' AND l.app_id = e.app_id"
+            " AND l.device_id = e.device_id AND l.ts <= e.ts))"
+        ),
+        "log_rejects": (
+            f"{_with(BASE, DEVICES)} SELECT 'no_launch' AS reason, app_id, device_id, {micros('active_time')} AS active_time"
+            " FROM credit WHERE plan_id = '0'"
         ),
         "log_union": f"{_FACTS} " + " UNION ALL ".join(_log(n, w) for n, w in _LOGS.items()),
         "web_facts": (
@@ -359,6 +386,16 @@ def statements() -> dict[str, str]:
     out["launch_daily_stream"] = out["launch_daily_base"]
     out["app_tables_stream"] = out["daily_base_full"]
     out["web_daily_stream"] = out["web_daily_base"]
+    out["retention_stream"] = out["retention_cohort"]
+    out["pay_cohort_stream"] = out["pay_cohort"]
+    out["stream_state"] = out["device_state_snapshot"]
+    out["web_retention_stream"] = out["web_retention"]
+    out["stream_redelivered"] = out["daily_base_full"]
+    half = "min(ts) + to_microseconds(date_diff('microsecond', min(ts), max(ts)) // 2)"
+    out["stream_from_history"] = (
+        f"SELECT * FROM ({out['daily_base_full']}) WHERE stat_date >="
+        f" (SELECT strftime(CAST({half} AS DATE), '%Y-%m-%d') FROM events)"
+    )
     out["device_identity_clear"] = (
         f"{_with(RAW)} SELECT event_id, kind, app_id, {big('os', 'os')}, usr AS device_id FROM msg WHERE reason IS NULL"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortrail.operators import attribution, registry, rollup, stats, timeline
 from cohortrail.operators.skew import materialize
@@ -85,13 +86,15 @@ def pay_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(stats.pay_cohort(_step(spark, sf_dir).facts).drop(*FIRST))
 
 
-def _attribution(where: str, **match) -> Query:
-    """Every device of the platform with the level that matched it, 0 for none."""
+def _attribution(where: str, dated: str = "true", **match) -> Query:
+    """Every device of the platform with the level that matched it, 0 for none. Clicks for which `dated` doesn't hold
+    lose their time."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         launches = given.app_events(spark, sf_dir).where(f"kind = '{LAUNCH}' AND {where}")
         firsts = materialize(timeline.first_launches(launches), "firsts")
-        matched = attribution.match_clicks(firsts, given.clicks(spark, sf_dir), **match)
+        clicks = given.clicks(spark, sf_dir).withColumn("click_ts", F.expr(f"CASE WHEN {dated} THEN click_ts END"))
+        matched = attribution.match_clicks(firsts, clicks, **match)
         joined = firsts.join(matched.drop("os"), ["app_id", "device_id"], "left")
         return present(
             joined, "app_id", "device_id", "os", "ts AS active_time", "coalesce(level, 0) AS level", "click_id",
@@ -150,7 +153,7 @@ def device_state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def device_state_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline.state_to_text(_step(spark, sf_dir).state)
+    return timeline.state_to_text(_step(spark, sf_dir).state).select("state_key", "state_value")
 
 
 def app_onboarding_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,11 +167,31 @@ def app_registry_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unknown_app_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of an app missing from the registry, here app 2, counted per topic."""
-    known = given.app_registry(spark, sf_dir).where("app_id <> '2'")
-    tagged = given.app_events(spark, sf_dir).selectExpr("*", "CAST(NULL AS string) AS reason")
-    flagged = registry.flag_unknown_apps(tagged, known).where("reason = 'app'")
-    return flagged.groupBy("kind", "app_id").count().withColumnRenamed("count", "n")
+    """Events of apps missing from the registry. Dealt to seven apps, some of the given events have none there."""
+    tagged = given.app_events(spark, sf_dir, apps=7).selectExpr("*", "CAST(NULL AS string) AS reason")
+    flagged = registry.flag_unknown_apps(tagged, given.app_registry(spark, sf_dir)).where("reason IS NOT NULL")
+    return present(flagged, "reason", "event_id", "kind", "app_id", "device_id")
+
+
+def event_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts and rejects of events of which some lack device or time: together they are all events."""
+    events = (
+        given.app_events(spark, sf_dir)
+        .withColumn("device_id", F.expr("CASE WHEN event_id % 7 <> 0 THEN device_id END"))
+        .withColumn("ts", F.expr("CASE WHEN event_id % 11 <> 0 THEN ts END"))
+    )
+    step = timeline.step(events, given.clicks(spark, sf_dir))
+    outcomes = step.facts.selectExpr("kind", "'fact' AS outcome").unionByName(
+        step.rejects.selectExpr("kind", "reason AS outcome")
+    )
+    return outcomes.groupBy("kind", "outcome").agg(F.expr("count(1) AS n"))
+
+
+def state_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device state to text and back, with dashes in the device ids."""
+    dashed = "concat_ws('-', 'u', left(device_id, 8), substr(device_id, 9))"
+    state = _step(spark, sf_dir).state.withColumn("device_id", F.expr(dashed))
+    return present(timeline.state_from_text(timeline.state_to_text(state).select("state_key", "state_value")))
 
 
 def log_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,6 +244,84 @@ def app_tables_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(stream.current(stream.daily).drop(*FIRST))
 
 
+def retention_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = _app_stream(given.raw_payloads(spark, sf_dir), sf_dir)
+    return present(stream.current(stream.retention).drop(*FIRST))
+
+
+def pay_cohort_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = _app_stream(given.raw_payloads(spark, sf_dir), sf_dir)
+    return present(stream.current(stream.pay_cohort).drop(*FIRST))
+
+
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = _app_stream(given.raw_payloads(spark, sf_dir), sf_dir)
+    return present(stream.current(stream.state))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged messages and events without an activation, by the event id in their text."""
+    stream = _app_stream(given.raw_payloads(spark, sf_dir), sf_dir)
+    event_id = """regexp_extract(raw, '"event_id":"?([0-9]+)', 1) AS event_id"""
+    return stream.current(stream.rejects).selectExpr("reason", "kind", event_id)
+
+
+def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship from messages without ids of their own, each delivered twice, an hour apart."""
+    bare = given.raw_payloads(spark, sf_dir).selectExpr(
+        "ts", "kind", """regexp_replace(value, ',"event_id":"[0-9]+"?', '') AS value""",
+        """CAST(regexp_extract(value, '"event_id":"([0-9]+)', 1) AS bigint) AS position""",
+    )
+    twice = bare.selectExpr("*", "explode(array(0, 1)) AS nr").selectExpr(
+        "ts + nr * INTERVAL 1 HOUR AS ts", "kind", "value", "2 * position + nr AS position",
+    ).withColumn("arrival", F.col("ts"))
+    stream = replay(
+        twice, STREAM_RUNS, lambda root: AppStream(spark, root, lambda: given.clicks(spark, sf_dir)), redelivery="1 day"
+    )
+    return present(stream.current(stream.daily).drop(*FIRST))
+
+
+def _app_logs(events: DataFrame, clicks: DataFrame) -> dict[str, DataFrame]:
+    """The app logs of some events, with the columns of the stored tables."""
+    logs = materialize(tables.app_logs(timeline.step(events, clicks).facts), "logs")
+    out = {}
+    for name in stored.LOG_TIMES:
+        sides = {
+            os: logs.where(f"log = '{name}' AND os = {os}").selectExpr(
+                "app_id AS appid", f"device_id AS {column}", f"ts AS {stored.LOG_TIMES[name]}", "plan_id", "channel_id",
+                "event_id",
+            )
+            for os, column in stored.LOG_DEVICES.items()
+        }
+        out[name] = stored.app_log(name, *sides.values())
+    return out
+
+
+def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily statistics of the later half of the days, streamed on state rebuilt from the logs of the earlier half."""
+    events, clicks = given.app_events(spark, sf_dir), given.clicks(spark, sf_dir)
+    half = "timestampadd(MICROSECOND, timestampdiff(MICROSECOND, min(ts), max(ts)) DIV 2, min(ts))"
+    cut = given.table(spark, sf_dir, "events").selectExpr(f"CAST(to_date({half}) AS string)").first()[0]
+    logs = _app_logs(events.where(f"ts < TIMESTAMP_NTZ '{cut} 00:00:00'"), clicks)
+    initial = stored.split_incomplete(stored.state_from_logs(*logs.values()))[0]
+    later = given.raw_payloads(spark, sf_dir).where(f"ts >= TIMESTAMP_NTZ '{cut} 00:00:00'")
+    stream = replay(later, 2, lambda root: AppStream(spark, root, lambda: clicks, initial=initial))
+    return present(stream.current(stream.daily).drop(*FIRST))
+
+
+def log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activations without a launch in the logs, here those of organic devices, whose launches are left out."""
+    logs = _app_logs(given.app_events(spark, sf_dir), given.clicks(spark, sf_dir))
+    logs["launch"] = logs["launch"].where("plan_id <> '0'")
+    rejects = stored.split_incomplete(stored.state_from_logs(*logs.values()))[1]
+    return present(rejects, "reason", "app_id", "device_id", "active_time")
+
+
+def web_retention_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = replay(given.raw_web_payloads(spark, sf_dir), STREAM_RUNS, lambda root: WebStream(spark, root))
+    return present(stream.current(stream.retention).drop(*FIRST))
+
+
 def web_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = replay(given.raw_web_payloads(spark, sf_dir), STREAM_RUNS, lambda root: WebStream(spark, root))
     return present(stream.current(stream.daily).drop(*FIRST))
@@ -247,6 +348,17 @@ def registered() -> dict[str, Query]:
         "attribution_android": _attribution("os = 1"),
         "attribution_ios": _attribution("os = 2"),
         "attribution_lookback": _attribution("true", lookback_days=2),
+        "attribution_dirty_clicks": _attribution("true", "click_id % 3 <> 0"),
+        "event_accounting": event_accounting,
+        "state_text_round_trip": state_text_round_trip,
+        "retention_stream": retention_stream,
+        "pay_cohort_stream": pay_cohort_stream,
+        "stream_state": stream_state,
+        "stream_rejects": stream_rejects,
+        "stream_redelivered": stream_redelivered,
+        "stream_from_history": stream_from_history,
+        "log_rejects": log_rejects,
+        "web_retention_stream": web_retention_stream,
         "payload_parse": payload_parse,
         "payload_rejects": payload_rejects,
         "platform_route": platform_route,

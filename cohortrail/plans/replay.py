@@ -11,8 +11,8 @@ from cohortrail.session import shared_dir
 from cohortrail.sources import files
 
 
-def replay(raw: DataFrame, runs: int, make: Callable[[str], object]) -> object:
-    """`raw` has `ts, kind, value`. Each run finds one more stretch of time in the source folder and continues from
+def replay(raw: DataFrame, runs: int, make: Callable[[str], object], redelivery: str | None = None) -> object:
+    """`raw` has `ts, kind, value`, with `redelivery` also `arrival, position`. Each run finds one more stretch of time in the source folder and continues from
     the checkpoint of the run before. `make` builds the stream for a root folder; it is returned."""
     spark = raw.sparkSession
     root = f"{shared_dir(spark)}/replay-{uuid.uuid4().hex}"
@@ -22,7 +22,7 @@ def replay(raw: DataFrame, runs: int, make: Callable[[str], object]) -> object:
         start, end = (low + (high - low) * j / runs for j in (i, i + 1))
         upper = "true" if i == runs - 1 else f"ts < TIMESTAMP_NTZ '{end}'"
         part = raw.where(f"ts >= TIMESTAMP_NTZ '{start}' AND {upper}")
-        part.select("kind", "value").write.parquet(f"{root}/inbox/{i}")
-        source = files.stream_parquet(spark, f"{root}/inbox")
-        stream.start(source, f"{root}/checkpoint", available_now=True).awaitTermination()
+        part.select("kind", "value", *(["arrival", "position"] if redelivery else [])).write.parquet(f"{root}/inbox/{i}")
+        source = files.stream_parquet(spark, f"{root}/inbox", files.DELIVERED_SCHEMA if redelivery else files.RAW_SCHEMA)
+        stream.start(source, f"{root}/checkpoint", available_now=True, redelivery=redelivery).awaitTermination()
     return stream

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 RAW_SCHEMA = "kind string, value string"
+# With what the message queue adds.
+DELIVERED_SCHEMA = f"{RAW_SCHEMA}, arrival timestamp_ntz, position bigint"
 
 
 def stream_parquet(

@@ -44,18 +44,18 @@ def _typed(rows: DataFrame, columns: dict[str, str], schema) -> DataFrame:
     return rows.selectExpr(*[f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema])
 
 
-def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def app_events(spark: SparkSession, sf_dir: str, apps: int = 3) -> DataFrame:
     """Typed app events; equal to parsing `raw_payloads` and keeping the accepted rows."""
-    return typed_app_events(table(spark, sf_dir, "events"))
+    return typed_app_events(table(spark, sf_dir, "events"), apps)
 
 
-def typed_app_events(events: DataFrame) -> DataFrame:
+def typed_app_events(events: DataFrame, apps: int = 3) -> DataFrame:
     user_md5 = S.pseudonym(_USER)
     kinds = ", ".join(f"'{t}'" for t in KINDS)
     return _typed(
         events.where(f"event_type IN ({kinds})"),
         {
-            "app_id": _APP,
+            "app_id": f"user_id % {apps}",
             "device_id": user_md5,
             "os": _OS,
             "kind": _KIND,

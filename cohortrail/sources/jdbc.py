@@ -42,10 +42,17 @@ def write_options(url: str, table: str, batch_size: int = 5_000, extra: Mapping[
     return {"url": url, "dbtable": table, "batchsize": str(batch_size), **(extra or {})}
 
 
-def append_deltas(deltas: DataFrame, url: str, table: str, writers: int = 16, **settings) -> None:
-    """Append one micro-batch of additive deltas (they carry `batch_id`); `writers` bounds the connections.
+def append_deltas(deltas: DataFrame, url: str, table: str, batch_id: int, writers: int = 16, **settings) -> None:
+    """Append one micro-batch of additive deltas, marked with `batch_id`; `writers` bounds the connections.
 
-    Current values are a `GROUP BY key` view over the table, so no row is ever updated in place.
+    Current values are a `GROUP BY key` view over the table, so no row is ever updated in place. A batch that runs
+    again appends to a table from which `delete_batch(table, batch_id)` has removed its first try: run that first.
     """
     options = write_options(url, table, **settings)
-    deltas.coalesce(writers).write.format("jdbc").options(**options).mode("append").save()
+    marked = deltas.selectExpr("*", f"CAST({int(batch_id)} AS bigint) AS batch_id")
+    marked.repartition(writers).write.format("jdbc").options(**options).mode("append").save()
+
+
+def delete_batch(table: str, batch_id: int) -> str:
+    """The statement to run before a batch is appended, so that a re-run leaves its rows once."""
+    return f"DELETE FROM {table} WHERE batch_id = {int(batch_id)}"

@@ -68,7 +68,8 @@ def _order_columns(raw: DataFrame, ts: str) -> tuple[str, str]:
 
 
 def _passed(raw: DataFrame) -> list[str]:
-    return ["arrival"] if "arrival" in raw.columns else []
+    """For streams: arrival, and the message's own id, which unlike `event_id` is never filled from the position."""
+    return ["arrival", "CAST(p.event_id AS string) AS own_id"] if "arrival" in raw.columns else []
 
 
 def app_events(raw: DataFrame, hash_ids: bool = True, keep_extra: bool = False) -> DataFrame:

@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from cohortrail.schemas import ANDROID, CLICK, DEVICE_KEYS, DEVICE_STATE, IOS
 
 
-def clicks(android: DataFrame | None = None, ios: DataFrame | None = None) -> DataFrame:
-    """Click tables of both platforms as one. `click_id` and `click_ts` order the clicks of a key."""
+# The time of clicks that precede every launch.
+BEFORE_ALL = "TIMESTAMP_NTZ '0001-01-01 00:00:00'"
+
+
+def clicks(android: DataFrame | None = None, ios: DataFrame | None = None, undated: bool = False) -> DataFrame:
+    """Click tables of both platforms as one. `click_id` and `click_ts` order the clicks of a key.
+
+    A table must have the column `click_ts`, unless `undated` says that all clicks of such a table precede all
+    launches.
+    """
     sides = {
         ANDROID: (android, {"imei": "imei_md5", "oaid": "oaid_md5", "androidid": "androidid_md5",
                             "mac": "mac_md5", "external_ip": "ip"}),
@@ -20,6 +28,10 @@ def clicks(android: DataFrame | None = None, ios: DataFrame | None = None) -> Da
         if rows is None:
             continue
         values = {"os": str(os), **renamed}
+        if "click_ts" not in rows.columns:
+            if not undated:
+                raise ValueError("a click table without click_ts needs undated=True")
+            values["click_ts"] = BEFORE_ALL
         part = rows.selectExpr(
             *[
                 f"CAST({values.get(f.name, f.name if f.name in rows.columns else 'NULL')}"
@@ -31,6 +43,37 @@ def clicks(android: DataFrame | None = None, ios: DataFrame | None = None) -> Da
     return out
 
 
+# Columns of the stored log tables: the device per platform, and the time per log (fixed values).
+LOG_DEVICES = {ANDROID: "oaid_md5", IOS: "uuid_md5"}
+LOG_TIMES = {"active": "active_time", "launch": "launch_time", "reg_first": "reg_time", "pay": "pay_time"}
+
+
+def app_log(name: str, android: DataFrame | None = None, ios: DataFrame | None = None) -> DataFrame:
+    """One of the app logs as stored, both platforms as one: `app_id, device_id, ts, event_id, plan_id, channel_id`.
+
+    The stored tables have no event id; activations of one device at the same time are ordered by plan and channel.
+    """
+    out = None
+    for os, rows in ((ANDROID, android), (IOS, ios)):
+        if rows is not None:
+            part = rows.selectExpr(
+                "CAST(appid AS string) AS app_id",
+                f"{LOG_DEVICES[os]} AS device_id",
+                f"CAST({LOG_TIMES[name]} AS timestamp_ntz) AS ts",
+                f"{'event_id' if 'event_id' in rows.columns else 'CAST(NULL AS bigint)'} AS event_id",
+                *[c if c in rows.columns else f"CAST(NULL AS string) AS {c}" for c in ("plan_id", "channel_id")],
+            )
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def web_state_from_logs(active: DataFrame, launch: DataFrame) -> DataFrame:
+    """State of the web clicks from the stored web logs: first activation and last launch per click id."""
+    first = active.groupBy("media_clickid").agg(F.expr("min(CAST(log_time AS timestamp_ntz)) AS active_time"))
+    last = launch.groupBy("media_clickid").agg(F.expr("max(CAST(log_time AS timestamp_ntz)) AS last_launch_time"))
+    return first.join(last, "media_clickid", "left")
+
+
 def state_from_logs(active: DataFrame, launch: DataFrame, reg_first: DataFrame, pay: DataFrame) -> DataFrame:
     """Rebuild device state from the log tables: earliest activation with its plan, latest launch, payments.
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 BATCH = "batch_id"
+# Keys up to this number are broadcast to the scan of a table that is read for them alone; they are counted first.
+FEW_KEYS = 200_000
 
 
 class BatchedTable:
@@ -33,17 +35,27 @@ class BatchedTable:
         self.compact_every, self.partition_by = compact_every, partition_by
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        typed = rows.selectExpr(
-            *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in self.schema]
-        )
-        writer = typed.write.mode("overwrite")
+        writer = self._typed(rows).write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/delta/{BATCH}={batch_id}")
 
+    def _typed(self, rows: DataFrame) -> DataFrame:
+        return rows.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in self.schema])
+
     def read_batch(self, batch_id: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/delta/{BATCH}={batch_id}")
 
+    def seed(self, rows: DataFrame) -> None:
+        """Rows to start from, as a base below batch 0. What is there already stays."""
+        if not self._has_seed():
+            self._typed(rows).write.mode("overwrite").parquet(f"{self.root}/base/before=0")
+
+    def _has_seed(self) -> bool:
+        """Whether a base below batch 0 was written completely."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/base/before=0/_SUCCESS")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def _base(self, before: int) -> int:
         """Batches below this number are in a base. Batch `before` runs only after all earlier ones are complete."""
         return before // self.compact_every * self.compact_every if self.fold else 0
@@ -56,7 +68,7 @@ class BatchedTable:
             return self.spark.read.schema(full).parquet(f"{self.root}/delta").where(f"{BATCH} < {before}")
         base = self._base(before)
         out = None
-        if base:
+        if base or (self.fold and self._has_seed()):
             stored = self.spark.read.schema(self.schema).parquet(f"{self.root}/base/before={base}")
             out = stored.selectExpr("*", f"CAST(-1 AS bigint) AS {BATCH}")
         if before > base:
@@ -66,9 +78,14 @@ class BatchedTable:
             out = recent if out is None else out.unionByName(recent)
         return self.spark.createDataFrame([], full) if out is None else out
 
-    def read(self, before: int) -> DataFrame:
-        """Current rows after all batches below `before`."""
+    def read(self, before: int, only: DataFrame | None = None, keys: list[str] | None = None) -> DataFrame:
+        """Current rows after all batches below `before`; with `only`, a written table of some keys, those of them.
+
+        Rows of other keys are dropped before the fold.
+        """
         rows = self.rows(before)
+        if only is not None:
+            rows = rows.join(F.broadcast(only) if only.count() <= FEW_KEYS else only, keys, "left_semi")
         return self.fold(rows) if self.fold else rows
 
     def compact(self, batch_id: int) -> None:

@@ -153,8 +153,10 @@ class AppStream(_Stream):
         hash_ids: bool = True,
         compact_every: int = 50,
         hot_rows: int = HOT_ROWS,
+        initial: DataFrame | None = None,
         **match,
     ):
+        """`initial` is the device state to start from (`stored.state_from_logs`), written before the first batch."""
         super().__init__(spark, root, compact_every, hot_rows)
         self.clicks, self.registry, self.hash_ids, self.match = clicks, registry, hash_ids, match
         self.facts = self._table("facts", APP_FACT, partition_by=("stat_date", "os"))
@@ -163,20 +165,23 @@ class AppStream(_Stream):
         self.daily = self._stat("stat_daily", stats.DAILY)
         self.retention = self._stat("stat_retention", stats.RETENTION)
         self.pay_cohort = self._stat("stat_pay", stats.PAY_COHORT)
+        if initial is not None:
+            self.state.seed(initial)
 
     def parse(self, raw: DataFrame) -> DataFrame:
         return payload.app_events(raw, self.hash_ids)
 
     def apply(self, tagged: DataFrame, batch_id: int) -> None:
-        if self.registry is not None:
-            tagged = onboarding.flag_unknown_apps(tagged, self.registry(), self.hot_rows)
-        tagged = tagged.persist()
+        parsed = tagged = tagged.persist()
         try:
+            if self.registry is not None:
+                tagged = onboarding.flag_unknown_apps(tagged, self.registry(), self.hot_rows)
             step = timeline.step(
-                payload.accepted(tagged), self.clicks(), self.state.read(batch_id), self.hot_rows,
+                payload.accepted(tagged), self.clicks(),
+                lambda devices: self.state.read(batch_id, devices, DEVICE_KEYS), self.hot_rows,
                 self._scratch(batch_id), **self.match,
             )
-            # The written facts feed everything below, so the history is worked through once.
+            # The statistics come from the written facts; state and clicks went into the written devices.
             self.facts.write(step.facts, batch_id)
             facts = self.facts.read_batch(batch_id)
             self.daily.write(stats.daily(facts), batch_id)
@@ -189,7 +194,7 @@ class AppStream(_Stream):
             self.rejects.write(payload.rejected(tagged).unionByName(unmatched), batch_id)
             self.state.write(step.state, batch_id)
         finally:
-            tagged.unpersist()
+            parsed.unpersist()
         self._finish(batch_id, self.state, self.signals, self.daily, self.retention, self.pay_cohort)
 
     def logs(self) -> DataFrame:
@@ -208,12 +213,21 @@ def _fold_signals(rows: DataFrame) -> DataFrame:
 class WebStream(_Stream):
     """Web launches to facts, click state, statistics and rejects."""
 
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = 50, hot_rows: int = HOT_ROWS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        compact_every: int = 50,
+        hot_rows: int = HOT_ROWS,
+        initial: DataFrame | None = None,
+    ):
         super().__init__(spark, root, compact_every, hot_rows)
         self.facts = self._table("facts", WEB_FACT, partition_by=("stat_date",))
         self.state = self._table("state", WEB_STATE, latest_per_key(WEB_KEYS, WEB_STATE))
         self.daily = self._stat("stat_daily", stats.WEB_DAILY)
         self.retention = self._stat("stat_retention", stats.WEB_RETENTION)
+        if initial is not None:
+            self.state.seed(initial)
 
     def parse(self, raw: DataFrame) -> DataFrame:
         return payload.web_events(raw)
@@ -222,14 +236,17 @@ class WebStream(_Stream):
         tagged = tagged.persist()
         try:
             step = timeline.web_step(
-                payload.accepted(tagged, WEB_EVENT), self.state.read(batch_id), self.hot_rows,
-                self._scratch(batch_id),
+                payload.accepted(tagged, WEB_EVENT), lambda devices: self.state.read(batch_id, devices, WEB_KEYS),
+                self.hot_rows, self._scratch(batch_id),
             )
             self.facts.write(step.facts, batch_id)
             facts = self.facts.read_batch(batch_id)
             self.daily.write(stats.web_daily(facts), batch_id)
             self.retention.write(stats.web_retention(facts), batch_id)
-            self.rejects.write(payload.rejected(tagged), batch_id)
+            unplaced = step.rejects.selectExpr(
+                "reason", "'webLaunch' AS kind", f"to_json(struct({', '.join(WEB_EVENT.fieldNames())})) AS raw"
+            )
+            self.rejects.write(payload.rejected(tagged).unionByName(unplaced), batch_id)
             self.state.write(step.state, batch_id)
         finally:
             tagged.unpersist()
@@ -240,18 +257,19 @@ class WebStream(_Stream):
 
 
 def drop_redelivered(tagged: DataFrame, delay: str) -> DataFrame:
-    """Messages delivered again within `delay` are dropped, by topic and event id, in stream state.
+    """Messages delivered again within `delay` are dropped, by topic and the id they carry, in stream state.
 
     The watermark runs on the arrival time of the queue, which no client clock can push ahead; the source must supply
-    `arrival`. Damaged messages have no id and are told apart by their text.
+    `arrival`. Messages without an id of their own are told apart by their text, never by their place in the queue,
+    which each delivery has anew.
     """
     keyed = tagged.selectExpr(
         "*",
-        "coalesce(CAST(event_id AS string), md5(raw)) AS delivery",
+        "coalesce(own_id, md5(raw)) AS delivery",
         "CAST(arrival AS timestamp) AS arrival_time",
     )
     unique = keyed.withWatermark("arrival_time", delay).dropDuplicatesWithinWatermark(["kind", "delivery"])
-    return unique.drop("delivery", "arrival_time")
+    return unique.drop("delivery", "arrival_time", "own_id")
 
 
 def daily_event_counts(tagged: DataFrame, delay: str = "1 day") -> DataFrame:

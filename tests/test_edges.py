@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 
 from cohortrail.functions.scalars import EMPTY_MD5, ZERO_IDFA_MD5
-from cohortrail.operators import registry, stats, timeline
+from cohortrail.operators import attribution, registry, stats, timeline
 from cohortrail.schemas import APP_REGISTRY, LAUNCH_PAYLOAD
 from cohortrail.sources import payload
 from tests.build import at, click, clicks_frame, event, events_frame, md5, web, web_frame
@@ -246,5 +246,41 @@ def test_state_text_round_trip(spark):
         "a-b", md5("d"), at("1 08:00"), at("2 09:00"))
 
 
+def test_dashed_device_ids_survive_the_text(spark):
+    state = step(spark, [event("launch", "d", "1 08:00", device_id="u-1-2")]).state
+    text = timeline.state_to_text(state)
+    for exported in (text, text.select("state_key", "state_value")):
+        back = timeline.state_from_text(exported).first()
+        assert (back["app_id"], back["device_id"]) == ("49", "u-1-2")
+
+
+def test_a_click_without_time_hides_no_other(spark):
+    undated = click("A", "1 06:00", imei="i") | {"click_ts": None}
+    clicks = clicks_frame(spark, [undated, click("B", "1 07:00", imei="i")])
+    launch = events_frame(spark, [event("launch", "d", "1 08:00", imei="i")])
+    assert timeline.step(launch, clicks).facts.first()["plan_id"] == "B"
+    assert attribution.undated_clicks(clicks).count() == 1
+
+
+def test_events_without_device_or_time_are_rejects(spark):
+    rows = [event("launch", "d", "1 08:00"), event("launch", "e", "1 08:00") | {"device_id": None},
+            event("pay", "d", "1 09:00", amount="1") | {"ts": None}, event("reg", "d", "1 09:00") | {"app_id": None}]
+    done = timeline.step(events_frame(spark, rows), clicks_frame(spark))
+    assert done.facts.count() == 1
+    assert sorted(r["reason"] for r in done.rejects.collect()) == ["app", "identity", "time"]
+    rows = [web("c", "x", "1 08:00"), web(None, "x", "1 08:00"), web("c", "x", "1 09:00") | {"ts": None}]
+    done = timeline.web_step(web_frame(spark, rows))
+    assert done.facts.count() == 1
+    assert sorted(r["reason"] for r in done.rejects.collect()) == ["identity", "time"]
+
+
+def test_look_back_frames_start_with_the_partition(spark):
+    launch = events_frame(spark, [event("launch", "d", "1 08:00", imei="i")])
+    firsts = timeline.first_launches(launch)
+    matched = attribution.match_clicks(firsts, clicks_frame(spark, [click("A", "1 07:00", imei="i")]), lookback_days=2)
+    plan = matched._jdf.queryExecution().optimizedPlan().toString()
+    assert "specifiedwindowframe" in plan and "unboundedfollowing" not in plan.lower().replace(" ", "").replace("$()", "")
+
+
 def test_schema_covers_declared_payloads():
     assert {"appid", "os", "imei", "oaid", "uuid", "idfa", "externalip"} <= set(LAUNCH_PAYLOAD.fieldNames())

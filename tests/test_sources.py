@@ -47,6 +47,13 @@ def test_stored_click_tables(spark):
     got = {r["os"]: (r["imei"], r["mac"], r["idfa"], r["external_ip"], r["plan_id"]) for r in both.collect()}
     assert got == {1: ("i", "m", None, "1.1", "7"), 2: (None, None, "f", "2.2", "8")}
     assert stored.clicks(ios=ios).count() == 1
+    with pytest.raises(ValueError):
+        stored.clicks(android.drop("click_ts"))
+    assert stored.clicks(android.drop("click_ts"), undated=True).first()["click_ts"].year == 1
+
+
+def test_jdbc_deletes_a_batch_before_it_is_appended():
+    assert jdbc.delete_batch("t", 7) == "DELETE FROM t WHERE batch_id = 7"
 
 
 def test_activation_without_launch_is_set_apart(spark):
@@ -69,10 +76,14 @@ def test_declared_schema_prunes_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<os:int,plan_id:string>" in plan and "EqualTo(os,1)" in plan
 
 
-def test_hot_keys_are_bounded_and_ordered(spark):
+def test_hot_keys(spark, monkeypatch):
     rows = spark.range(100).selectExpr("CAST(CASE WHEN id < 60 THEN 0 WHEN id < 90 THEN 1 ELSE id END AS string) AS k")
-    assert [r["k"] for r in skew.hot_keys(rows, ["k"], 30).collect()] == ["0", "1"]
+    hot = skew.hot_keys(rows, ["k"], 30)
+    assert hot.few and sorted(r["k"] for r in hot.rows.collect()) == ["0", "1"]
     assert skew.hot_keys(rows, ["k"], 61) is None
+    monkeypatch.setattr(skew, "MAX_HOT", 1)
+    hot = skew.hot_keys(rows, ["k"], 30)
+    assert not hot.few and sorted(r["k"] for r in hot.rows.collect()) == ["0", "1"]
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -82,7 +93,7 @@ def test_join_unique_equals_plain_join(spark, how):
     unique = spark.range(5).selectExpr("id AS k", "id * 10 AS v")
     want = sorted(rows.join(unique, "k", how).collect())
     hot = skew.hot_keys(rows, ["k"], 40)
-    assert {r["k"] for r in hot.collect()} == {0, 99}
+    assert {r["k"] for r in hot.rows.collect()} == {0, 99}
     assert sorted(skew.join_unique(rows, unique, ["k"], how, hot).collect()) == want
 
 
