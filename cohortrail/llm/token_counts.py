@@ -174,14 +174,15 @@ def counts(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame
                 distinct = set(words)
                 if len(known) + len(distinct) > REMEMBERED:
                     known, rest = {}, {}
-                for word in distinct - known.keys():
+                # Not `distinct - known.keys()`, which walks through all that is known.
+                for word in [w for w in distinct if w not in known]:
                     found = tokens.of(word)
                     known[word] = sum(in_head.get(p, 0) for p in found)
                     if others := [p for p in found if p not in in_head]:
                         rest[word] = others
                 keys.append(f" {i % 997}")
                 ns.append(sum(map(known.__getitem__, words)))
-                if rare := distinct & rest.keys():
+                if rare := {w for w in distinct if w in rest}:
                     counts: Counter = Counter()
                     for word, n in Counter(w for w in words if w in rare).items():
                         for p in rest[word]:
