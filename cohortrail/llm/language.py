@@ -16,7 +16,6 @@ comes first by name. Repeated rows: the same answer for each.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,9 +38,6 @@ RIDGE = 1e-2
 BATCH_ROWS = 256
 STEP_CHARACTERS = 2 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
-
-
 @dataclass
 class Spectrum:
     """Numbers of the n-grams: `symbols` of code points below 65,536, then a table for each length."""
@@ -187,7 +183,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
         def predicted(batch: pa.RecordBatch) -> list[pa.Array]:
             texts = batch.column("text").to_pylist()
             names, best = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            known = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]
+            known = [i for i, t in enumerate(texts) if model and t and any(map(str.isalpha, t))]
             for at in range(0, len(known), BATCH_ROWS):
                 rows = known[at : at + BATCH_ROWS]
                 scores = model.scores([texts[i] for i in rows]).astype(np.float64)

@@ -472,11 +472,11 @@ def removed(documents: DataFrame) -> DataFrame:
 
     return (
         rows.mapInArrow(deal, "part int, step int, blob binary")
-        .repartition(parts, "part")
+        .repartitionById(parts, "part")
         .sortWithinPartitions("step")
         .select("step", "blob")
         .mapInArrow(scan, "part int, blob binary")
-        .repartition(parts, "part")
+        .repartitionById(parts, "part")
         .select("blob")
         .mapInArrow(merge, "id bigint, mark int, spans binary")
     )

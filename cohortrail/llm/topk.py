@@ -162,7 +162,7 @@ def search(vectors: DataFrame, is_query: str, k: int = K) -> DataFrame:
 
     return (
         query.unionByName(candidates)
-        .repartition(n, "block", "slice")
+        .repartitionById(blocks * slices, F.expr(f"block * {slices} + slice"))
         .sortWithinPartitions("block", "slice", "candidate")
         .mapInArrow(score, "query_id bigint, vec_id bigint, score bigint")
     )
