@@ -390,6 +390,7 @@ def statements() -> dict[str, str]:
     out["pay_cohort_stream"] = out["pay_cohort"]
     out["stream_state"] = out["device_state_snapshot"]
     out["web_retention_stream"] = out["web_retention"]
+    out["rejects_recovered"] = out["daily_base_full"]
     out["stream_redelivered"] = out["daily_base_full"]
     half = "min(ts) + to_microseconds(date_diff('microsecond', min(ts), max(ts)) // 2)"
     out["stream_from_history"] = (

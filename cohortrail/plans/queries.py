@@ -281,6 +281,13 @@ def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(stream.current(stream.daily).drop(*FIRST))
 
 
+def rejects_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship with launches that arrive two days after registrations and payments of their time."""
+    late = f"CASE WHEN kind = '{LAUNCH}' THEN ts + INTERVAL 2 DAYS ELSE ts END AS ts"
+    stream = _app_stream(given.raw_payloads(spark, sf_dir).selectExpr(late, "kind", "value"), sf_dir)
+    return present(stream.current(stream.daily).drop(*FIRST))
+
+
 def _app_logs(events: DataFrame, clicks: DataFrame) -> dict[str, DataFrame]:
     """The app logs of some events, with the columns of the stored tables."""
     logs = materialize(tables.app_logs(timeline.step(events, clicks).facts), "logs")
@@ -358,6 +365,7 @@ def registered() -> dict[str, Query]:
         "stream_redelivered": stream_redelivered,
         "stream_from_history": stream_from_history,
         "log_rejects": log_rejects,
+        "rejects_recovered": rejects_recovered,
         "web_retention_stream": web_retention_stream,
         "payload_parse": payload_parse,
         "payload_rejects": payload_rejects,

@@ -98,6 +98,19 @@ class BatchedTable:
             f"{self.root}/base/before={after}"
         )
 
+    def tidy(self, batch_id: int) -> None:
+        """Drop the batches and the base that lie behind the last but one base.
+
+        A replay of batch `batch_id` or of the one before reads from the last base or the one before that.
+        """
+        behind = self._base(batch_id) - self.compact_every
+        if not self.fold or batch_id % self.compact_every or behind <= 0:
+            return
+        gone = [f"delta/{BATCH}={b}" for b in range(behind - self.compact_every, behind)]
+        for name in [*gone, f"base/before={behind - self.compact_every}"]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def rows_since_previous_base(self, after: int) -> DataFrame:
         """Rows a new base folds: the previous base and the batches since, not the base about to be written."""
         older = self.rows(after - 1)

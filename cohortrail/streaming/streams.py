@@ -15,7 +15,7 @@ from pyspark.sql.types import DateType, IntegerType, LongType, StringType, Struc
 
 from cohortrail.operators import registry as onboarding
 from cohortrail.operators import stats, timeline
-from cohortrail.operators.skew import HOT_ROWS
+from cohortrail.operators.skew import HOT_ROWS, materialize
 from cohortrail.operators.stats import StatTable
 from cohortrail.plans import tables
 from cohortrail.schemas import (
@@ -74,6 +74,9 @@ APP_FACT = StructType(
     ]
 )
 WEB_FACT = StructType([*WEB_EVENT.fields, *_OUTCOME])
+# Registrations and payments that came before their device's launch did; `open` until they count.
+WAITING = StructType([*APP_EVENT.fields, *_flags("open")])
+_EVENT_KEYS = [*DEVICE_KEYS, "kind", "event_id"]
 SIGNALS = StructType([StructField("app_id", StringType()), *_flags(*onboarding.SIGNALS)])
 COMMIT = StructType([StructField("done", LongType())])
 
@@ -111,6 +114,7 @@ class _Stream:
     def _finish(self, batch_id: int, *folded: BatchedTable) -> None:
         for table in folded:
             table.compact(batch_id)
+            table.tidy(batch_id)
         self.commits.write(self.spark.range(1).selectExpr(f"CAST({batch_id} AS bigint) AS done"), batch_id)
 
     def next_batch(self) -> int:
@@ -141,6 +145,9 @@ class _Stream:
 class AppStream(_Stream):
     """Launches, registrations and payments to facts, device state, statistics, app signals and rejects.
 
+    A registration or payment without an activation is a reject when it comes. It waits, and counts once if its
+    device's launch comes later and lies before it.
+
     `clicks` and `registry` are called once per batch, so that each batch sees their current content.
     """
 
@@ -161,6 +168,7 @@ class AppStream(_Stream):
         self.clicks, self.registry, self.hash_ids, self.match = clicks, registry, hash_ids, match
         self.facts = self._table("facts", APP_FACT, partition_by=("stat_date", "os"))
         self.state = self._table("state", DEVICE_STATE, latest_per_key(DEVICE_KEYS, DEVICE_STATE))
+        self.waiting = self._table("waiting", WAITING, latest_per_key(_EVENT_KEYS, WAITING))
         self.signals = self._table("signals", SIGNALS, _fold_signals)
         self.daily = self._stat("stat_daily", stats.DAILY)
         self.retention = self._stat("stat_retention", stats.RETENTION)
@@ -176,10 +184,15 @@ class AppStream(_Stream):
         try:
             if self.registry is not None:
                 tagged = onboarding.flag_unknown_apps(tagged, self.registry(), self.hot_rows)
+            # Events without an activation wait for their device to come up again, with its launch perhaps.
+            scratch, fresh = self._scratch(batch_id), payload.accepted(tagged)
+            touched = materialize(fresh.select(*DEVICE_KEYS).distinct(), "touched", scratch)
+            earlier = self.waiting.read(batch_id, touched, DEVICE_KEYS).where("open = 1").drop("open")
+            earlier = materialize(earlier, "earlier", scratch)
             step = timeline.step(
-                payload.accepted(tagged), self.clicks(),
+                fresh.unionByName(earlier), self.clicks(),
                 lambda devices: self.state.read(batch_id, devices, DEVICE_KEYS), self.hot_rows,
-                self._scratch(batch_id), **self.match,
+                scratch, **self.match,
             )
             # The statistics come from the written facts; state and clicks went into the written devices.
             self.facts.write(step.facts, batch_id)
@@ -188,14 +201,21 @@ class AppStream(_Stream):
             self.retention.write(stats.retention(facts), batch_id)
             self.pay_cohort.write(stats.pay_cohort(facts), batch_id)
             self.signals.write(onboarding.signals(facts), batch_id)
-            unmatched = step.rejects.selectExpr(
-                "reason", "kind", f"to_json(struct({', '.join(APP_EVENT.fieldNames())})) AS raw"
+            known = earlier.select(*_EVENT_KEYS)
+            unmatched = materialize(step.rejects.join(known, _EVENT_KEYS, "left_anti"), "unmatched", scratch)
+            recovered = facts.join(known, _EVENT_KEYS, "left_semi")
+            self.waiting.write(
+                unmatched.select(*APP_EVENT.fieldNames()).withColumn("open", F.lit(1)).unionByName(
+                    recovered.select(*APP_EVENT.fieldNames()).withColumn("open", F.lit(0))
+                ),
+                batch_id,
             )
-            self.rejects.write(payload.rejected(tagged).unionByName(unmatched), batch_id)
+            texts = unmatched.selectExpr("reason", "kind", f"to_json(struct({', '.join(APP_EVENT.fieldNames())})) AS raw")
+            self.rejects.write(payload.rejected(tagged).unionByName(texts), batch_id)
             self.state.write(step.state, batch_id)
         finally:
             parsed.unpersist()
-        self._finish(batch_id, self.state, self.signals, self.daily, self.retention, self.pay_cohort)
+        self._finish(batch_id, self.state, self.waiting, self.signals, self.daily, self.retention, self.pay_cohort)
 
     def logs(self) -> DataFrame:
         """The five log tables, as views of the facts."""

@@ -160,6 +160,22 @@ def test_daily_windows_append_once_closed(spark, tmp_path):
     assert got == {1: 2, 2: 1}
 
 
+def test_batches_behind_the_last_but_one_base_go(spark, tmp_path):
+    def fold(rows):
+        return rows.groupBy().agg(F.expr("sum(id) AS id"))
+
+    table = BatchedTable(spark, str(tmp_path), spark.range(1).schema, fold, compact_every=2)
+    table.seed(spark.range(100, 101))
+    for b in range(9):
+        table.write(spark.range(b, b + 1), b)
+        table.compact(b)
+        table.tidy(b)
+        assert table.read(b + 1).first()["id"] == 100 + sum(range(b + 1))
+        assert table.read(b).first()["id"] == 100 + sum(range(b))
+    left = sorted(int(p.name.split("=")[1]) for p in (tmp_path / "delta").iterdir())
+    assert left[0] >= 4 and left[-1] == 8
+
+
 def test_batched_table_without_fold(spark, tmp_path):
     table = BatchedTable(spark, str(tmp_path), spark.range(1).schema)
     assert table.read(0).count() == 0
