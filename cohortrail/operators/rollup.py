@@ -63,7 +63,7 @@ def device_days(events: DataFrame) -> DataFrame:
 
 def resolved(events: DataFrame, clicks: DataFrame, hot_rows: int = HOT_ROWS, **match) -> DataFrame:
     """Activated devices with their plan and activation day."""
-    firsts = materialize(first_launches(events.where(_LAUNCH)), "firsts")
+    firsts = materialize(first_launches(events.where(_LAUNCH), launches_only=True), "firsts")
     return resolve_devices(firsts, clicks, None, hot_rows, **match).selectExpr(
         *DEVICE_KEYS, "plan_id", "channel_id", "active_time", "to_date(active_time) AS active_date"
     )

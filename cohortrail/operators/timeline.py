@@ -66,13 +66,17 @@ def _hashed(devices: DataFrame, n: int) -> DataFrame:
     return devices.hint("shuffle_hash") if n <= HASHED_ROWS * partitions else devices
 
 
-def first_launches(events: DataFrame) -> DataFrame:
+def first_launches(events: DataFrame, launches_only: bool = False) -> DataFrame:
     """One row per device: number of events and the first launch with the ids it was reported under.
 
-    Counting all events needs no more than the keys and hash aggregation; only launches bring their ids along.
+    Counting all events needs no more than the keys and hash aggregation; only launches bring their ids along. With
+    `launches_only`, where all events are launches, one pass does both.
     """
-    counted = events.groupBy(*DEVICE_KEYS).agg(F.expr("count(1) AS n"))
     first = f"min(struct(ts, event_id, os, {', '.join(A.MATCH_COLUMNS)})) AS first"
+    if launches_only:
+        both = events.groupBy(*DEVICE_KEYS).agg(F.expr("count(1) AS n"), F.expr(first))
+        return both.select(*DEVICE_KEYS, "n", "first.*")
+    counted = events.groupBy(*DEVICE_KEYS).agg(F.expr("count(1) AS n"))
     launched = events.where(_LAUNCH).groupBy(*DEVICE_KEYS).agg(F.expr(first)).select(*DEVICE_KEYS, "first.*")
     return counted.join(launched, DEVICE_KEYS, "left")
 

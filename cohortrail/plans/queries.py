@@ -92,7 +92,7 @@ def _attribution(where: str, dated: str = "true", **match) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         launches = given.app_events(spark, sf_dir).where(f"kind = '{LAUNCH}' AND {where}")
-        firsts = materialize(timeline.first_launches(launches), "firsts")
+        firsts = materialize(timeline.first_launches(launches, launches_only=True), "firsts")
         clicks = given.clicks(spark, sf_dir).withColumn("click_ts", F.expr(f"CASE WHEN {dated} THEN click_ts END"))
         matched = attribution.match_clicks(firsts, clicks, **match)
         joined = firsts.join(matched.drop("os"), ["app_id", "device_id"], "left")

@@ -225,6 +225,13 @@ class AppStream(_Stream):
         """The registry after all batches."""
         return onboarding.merge(initial, self.current(self.signals))
 
+    def write_registry(self, initial: DataFrame) -> DataFrame:
+        """Write the registry as of the last batch, in its stored form, to a folder of that batch; read back."""
+        stored = f"app_id AS id, app_step, {onboarding.EVENT_TEXT} AS app_event".split(", ", 2)
+        path = f"{self.root}/registry/before={self.next_batch()}"
+        self.app_registry(initial).selectExpr(*stored).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
 
 def _fold_signals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("app_id").agg(*[F.expr(f"max({n}) AS {n}") for n in onboarding.SIGNALS])

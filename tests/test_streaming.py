@@ -94,6 +94,25 @@ def test_stream_replay_compaction_and_registry(spark, inputs, whole, tmp_path):
     assert logs["active"] == step.state.count()
     final = {r["app_id"]: r["app_step"] for r in stream.app_registry(known).collect()}
     assert final == {r["app_id"]: r["app_step"] for r in registry.funnel(step.facts).collect()}
+    written = registry.from_text(stream.write_registry(known))
+    assert spark_rows(written) == spark_rows(stream.app_registry(known))
+
+
+def test_an_early_payment_counts_once_its_launch_comes(spark, inputs, tmp_path):
+    stream = streams.AppStream(spark, str(tmp_path / "t"), lambda: inputs[1])
+    line = '{{"appid":"1","os":"1","oaid":"{}","ts":"2024-01-01 {}:00:00","event_id":"{}"{}}}'
+    pay = ("pay", line.format("o", "09", 2, ',"amount":"5.00"'))
+    for batch_id, messages in enumerate([
+        [pay, ("reg", line.format("o", "07", 1, "")), ("pay", line.format("p", "09", 3, ',"amount":"1.00"'))],
+        [("launch", line.format("o", "08", 4, ""))],
+        [("launch", line.format("o", "10", 5, ""))],
+    ]):
+        stream.process(spark.createDataFrame(messages, files.RAW_SCHEMA), batch_id)
+    facts = sorted((r["kind"], r["event_id"]) for r in stream.current(stream.facts).collect())
+    assert facts == [("launch", 4), ("launch", 5), ("pay", 2)]
+    row = stream.current(stream.daily).first()
+    assert (row["pay_count"], float(row["pay_amount"]), row["launch_count"]) == (1, 5.0, 2)
+    assert sorted(r["kind"] for r in stream.current(stream.rejects).collect()) == ["pay", "pay", "reg"]
 
 
 def test_unregistered_app_goes_to_rejects_in_the_stream(spark, inputs, tmp_path):
