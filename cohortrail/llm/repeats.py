@@ -10,7 +10,7 @@
    neighbours) is scanned with a stack: each interval of suffixes with a common prefix of LENGTH bytes or more, whose
    left neighbours differ or are unknown, is a maximal repeat with all its occurrences. An occurrence in another
    document than the first of its group is removed.
-4. Removed stretches are merged per document.
+4. Removed stretches meet their texts, which travel in compressed batches, in the task of their document.
 
 Null doc_id: comes after all others. Rows of the same doc_id never remove anything of each other. Null text: empty.
 Texts shorter than LENGTH bytes keep everything. Repeated rows: each has its row. Very long texts: whole, in memory
@@ -322,11 +322,16 @@ def _unpack(blob: bytes) -> tuple[list[np.ndarray], np.ndarray]:
     return out, np.frombuffer(raw, np.uint8, len(raw) - at, at)
 
 
+def _target(ids: np.ndarray, marks: np.ndarray, parts: int) -> np.ndarray:
+    """The part in which a document and its stretches meet."""
+    return (_mix(ids.view(np.uint64) ^ _mix(marks.view(np.uint64))) >> np.uint64(33)) % np.uint64(parts)
+
+
 def _span_blobs(parts: int, ids: np.ndarray, marks: np.ndarray, starts: np.ndarray, stops: np.ndarray):
     """Merged stretches of documents (id, mark), a blob for each part that has some."""
     keys, rows = np.unique(np.stack((ids, marks), axis=1), axis=0, return_inverse=True)
     rows, starts, stops = union(rows.reshape(-1), starts, stops)
-    target = (_mix(keys[:, 0].view(np.uint64) ^ _mix(keys[:, 1].view(np.uint64))) >> np.uint64(33)) % np.uint64(parts)
+    target = _target(keys[:, 0].copy(), keys[:, 1].copy(), parts)
     order = np.argsort(target[rows], kind="stable")
     cuts = np.flatnonzero(np.diff(target[rows][order], prepend=np.uint64(parts)))
     for a, b in itertools.pairwise([*cuts.tolist(), len(order)]):
@@ -342,6 +347,18 @@ def _read_spans(blob: bytes) -> tuple[np.ndarray, ...]:
     return np.cumsum(ids), marks.astype(np.int64), starts, starts + lengths
 
 
+def _text_blobs(texts: list[bytes], ids: np.ndarray, marks: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
+    """The texts of some documents, a blob for each part."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    target = _target(ids, marks, parts)
+    order = np.argsort(target, kind="stable")
+    cuts = np.flatnonzero(np.diff(target[order], prepend=np.uint64(parts)))
+    for a, b in itertools.pairwise([*cuts.tolist(), len(order)]):
+        own = order[a:b]
+        data = np.frombuffer(b"".join(texts[i] for i in own.tolist()), np.uint8)
+        yield int(target[own[0]]), _pack([np.diff(ids[own], prepend=0), marks[own].astype("<i4"), lengths[own]], data)
+
+
 def _deal(texts: list[bytes], ids: np.ndarray, marks: np.ndarray, parts: int) -> Iterator[tuple[int, int, bytes]]:
     """The fragments of some texts: part, step, blob; stretches that are known to be removed have step -1."""
     lengths = np.array([len(t) for t in texts], np.int64)
@@ -419,25 +436,27 @@ class _Share:
         self.spans, self.held = [], 0
 
 
-def removed(documents: DataFrame) -> DataFrame:
-    """id, mark (of the text) and `spans` of each document that loses bytes: pairs of 64-bit start and stop, in order."""
+def without_repeats(documents: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, `spans` (pairs of 64-bit start and stop of what is removed, in order; null if nothing is) and
+    `kept`, the bytes that are left, of each row."""
     spark = documents.sparkSession
     parts = common.shuffle_partitions(spark)
     rows = documents.selectExpr(f"coalesce(doc_id, {NONE}) AS id", "hash(text) AS mark", "text")
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
         for batch in batches:
             texts = [t.encode() if t else b"" for t in batch.column("text").to_pylist()]
             ids, marks = (batch.column(c).to_numpy().astype(np.int64) for c in ("id", "mark"))
             for a, b in common.runs_by_bytes(list(map(len, texts)), BATCH_BYTES):
-                out = []
-                for blob in _deal(texts[a:b], ids[a:b], marks[a:b], parts):
-                    out.append(blob)
-                    if len(out) == 64:
-                        yield _rows(out, ["part", "step", "blob"])
-                        out = []
-                if out:
-                    yield _rows(out, ["part", "step", "blob"])
+                yield texts[a:b], ids[a:b], marks[a:b]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches):
+            yield from _batches(_deal(*run, parts), ["part", "step", "blob"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches):
+            yield from _batches(_text_blobs(*run, parts), ["part", "blob"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         share = _Share(parts)
@@ -451,72 +470,86 @@ def removed(documents: DataFrame) -> DataFrame:
                 else:
                     share.blobs.append(blob.as_py())
                 if share.held > HELD_SPANS:
-                    yield _rows(list(share.flush()), ["part", "blob"])
+                    yield from _batches(share.flush(), ["part", "blob"])
         share.finish_step()
-        found = list(share.flush())
-        if found:
-            yield _rows(found, ["part", "blob"])
+        yield from _batches(share.flush(), ["part", "blob"])
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans = [_read_spans(b) for batch in batches for b in batch.column("blob").to_pylist()]
-        if not spans:
-            return
-        ids, marks, starts, stops = (np.concatenate(x) for x in zip(*spans, strict=True))
-        keys, row = np.unique(np.stack((ids, marks), axis=1), axis=0, return_inverse=True)
-        row, starts, stops = union(row.reshape(-1), starts, stops)
-        cuts = np.flatnonzero(np.diff(row, prepend=-1)).tolist()
-        pairs = np.stack((starts, stops), axis=1)
-        blobs = [pairs[a:b].tobytes() for a, b in itertools.pairwise([*cuts, len(row)])]
-        arrays = [pa.array(keys[:, 0]), pa.array(keys[:, 1].astype(np.int32)), pa.array(blobs, pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, ["id", "mark", "spans"])
-
-    return (
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted: first the removed stretches of the part, then its texts, a blob at a time."""
+        held, found = [], None
+        for batch in batches:
+            for is_text, blob in zip(batch.column("is_text").to_pylist(), batch.column("blob"), strict=True):
+                if not is_text:
+                    held.append(_read_spans(blob.as_py()))
+                    continue
+                if found is None:
+                    found, held = _by_document(held), []
+                yield _cut(blob.as_py(), found)
+
+    removed = (
         rows.mapInArrow(deal, "part int, step int, blob binary")
         .repartitionById(parts, "part")
         .sortWithinPartitions("step")
         .select("step", "blob")
         .mapInArrow(scan, "part int, blob binary")
-        .repartitionById(parts, "part")
-        .select("blob")
-        .mapInArrow(merge, "id bigint, mark int, spans binary")
     )
-
-
-def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True))
-    kinds = [pa.binary() if n == "blob" else pa.int32() for n in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
-
-def without_repeats(documents: DataFrame) -> DataFrame:
-    """doc_id, `spans` (as of `removed`, null if there are none) and `kept`, the bytes that are left, of each row."""
-    found = removed(documents)
-    rows = documents.selectExpr("doc_id", f"coalesce(doc_id, {NONE}) AS id", "hash(text) AS mark", "text")
-    joined = rows.join(found, ["id", "mark"], "left").select("doc_id", "text", "spans")
-
-    def work():
-        def each(batch: pa.RecordBatch) -> list[pa.Array]:
-            out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                data, at, parts = (text or "").encode(), 0, []
-                for start, stop in np.frombuffer(spans or b"", "<i8").reshape(-1, 2).tolist():
-                    parts.append(data[at:start])
-                    at = stop
-                out.append(b"".join([*parts, data[at:]]))
-            return [pa.array(out, pa.binary())]
-
-        return each
-
-    return common.add_columns(joined, {"text": "text", "spans": "spans"}, "kept binary", work)
+    sent = rows.mapInArrow(send, "part int, blob binary")
+    both = removed.selectExpr("part", "false AS is_text", "blob").unionByName(
+        sent.selectExpr("part", "true AS is_text", "blob")
+    )
+    done = (
+        both.repartitionById(parts, "part")
+        .sortWithinPartitions("is_text")
+        .select("is_text", "blob")
+        .mapInArrow(cut, "id bigint, n_bytes bigint, spans binary, kept binary")
+    )
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return done.selectExpr(f"CAST(nullif(id, {NONE}) AS {kind}) AS doc_id", "n_bytes", "spans", "kept")
+
+
+def _batches(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Some blobs at a time."""
+    rows, kinds = iter(rows), [pa.binary() if n == "blob" else pa.int32() for n in names]
+    while some := list(itertools.islice(rows, 64)):
+        columns = zip(*some, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def _by_document(spans: list[tuple[np.ndarray, ...]]) -> dict[tuple[int, int], np.ndarray]:
+    """Merged stretches, start and stop, of each document (id, mark)."""
+    if not spans:
+        return {}
+    ids, marks, starts, stops = (np.concatenate(x) for x in zip(*spans, strict=True))
+    keys, row = np.unique(np.stack((ids, marks), axis=1), axis=0, return_inverse=True)
+    row, starts, stops = union(row.reshape(-1), starts, stops)
+    cuts = np.flatnonzero(np.diff(row, prepend=-1)).tolist()
+    pairs = np.stack((starts, stops), axis=1)
+    whole = itertools.pairwise([*cuts, len(row)])
+    return {tuple(key): pairs[a:b] for key, (a, b) in zip(keys.tolist(), whole, strict=True)}
+
+
+def _cut(blob: bytes, found: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
+    (ids, marks, lengths), data = _unpack(blob)
+    ids, at, text = np.cumsum(ids), 0, data.tobytes()
+    spans, kept = [], []
+    for key, n in zip(zip(ids.tolist(), marks.tolist(), strict=True), lengths.tolist(), strict=True):
+        own, last, parts = found.get(key), 0, []
+        for start, stop in own.tolist() if own is not None else ():
+            parts.append(text[at + last : at + start])
+            last = stop
+        kept.append(b"".join([*parts, text[at + last : at + n]]))
+        spans.append(None if own is None else own.tobytes())
+        at += n
+    arrays = [pa.array(ids), pa.array(lengths), pa.array(spans, pa.binary()), pa.array(kept, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, ["id", "n_bytes", "spans", "kept"])
 
 
 def digests(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row."""
-    n_bytes = "CAST(coalesce(octet_length(text), 0) AS bigint)"
     return without_repeats(documents.select("doc_id", "text")).selectExpr(
         "doc_id",
-        f"{n_bytes} AS n_bytes",
-        f"{n_bytes} - octet_length(kept) AS n_removed",
+        "n_bytes",
+        "n_bytes - octet_length(kept) AS n_removed",
         "CAST(coalesce(octet_length(spans), 0) / 16 AS bigint) AS n_spans",
         "sha2(kept, 256) AS kept_sha256",
     )
