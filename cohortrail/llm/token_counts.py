@@ -31,7 +31,7 @@ from cohortrail.operators.skew import materialize
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
-# Pre-tokens that are looked up by broadcast, the most frequent ones.
+# Pre-tokens that are looked up by broadcast at most, the most frequent ones.
 HEAD = 1 << 17
 # Words that a task remembers; emptied when full.
 REMEMBERED = 300_000
@@ -154,11 +154,27 @@ def pieces(texts: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     return materialize(counted.mapInArrow(cut, "pre_token string, frequency bigint, pieces bigint"), "pieces")
 
 
+def _least_of_head(table: DataFrame) -> int:
+    """The smallest frequency of the head: all pre-tokens of at least that frequency are HEAD at most.
+
+    It comes from counts per power of the eighth root of two, a few hundred rows, so that no task sends its own HEAD.
+    """
+    step = F.expr("CAST(floor(8 * log2(frequency)) AS int) AS step")
+    steps = table.groupBy(step).agg(F.expr("count(1) AS n"), F.expr("min(frequency) AS least")).orderBy(F.desc("step"))
+    least, total = (1 << 63) - 1, 0
+    for row in steps.collect():
+        total += row.n
+        if total > HEAD:
+            break
+        least = row.least
+    return least
+
+
 def counts(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """doc_id, n_bytes and n_tokens of each row."""
     spark = documents.sparkSession
     table = pieces(documents, tokenizer_path)
-    top = table.orderBy(F.desc("frequency"), "pre_token").limit(HEAD).select("pre_token", "pieces")
+    top = table.where(f"frequency >= {_least_of_head(table)}").select("pre_token", "pieces")
     head = spark.sparkContext.broadcast({r.pre_token: r.pieces for r in top.collect()})
     tokenizer = spark.sparkContext.broadcast(_read(tokenizer_path))
 
