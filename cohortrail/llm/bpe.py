@@ -24,9 +24,9 @@ from cohortrail.llm import common
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # Pre-tokens whose ids a task remembers; emptied when full.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 # Characters of the texts that are encoded together.
-RUN_CHARACTERS = 4 << 20
+RUN_CHARACTERS = 2 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
