@@ -162,11 +162,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return clusters(documents).selectExpr("doc_id", "lpad(lower(hex(fp)), 16, '0') AS fingerprint", "component_id")
 
 
-def one_per_group(documents: DataFrame) -> DataFrame:
-    """The rows of `documents` of which one stays per component: that of the smallest id, then of the smallest hash."""
+def one_per_group(documents: DataFrame, grouped: DataFrame | None = None) -> DataFrame:
+    """The rows of `documents` of which one stays per component: that of the smallest id, then of the smallest hash.
+
+    `grouped` has doc_id, h and root of each row, by default those of `clusters`.
+    """
     key, first, nr = (common.fresh(documents, c) for c in ("keep_h", "keep_id", "keep_nr"))
     keep = (
-        clusters(documents)
+        (clusters(documents) if grouped is None else grouped)
         .groupBy("root")
         .agg(F.expr("min(struct(doc_id IS NULL AS no_id, doc_id, h)) AS first"))
         .selectExpr(f"first.doc_id AS {first}", f"first.h AS {key}")
