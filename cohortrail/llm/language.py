@@ -1,7 +1,8 @@
 """Language identification by a string kernel, Nyström landmarks and kernel ridge regression.
 
 Features are the blended spectrum of a text: which n-grams of 1 to 3 characters it holds (presence, not counts), of
-lower-case text with white space and other non-letters as one separator. The n-grams are those of the training texts.
+lower-case text with white space and other non-letters as one separator. N-grams of all letters are hashed to 2^22
+numbers; FEATURES of those of the training texts are used, each language's most frequent ones in turn.
 The kernel of two texts is their number of common n-grams over the root of the product of their own numbers. A ridge
 regression, one versus the rest, is fitted in the space that the landmarks span (Nyström); a text is scored by two
 batched matrix products, presence by landmarks and landmarks by classes.
@@ -16,7 +17,9 @@ comes first by name. Repeated rows: the same answer for each.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,78 +35,82 @@ SAMPLE = 4_000
 TRAINING_LENGTH = (20, 10_000)
 LANDMARKS = 40  # of each language, at most MAX_LANDMARKS in all
 MAX_LANDMARKS = 2_000
-ALPHABET = 96
 FEATURES = 12_000
+SLOT_BITS = 22
+SLOTS = 1 << SLOT_BITS
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
 RIDGE = 1e-2
 BATCH_ROWS = 256
 STEP_CHARACTERS = 2 << 20
 
+
+@cache
+def _letters() -> np.ndarray:
+    """Whether a code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
 @dataclass
 class Spectrum:
-    """Numbers of the n-grams: `symbols` of code points below 65,536, then a table for each length."""
+    """Numbers of the n-grams by the SLOTS hashes that an n-gram may have; `n` for those that are no feature."""
 
-    symbols: np.ndarray
-    tables: list[np.ndarray]
+    table: np.ndarray
     n: int
 
-    @staticmethod
-    def _codes(text: str) -> np.ndarray:
-        return np.minimum(np.frombuffer(text.encode("utf-32-le"), "<u4"), 0xFFFF)
-
     @classmethod
-    def learn(cls, texts: list[str]) -> Spectrum:
-        """The ALPHABET - 2 most frequent letters, and the FEATURES n-grams that the most texts hold."""
-        counts = np.zeros(0x10000, np.int64)
-        for text in texts:
-            counts += np.bincount(cls._codes(text.lower()), minlength=0x10000)
-        letters = [c for c in np.argsort(-counts, kind="stable") if counts[c] and chr(c).isalpha()][: ALPHABET - 2]
-        # 0: between words, 1: any other letter (no n-gram with it is a feature)
-        symbols = np.zeros(0x10000, np.uint8)
-        symbols[[c for c in range(0xFFFF) if chr(c).isalpha()]] = 1
-        symbols[0xFFFF] = 1
-        symbols[letters] = np.arange(2, len(letters) + 2)
-        sizes = [ALPHABET, ALPHABET**2, ALPHABET**3]
-        held = [np.zeros(size, np.int64) for size in sizes]
-        empty = cls(symbols, [], 0)
-        for text in texts:
-            for k, grams in enumerate(cls.grams(empty.sequence(text))):
-                held[k][np.unique(grams)] += 1
-        digits = np.arange(sizes[2])
-        unknown = (digits % ALPHABET == 1) | (digits // ALPHABET % ALPHABET == 1) | (digits // ALPHABET**2 == 1)
-        for k, h in enumerate(held):
-            h[unknown[: sizes[k]] if k else np.arange(ALPHABET) == 1] = 0
-        held[0][0] = 0
-        held[1][0] = 0
-        order = np.argsort(-np.concatenate(held), kind="stable")[:FEATURES]
-        order = order[np.concatenate(held)[order] > 0]
-        tables = np.full(sum(sizes), len(order), np.int32)
-        tables[order] = np.arange(len(order))
-        return cls(symbols, np.split(tables, np.cumsum(sizes)[:-1]), len(order))
-
-    def sequence(self, text: str) -> np.ndarray:
-        """A byte per character; runs of non-letters become one separator, also at both ends."""
+    def learn(cls, texts: list[str], languages: list[str]) -> Spectrum:
+        """The FEATURES n-grams that stand highest in any language's order by the number of its texts that hold them."""
+        slots, ranks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for name in sorted(set(languages)):
+            held = [cls.distinct(t) for t, x in zip(texts, languages, strict=True) if x == name]
+            own, times = np.unique(np.concatenate(held), return_counts=True)
+            slots.append(own[np.argsort(-times, kind="stable")][:FEATURES])
+            ranks.append(np.arange(len(slots[-1])))
+        slots, ranks = np.concatenate(slots), np.concatenate(ranks)
+        order = slots[np.lexsort((slots, ranks))]
+        first = np.sort(np.unique(order, return_index=True)[1])[:FEATURES]
+        table = np.full(SLOTS, len(first), np.int32)
+        table[order[first]] = np.arange(len(first))
+        return cls(table, len(first))
+
+    @staticmethod
+    def sequence(text: str) -> np.ndarray:
+        """A code point per letter; runs of non-letters become one separator (0), also at both ends."""
         text = f" {text.lower()} "
-        steps = range(0, len(text), STEP_CHARACTERS)
-        s = np.concatenate([self.symbols[self._codes(text[at : at + STEP_CHARACTERS])] for at in steps])
+        parts = []
+        for at in range(0, len(text), STEP_CHARACTERS):
+            codes = np.frombuffer(text[at : at + STEP_CHARACTERS].encode("utf-32-le"), "<u4")
+            parts.append(np.where(_letters()[codes], codes, 0).astype(np.uint32))
+        s = np.concatenate(parts)
         return s[np.concatenate(([True], (s[1:] != 0) | (s[:-1] != 0)))]
 
     @staticmethod
-    def grams(sequence: np.ndarray) -> list[np.ndarray]:
-        """Codes of all 1-, 2- and 3-grams."""
-        s = sequence.astype(np.int32)
-        two = s[:-1] * ALPHABET + s[1:]
-        return [s, two, two[:-1] * ALPHABET + s[2:]]
+    def grams(sequence: np.ndarray) -> np.ndarray:
+        """Slots of all 1-, 2- and 3-grams but the separator alone."""
+        one = sequence.astype(np.uint64)
+        two = one[:-1] << np.uint64(21) | one[1:]
+        three = two[:-1] << np.uint64(21) | one[2:]
+        # A factor for each length, as the number of an n-gram that begins with a separator is that of the rest.
+        found = [(one[one > 0] + 1) * FACTORS[0], (two + 1) * FACTORS[1], (three + 1) * FACTORS[2]]
+        return (np.concatenate(found) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    @classmethod
+    def steps(cls, text: str) -> Iterator[np.ndarray]:
+        """The n-grams of a whole text, in steps that overlap by two characters."""
+        sequence = cls.sequence(text)
+        for at in range(0, len(sequence), STEP_CHARACTERS):
+            yield cls.grams(sequence[max(0, at - 2) : at + STEP_CHARACTERS])
+
+    @classmethod
+    def distinct(cls, text: str) -> np.ndarray:
+        return np.unique(np.concatenate([np.unique(g) for g in cls.steps(text)]))
 
     def presence(self, texts: list[str]) -> np.ndarray:
         """A row of 0 and 1 for each text."""
         out = np.zeros((len(texts), self.n + 1), np.float32)
         for i, text in enumerate(texts):
-            sequence = self.sequence(text)
-            # Whole texts, in steps that overlap by two characters.
-            for at in range(0, len(sequence), STEP_CHARACTERS):
-                step = sequence[max(0, at - 2) : at + STEP_CHARACTERS]
-                for table, grams in zip(self.tables, self.grams(step), strict=True):
-                    out[i, table[grams]] = 1
+            for grams in self.steps(text):
+                out[i, self.table[grams]] = 1
         return out[:, : self.n]
 
 
@@ -127,7 +134,7 @@ def fit(texts: list[str], languages: list[str]) -> Model | None:
     """Nyström ridge regression: features K(x, Z) K(Z, Z)^(-1/2), one ridge problem per language."""
     if not texts:
         return None
-    spectrum = Spectrum.learn(texts)
+    spectrum = Spectrum.learn(texts, languages)
     names = sorted(set(languages))
     presence = np.concatenate([spectrum.presence(texts[i : i + BATCH_ROWS]) for i in range(0, len(texts), BATCH_ROWS)])
     roots = np.sqrt(np.maximum(presence.sum(axis=1), 1))[:, None]
