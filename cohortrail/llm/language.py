@@ -7,8 +7,9 @@ The kernel of two texts is their number of common n-grams over the root of the p
 regression, one versus the rest, is fitted in the space that the landmarks span (Nyström); a text is scored by two
 batched matrix products, presence by landmarks and landmarks by classes.
 
-Training uses a bounded sample: PER_LANGUAGE texts of TRAINING_LENGTH characters for each language, chosen by a hash
-of the id, and SAMPLE in all, as many of each language as fit. Prediction sees nothing but the text, and the whole of it.
+Training uses a bounded sample: PER_LANGUAGE texts for each language, chosen by a hash of the id, and SAMPLE in all, as
+many of each language as fit. Texts of TRAINING_LENGTH characters are preferred; where a language has too few, pieces of
+longer texts and shorter texts are used. Prediction sees nothing but the text, and the whole of it.
 
 Null text, or no letter: `und`, score 0. No training text at all: `und` for every text. A text that shares no n-gram
 with the landmarks gets the language of the largest intercept, with its low score. Equal scores: the language that
@@ -33,6 +34,7 @@ UNDETERMINED = "und"
 PER_LANGUAGE = 150
 SAMPLE = 4_000
 TRAINING_LENGTH = (20, 10_000)
+PIECE = 1_000  # characters of the pieces of longer texts
 LANDMARKS = 40  # of each language, at most MAX_LANDMARKS in all
 MAX_LANDMARKS = 2_000
 FEATURES = 12_000
@@ -159,19 +161,35 @@ def fit(texts: list[str], languages: list[str]) -> Model | None:
 
 
 def training_rows(documents: DataFrame, labelled: str) -> DataFrame:
-    """text and lang of the sample: for each language the rows of the smallest hashes of their ids."""
+    """nr, lang and text of the sample: for each language the rows of the smallest hashes of their ids.
+
+    Texts of the lengths in TRAINING_LENGTH come first, then longer ones, then shorter ones. A longer text gives pieces:
+    the first of each text, then the second of each and so on, while the language has too few.
+    """
     low, high = TRAINING_LENGTH
-    usable = documents.where(f"({labelled}) AND lang IS NOT NULL AND char_length(text) BETWEEN {low} AND {high}")
-    ids = usable.selectExpr("doc_id", "lang", "xxhash64(doc_id, 'sample') AS at", "xxhash64(text) AS h")
-    first = ids.withColumn("nr", F.row_number().over(W.partitionBy("lang").orderBy("at", "doc_id", "h")))
+    usable = documents.where(f"({labelled}) AND lang IS NOT NULL AND text RLIKE '\\\\p{{L}}'")
+    length = f"CASE WHEN char_length(text) > {high} THEN 1 WHEN char_length(text) < {low} THEN 2 ELSE 0 END AS class"
+    ids = usable.selectExpr("doc_id", "lang", length, "xxhash64(doc_id, 'sample') AS at", "xxhash64(text) AS h")
+    first = ids.withColumn("nr", F.row_number().over(W.partitionBy("lang").orderBy("class", "at", "doc_id", "h")))
     chosen = first.where(f"nr <= {PER_LANGUAGE}").orderBy("nr", "lang").limit(SAMPLE)
     few = chosen.select("doc_id", "lang", "h", "nr").distinct().collect()
     if not few:
-        return usable.select("text", "lang").limit(0)
+        return usable.selectExpr("1 AS nr", "lang", "text").limit(0)
     # At most SAMPLE rows.
     sample = documents.sparkSession.createDataFrame(few, "doc_id bigint, lang string, h bigint, nr int")
-    found = usable.withColumn("h", F.expr("xxhash64(text)")).join(F.broadcast(sample), ["doc_id", "lang", "h"])
-    return found.groupBy("nr", "lang").agg(F.min("text").alias("text"))
+    found = usable.withColumn("h", F.expr("xxhash64(text)"))
+    same = found.doc_id.eqNullSafe(sample.doc_id) & (found.lang == sample.lang) & (found.h == sample.h)
+    found = found.join(F.broadcast(sample), same)
+    # No more pieces of a text than a language may have rows.
+    pieces = f"CASE WHEN char_length(text) > {high} THEN least(ceil(char_length(text) / {PIECE}), {PER_LANGUAGE}) ELSE 1 END"
+    cut = found.select(sample.nr, sample.lang, "text").selectExpr(
+        "nr", "lang", "text", f"explode(sequence(0, CAST({pieces} AS int) - 1)) AS piece"
+    )
+    own = f"CASE WHEN char_length(text) > {high} THEN substring(text, piece * {PIECE} + 1, {PIECE}) ELSE text END AS text"
+    cut = cut.selectExpr("nr", "lang", "piece", own).where("text RLIKE '\\\\p{L}'")
+    cut = cut.groupBy("nr", "lang", "piece").agg(F.min("text").alias("text"))
+    ranked = cut.withColumn("nr", F.row_number().over(W.partitionBy("lang").orderBy("piece", "nr")))
+    return ranked.where(f"nr <= {PER_LANGUAGE}").orderBy("nr", "lang").limit(SAMPLE).select("nr", "lang", "text")
 
 
 def train(documents: DataFrame, labelled: str = "true") -> Model | None:

@@ -28,3 +28,21 @@ def test_every_script_has_features_of_its_own():
         texts = [_words(letters, f"new {name}{i}") for i in range(10)]
         assert (model.spectrum.presence(texts).sum(axis=1) > 0).all()
         assert [model.languages[k] for k in model.scores(texts).argmax(axis=1)] == [name] * 10
+
+
+def test_labelled_texts_of_any_length_are_learned(spark):
+    """One language has only titles, one only books; with neither in the preferred lengths there is a model too."""
+    title = [(i, _words(SCRIPTS["greek"], f"t{i}", 3)[:19], "greek") for i in range(40)]
+    book = [(100, _words(SCRIPTS["cyrillic"], "book", 8_000), "cyrillic")]
+    usual = [(200 + i, _words(SCRIPTS["latin"], f"u{i}"), "latin") for i in range(20)]
+    for rows in (title + book + usual, title + book):
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+        sample = language.training_rows(frame, "true").collect()
+        longest = language.TRAINING_LENGTH[1]
+        assert {r.lang for r in sample} == {x for _, _, x in rows} and all(len(r.text) <= longest for r in sample)
+        assert len([r for r in sample if r.lang == "cyrillic"]) == -(-len(book[0][1]) // language.PIECE)
+        model = language.train(frame)
+        for name in {x for _, _, x in rows}:
+            scores = model.scores([_words(SCRIPTS[name], f"new{i}") for i in range(5)])
+            assert [model.languages[k] for k in scores.argmax(axis=1)] == [name] * 5
+        assert language.accepted(frame).count() == len(rows)
