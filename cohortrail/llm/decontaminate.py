@@ -11,8 +11,7 @@ The benchmark is the stated query set: it is searched in blocks of at most BLOCK
 broadcast and met by all documents, so that what is sent is bounded however long the benchmark is.
 
 Null or empty text: no match. Items without letters or digits, or null: match nothing. Items shorter than
-MIN_CHARACTERS, which any text might hold: only if found without edits and at word bounds. Repeated items: each is
-reported. Repeated documents: each has its rows. Very long texts: whole.
+MIN_CHARACTERS, which any text might hold: only if found at word bounds. Repeated items: each is reported. Repeated documents: each has its rows. Very long texts: whole.
 """
 
 from __future__ import annotations
@@ -41,7 +40,7 @@ def pieces(item: str, budget: int) -> list[tuple[int, str]]:
 
 
 def budget_of(item: str, rate: float = RATE) -> int:
-    return int(len(item) * rate) if len(item) >= MIN_CHARACTERS else 0
+    return int(len(item) * rate)
 
 
 class Myers:
@@ -129,7 +128,8 @@ class Matcher:
                 else:
                     low, high = zero - 2 * budget, zero + len(item) + 2 * budget
                     if old and low <= old[-1][1] - len(item):
-                        old[-1][1] = max(old[-1][1], high)
+                        # A later find may imply an earlier start, as with phrases that an item repeats.
+                        old[-1] = [min(old[-1][0], low), max(old[-1][1], high)]
                     else:
                         windows.setdefault(nr, []).append([low, high])
         found = []
