@@ -84,7 +84,10 @@ class Tokens:
 
     def _of_word(self, word: str) -> list[str]:
         found = _FAST_MATCHES.findall(word.lower())
-        return [p if p.isascii() else p.encode().decode("latin-1").translate(self._mapped) for p in found]
+        # Printable ASCII stands for itself; control characters do not.
+        return [
+            p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self._mapped) for p in found
+        ]
 
     def _slowly(self, text: str) -> list[str]:
         plain = self._normalizer.normalize_str(text) if self._normalizer else text
