@@ -76,17 +76,14 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers, and bytes of ids."""
+    """Ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, model: bytes, pattern: str):
         import sentencepiece
 
         self._model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        characters = byte_characters()
-        self._mapped = {b: c for b, c in enumerate(characters)}
-        back = {c: b for b, c in enumerate(characters)}
+        self._mapped = dict(enumerate(byte_characters()))
         names = [self._model.id_to_piece(i) for i in range(self._model.get_piece_size() - 1)]
-        self._bytes = [bytes(map(back.__getitem__, name)) for name in names]
         # A pre-token that is a token is that token, whether or not merges lead to it.
         self._whole = {name: rank for rank, name in enumerate(names)}
         self._splitter = common.Splitter(pattern, _letters_or_numbers)
@@ -109,8 +106,19 @@ class Encoder:
         self._learn(new)
         return [b"".join(map(self._ids.__getitem__, words)) for words in split]
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self._bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+def piece_bytes(model: bytes) -> list[bytes]:
+    """The bytes of each piece, its characters mapped back."""
+    import sentencepiece
+
+    pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
+    back = {c: b for b, c in enumerate(byte_characters())}
+    return [bytes(map(back.__getitem__, pieces.id_to_piece(i))) for i in range(pieces.get_piece_size() - 1)]
+
+
+def joined(ids: bytes, pieces: list[bytes]) -> bytes:
+    """The bytes that ids stand for."""
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def _letters_or_numbers(cls: str) -> set[str]:
@@ -151,11 +159,11 @@ def encode(df: DataFrame, text: str = "text", ranks_path: str | None = None, pat
 
 def decode(df: DataFrame, ranks_path: str | None = None) -> DataFrame:
     """`df` with `decoded`, the bytes of its column `ids`. Null ids: no bytes."""
-    model = df.sparkSession.sparkContext.broadcast(_model(ranks_path))
+    pieces = df.sparkSession.sparkContext.broadcast(piece_bytes(_model(ranks_path)))
 
     def work():
-        encoder = Encoder(model.value, public_tokenizers.PATTERN)
-        return lambda batch: [pa.array([encoder.decode(i or b"") for i in batch.column("ids").to_pylist()], pa.binary())]
+        known = pieces.value
+        return lambda batch: [pa.array([joined(i or b"", known) for i in batch.column("ids").to_pylist()], pa.binary())]
 
     return common.add_columns(df, {"ids": "ids"}, "decoded binary", work)
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -59,6 +63,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: Spark keeps its Python workers for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def add_columns(
     df: DataFrame,
     inputs: dict[str, str],
@@ -92,6 +105,8 @@ def add_columns(
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:n], *function(given)], names=[*batch.schema.names[:n], *new.names]
                 )
+        del function
+        give_back()
 
     out = shaped.mapInArrow(run, schema)
     return out.select(*[F.col(a).alias(c) for a, c in carried], *new.names)
