@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortrail.llm import bpe, decontaminate, language, pii, similar
+from cohortrail.llm import bpe, decontaminate, language, pii, simhash
 from cohortrail.llm.common import ship, table, without
 from cohortrail.operators.skew import materialize
 
@@ -21,10 +21,10 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    """One document of each group that fingerprints link: three-word shingles, at most two differing bits."""
     del sf_dir
     ship(spark)
-    return similar.one_per_group(docs)
+    return simhash.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
