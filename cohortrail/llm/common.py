@@ -8,6 +8,7 @@ import gc
 import re
 import sys
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -17,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortrail.session import shared_dir
+
 # Text bytes that one vectorised step inside a task works on; bounds memory, not results.
 STEP_BYTES = 16 << 20
 # Rows that a function of add_columns gets at once.
@@ -49,6 +52,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """`df` written to a new folder of the shared folder and read back, and that folder, for `discard`."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove folders made by `stored` that no plan reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """`df` without the columns that an operator is about to add (names compare as Spark compares them)."""
     taken = {n.lower() for n in names}

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortrail.llm import bpe, chat, decontaminate, html_text, language, pii, repeats, simhash, token_counts, topk
+from cohortrail.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    divergence,
+    html_text,
+    language,
+    parity,
+    pii,
+    repeats,
+    simhash,
+    token_counts,
+    topk,
+    va_file,
+)
 from cohortrail.llm.common import table
 
 
@@ -55,6 +69,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_file.audited(table(spark, sf_dir, "embeddings"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.linked(table(spark, sf_dir, "documents"))
+
+
 QUERIES = (
     op1_decontamination,
     op2_byte_bpe,
@@ -66,6 +92,9 @@ QUERIES = (
     op8_main_text,
     op9_language,
     op10_simhash,
+    op11_centroids,
+    op12_divergence,
+    op13_jaccard,
 )
 
 TOP_K_SQL = """
@@ -142,9 +171,127 @@ FROM d LEFT JOIN gone USING (doc_id)
 """
 
 
+def _centroids_sql(rounds: int = 10) -> str:
+    """Ten rounds of assignment and update, one after the other, over one row per vector and component."""
+    parts = [
+        """WITH usable AS (
+    SELECT row_number() OVER () AS r, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = 64
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), x AS MATERIALIZED (
+    SELECT r, unnest(range(64)) AS d, unnest(v) AS x FROM usable
+), first AS (
+    SELECT r, row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c
+    FROM usable WHERE vec_id IS NOT NULL
+), c0 AS MATERIALIZED (
+    SELECT c, d, x FROM first JOIN x USING (r) WHERE c < 8
+)"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+    SELECT r, c, distance FROM (
+        SELECT r, c, distance, row_number() OVER (PARTITION BY r ORDER BY distance, c) AS nr FROM (
+            SELECT x.r, k.c, sum((x.x - k.x) * (x.x - k.x)) AS distance
+            FROM x JOIN c{i} k USING (d) GROUP BY x.r, k.c)
+    ) WHERE nr = 1
+)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (
+    SELECT c, d, sum(x) AS s, count(*) AS n FROM a{i} JOIN x USING (r) GROUP BY c, d
+), c{i + 1} AS MATERIALIZED (
+    SELECT c, d, coalesce((s - ((s % n) + n) % n) // n, k.x) AS x FROM c{i} k LEFT JOIN s{i} USING (c, d)
+)""")
+    return (
+        ", ".join(parts)
+        + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN usable USING (r)
+JOIN (SELECT c, sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY d)) AS h FROM c{rounds} GROUP BY c) USING (c)
+"""
+    )
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), t AS MATERIALIZED (
+    SELECT r, lang, source, unnest(terms) AS term FROM d
+), kept AS MATERIALIZED (
+    SELECT lang, term, CAST(count(*) AS HUGEINT) AS c FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), counts AS MATERIALIZED (
+    SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM t SEMI JOIN kept USING (lang, term)
+    GROUP BY lang, source, term
+), langs AS (
+    SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang
+), groups AS MATERIALIZED (
+    SELECT g.lang, g.source, coalesce(x.n, 0) AS n, coalesce(langs.v, 0) AS v, coalesce(langs.n, 0) AS all_n
+    FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN langs USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY lang, source) x USING (lang, source)
+), p AS MATERIALIZED (
+    SELECT g.lang, g.source, k.term, coalesce(x.c, 0) AS c,
+           1 + (1000000000 * (coalesce(x.c, 0) + 2)) // (g.n + 2 * g.v) AS p,
+           1 + (1000000000 * (k.c + 2)) // (g.all_n + 2 * g.v) AS q
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN counts x USING (lang, source, term)
+), pairs AS (
+    SELECT lang, a.source, 'pair' AS part, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY lang, a.source, b.source
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE c > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS MATERIALIZED (
+    SELECT DISTINCT doc_id, w[i:i + 3] AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS MATERIALIZED (
+    SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM d
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.b) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id
+GROUP BY d.doc_id
+"""
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in QUERIES}
 
 
 def statements() -> dict[str, str]:
-    return {"op3_chat": CHAT_SQL, "op4_repeats": REPEATS_SQL, "op6_top_k": TOP_K_SQL}
+    return {
+        "op3_chat": CHAT_SQL,
+        "op4_repeats": REPEATS_SQL,
+        "op6_top_k": TOP_K_SQL,
+        "op11_centroids": _centroids_sql(),
+        "op12_divergence": DIVERGENCE_SQL,
+        "op13_jaccard": JACCARD_SQL,
+    }
