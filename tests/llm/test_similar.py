@@ -1,13 +1,13 @@
-"""The pipeline's near-duplicates against brute-force Jaccard similarity of five-word shingles."""
+"""Near-duplicates by five-word shingles against brute-force Jaccard similarity."""
 
 import itertools
 
 import pytest
 
-import corpus_pipeline
 from cohortrail.llm import similar
 
 
+
 def _sets(rows):
     words = {i: (t or "").encode().lower().split() for i, t in rows}
     return {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
@@ -30,10 +30,10 @@ def kept_by_brute_force(rows):
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
-def test_stage_equals_brute_force_jaccard(spark, sf):
+def test_groups_equal_brute_force_jaccard(spark, sf):
     docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
     want = kept_by_brute_force([(r.doc_id, r.text) for r in docs.collect()])
-    rows = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    rows = similar.one_per_group(docs).collect()
     assert {r.doc_id for r in rows} == want and len(rows) == len(want)
 
 
