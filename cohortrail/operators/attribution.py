@@ -14,7 +14,7 @@ and never hides a dated one. Of clicks at the same time, one without an id comes
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +34,8 @@ MATCH_COLUMNS = ["imei", "oaid", "androidid", "idfa", "external_ip"]
 # Up to this many device keys are broadcast to the click scan; the number is checked before.
 FEW_KEYS = 200_000
 
-_KEY = ["os", "level", "key"]
-_CLICK = ["click_ts", "click_id", "plan_id", "channel_id"]
+KEY = ["os", "level", "key"]
+CLICK_COLUMNS = ["click_ts", "click_id", "plan_id", "channel_id"]
 
 
 def unpivot_keys(df: DataFrame, levels: Mapping[int, Sequence[str]], keep: Sequence[str]) -> DataFrame:
@@ -56,19 +56,19 @@ def undated_clicks(clicks: DataFrame) -> DataFrame:
 
 def earliest_click(offers: DataFrame, on: Sequence[str]) -> DataFrame:
     """One row per key: the first click that carries it."""
-    first = F.expr(f"min(struct({', '.join(_CLICK)})) AS click")
+    first = F.expr(f"min(struct({', '.join(CLICK_COLUMNS)})) AS click")
     return offers.groupBy(*on).agg(first).select(*on, "click.*")
 
 
 def _best_level(matched: DataFrame) -> DataFrame:
     """Per device, the click of the lowest level."""
-    best = F.expr(f"min(struct(level, {', '.join(_CLICK)})) AS best")
+    best = F.expr(f"min(struct(level, {', '.join(CLICK_COLUMNS)})) AS best")
     return matched.groupBy(*DEVICE_KEYS).agg(best).select(*DEVICE_KEYS, "best.*")
 
 
 def match_clicks(
     devices: DataFrame,
-    clicks: DataFrame,
+    clicks: DataFrame | Callable[[DataFrame], DataFrame],
     levels: Mapping[int, Sequence[str]] = LEVELS,
     click_keys: Sequence[str] = (),
     lookback_days: int | None = None,
@@ -81,10 +81,17 @@ def match_clicks(
     `devices` has one row per device with its first launch (`ts` and the id columns); `at_most` bounds their number
     and is counted if not given. `click_keys=("app_id",)` also asks for the same app; clicks carry none by default.
     `lookback_days` bounds the age of a click; there is no bound by default.
+
+    `clicks` may be a kept index instead of the clicks: a function that returns the earliest click of the keys it is
+    given.
     """
-    on = [*_KEY, *click_keys]
+    on = [*KEY, *click_keys]
     keys = unpivot_keys(devices, levels, [*DEVICE_KEYS, "ts"])
-    offers = unpivot_keys(clicks.where("click_ts IS NOT NULL"), levels, [*_CLICK, *click_keys])
+    if callable(clicks):
+        if lookback_days is not None:
+            raise ValueError("an index of earliest clicks can't bound their age")
+        return _best_level(keys.join(clicks(keys.select(*on).distinct()), on).where("click_ts <= ts"))
+    offers = unpivot_keys(clicks.where("click_ts IS NOT NULL"), levels, [*CLICK_COLUMNS, *click_keys])
     most_keys = (devices.count() if at_most is None else at_most) * max(map(len, levels.values()))
     if most_keys <= few_keys:
         # A small batch of devices against all clicks: only clicks that share a key leave the scan.
@@ -110,7 +117,7 @@ def _first_click_since(keys: DataFrame, offers: DataFrame, on: Sequence[str], lo
         f"struct({', '.join(DEVICE_KEYS)}, ts) AS device",
     ).selectExpr("*", cut)
     offers = offers.selectExpr(
-        *on, "click_ts AS at", "1 AS side", f"struct({', '.join(_CLICK)}) AS click"
+        *on, "click_ts AS at", "1 AS side", f"struct({', '.join(CLICK_COLUMNS)}) AS click"
     ).selectExpr("*", cut)
     line = probes.unionByName(offers, allowMissingColumns=True)
 

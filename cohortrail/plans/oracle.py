@@ -380,6 +380,9 @@ def statements() -> dict[str, str]:
             f" {micros('ts')} AS ts FROM web"
         ),
     }
+    out["attribution_indexed"] = _attribution(0)
+    out["attribution_indexed_dirty"] = out["attribution_dirty_clicks"]
+    out["app_tables_indexed"] = out["daily_base_full"]
     out["daily_base_rollup"] = out["daily_base_full"]
     out["pay_cohort_rollup"] = out["pay_cohort"]
     out["state_from_logs"] = out["device_state_snapshot"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,10 @@ from cohortrail.operators.skew import materialize
 from cohortrail.plans import tables
 from cohortrail.plans.replay import replay
 from cohortrail.schemas import FIRST, LAUNCH, PAY, REG
+from cohortrail.session import shared_dir
 from cohortrail.sources import given_tables as given
 from cohortrail.sources import payload, stored
+from cohortrail.streaming.bucketed import ClickIndex
 from cohortrail.streaming.streams import AppStream, WebStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +107,44 @@ def _attribution(where: str, dated: str = "true", **match) -> Query:
     return query
 
 
+CLICK_BATCHES = 5
+
+
+def _click_index(spark: SparkSession, sf_dir: str, dated: str = "true") -> ClickIndex:
+    """All given clicks, in batches that don't follow time, some clicks twice; small buckets and frequent bases."""
+    index = ClickIndex(spark, f"{shared_dir(spark)}/clicks-{uuid.uuid4().hex}", buckets=8, compact_every=2)
+    clicks = given.clicks(spark, sf_dir).withColumn("click_ts", F.expr(f"CASE WHEN {dated} THEN click_ts END"))
+    for nr in range(CLICK_BATCHES):
+        index.add(clicks.where(f"pmod(xxhash64(click_id), {CLICK_BATCHES}) IN ({nr}, {nr} DIV 2)"), nr)
+    return index
+
+
+def _indexed(dated: str) -> Query:
+    """Every device with the level that matched it, from an index of clicks that came late and out of order."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        launches = given.app_events(spark, sf_dir).where(f"kind = '{LAUNCH}'")
+        firsts = materialize(timeline.first_launches(launches, launches_only=True), "firsts")
+        matched = attribution.match_clicks(firsts, _click_index(spark, sf_dir, dated).lookup())
+        joined = firsts.join(matched.drop("os"), ["app_id", "device_id"], "left")
+        return present(
+            joined, "app_id", "device_id", "os", "ts AS active_time", "coalesce(level, 0) AS level", "click_id",
+            "coalesce(plan_id, '0') AS plan_id", "coalesce(channel_id, '0') AS channel_id",
+        )
+
+    return query
+
+
+def app_tables_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship, streamed, with the index in place of the click table, and device state in eight buckets."""
+    index = _click_index(spark, sf_dir)
+    raw = given.raw_payloads(spark, sf_dir)
+    stream = replay(
+        raw, STREAM_RUNS, lambda root: AppStream(spark, root, index.lookup, buckets=8, compact_every=2)
+    )
+    return present(stream.current(stream.daily).drop(*FIRST))
+
+
 def device_identity_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = payload.accepted(payload.app_events(given.raw_payloads(spark, sf_dir)))
     return present(events, "event_id", "kind", "app_id", "os", "device_id", "imei", "oaid", "androidid", "mac", "uuid", "idfa")
@@ -356,6 +397,9 @@ def registered() -> dict[str, Query]:
         "attribution_ios": _attribution("os = 2"),
         "attribution_lookback": _attribution("true", lookback_days=2),
         "attribution_dirty_clicks": _attribution("true", "click_id % 3 <> 0"),
+        "attribution_indexed": _indexed("true"),
+        "attribution_indexed_dirty": _indexed("click_id % 3 <> 0"),
+        "app_tables_indexed": app_tables_indexed,
         "event_accounting": event_accounting,
         "state_text_round_trip": state_text_round_trip,
         "retention_stream": retention_stream,

@@ -31,6 +31,7 @@ from cohortrail.schemas import (
 )
 from cohortrail.sources import payload
 from cohortrail.streaming.batched import BatchedTable, latest_per_key
+from cohortrail.streaming.bucketed import BUCKETS, COMMIT, BucketedTable
 
 TRIGGER_SECONDS = 5
 
@@ -78,8 +79,6 @@ WEB_FACT = StructType([*WEB_EVENT.fields, *_OUTCOME])
 WAITING = StructType([*APP_EVENT.fields, *_flags("open")])
 _EVENT_KEYS = [*DEVICE_KEYS, "kind", "event_id"]
 SIGNALS = StructType([StructField("app_id", StringType()), *_flags(*onboarding.SIGNALS)])
-COMMIT = StructType([StructField("done", LongType())])
-
 
 class _Stream:
     """Common part: tables under one root, the order of writes, and reading them back."""
@@ -93,6 +92,10 @@ class _Stream:
     def _table(self, name: str, schema: StructType, fold=None, partition_by=()) -> BatchedTable:
         return BatchedTable(self.spark, f"{self.root}/{name}", schema, fold, self.compact_every, partition_by)
 
+    def _keyed(self, name: str, schema: StructType, keys: list[str], buckets: int, fold_keys: list[str] | None = None):
+        fold = latest_per_key(fold_keys or keys, schema)
+        return BucketedTable(self.spark, f"{self.root}/{name}", schema, fold, keys, buckets, self.compact_every)
+
     def _stat(self, name: str, table: StatTable) -> BatchedTable:
         return self._table(name, _stat_schema(table), lambda rows: stats.merge_deltas(rows, table))
 
@@ -148,27 +151,32 @@ class AppStream(_Stream):
     A registration or payment without an activation is a reject when it comes. It waits, and counts once if its
     device's launch comes later and lies before it.
 
-    `clicks` and `registry` are called once per batch, so that each batch sees their current content.
+    `clicks` and `registry` are called once per batch, so that each batch sees their current content. `clicks` gives a
+    click table, or the `lookup` of a `ClickIndex`, of which a batch reads the keys of its new devices alone.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
-        clicks: Callable[[], DataFrame],
+        clicks: Callable[[], DataFrame | Callable[[DataFrame], DataFrame]],
         registry: Callable[[], DataFrame] | None = None,
         hash_ids: bool = True,
         compact_every: int = 50,
         hot_rows: int = HOT_ROWS,
         initial: DataFrame | None = None,
+        buckets: int = BUCKETS,
         **match,
     ):
-        """`initial` is the device state to start from (`stored.state_from_logs`), written before the first batch."""
+        """`initial` is the device state to start from (`stored.state_from_logs`), written before the first batch.
+
+        `buckets` belongs to the stored layout of the device state: choose it for some ten thousand devices each.
+        """
         super().__init__(spark, root, compact_every, hot_rows)
         self.clicks, self.registry, self.hash_ids, self.match = clicks, registry, hash_ids, match
         self.facts = self._table("facts", APP_FACT, partition_by=("stat_date", "os"))
-        self.state = self._table("state", DEVICE_STATE, latest_per_key(DEVICE_KEYS, DEVICE_STATE))
-        self.waiting = self._table("waiting", WAITING, latest_per_key(_EVENT_KEYS, WAITING))
+        self.state = self._keyed("state", DEVICE_STATE, DEVICE_KEYS, buckets)
+        self.waiting = self._keyed("waiting", WAITING, DEVICE_KEYS, buckets, _EVENT_KEYS)
         self.signals = self._table("signals", SIGNALS, _fold_signals)
         self.daily = self._stat("stat_daily", stats.DAILY)
         self.retention = self._stat("stat_retention", stats.RETENTION)
@@ -247,10 +255,11 @@ class WebStream(_Stream):
         compact_every: int = 50,
         hot_rows: int = HOT_ROWS,
         initial: DataFrame | None = None,
+        buckets: int = BUCKETS,
     ):
         super().__init__(spark, root, compact_every, hot_rows)
         self.facts = self._table("facts", WEB_FACT, partition_by=("stat_date",))
-        self.state = self._table("state", WEB_STATE, latest_per_key(WEB_KEYS, WEB_STATE))
+        self.state = self._keyed("state", WEB_STATE, WEB_KEYS, buckets)
         self.daily = self._stat("stat_daily", stats.WEB_DAILY)
         self.retention = self._stat("stat_retention", stats.WEB_RETENTION)
         if initial is not None:
