@@ -66,7 +66,8 @@ def aggregate(
     parts = rows.groupBy(*table.keys, *table.described).agg(
         *[F.expr(f"{e} AS {m}") for m, e in measures.items()], F.expr(f"min({order}) AS first_order"), F.expr(f"min({ts}) AS first_ts")
     )
-    earliest = f"min(struct(first_order, first_ts, {', '.join(table.described)})) AS first"
+    # Rows that take back what others counted have no first event.
+    earliest = f"min(struct(first_order, first_ts, {', '.join(table.described)})) FILTER (WHERE first_ts IS NOT NULL) AS first"
     added = parts.groupBy(*table.keys).agg(*[F.expr(f"sum({m}) AS {m}") for m in measures], F.expr(earliest))
     return added.selectExpr(
         *table.keys,
@@ -84,6 +85,23 @@ def merge_deltas(deltas: DataFrame, table: StatTable) -> DataFrame:
     return aggregate(deltas, table, sums, FIRST[0], S.order_key(*FIRST))
 
 
+def taken_back(deltas: DataFrame, table: StatTable) -> DataFrame:
+    """Deltas that undo `deltas`: negative counts, and no claim to be the first of a row."""
+    kinds = dict(deltas.dtypes)
+    measures = [f"CAST(-{c} AS {kinds[c]}) AS {c}" for c in (*table.counts, *table.money)]
+    nothing = [f"CAST(NULL AS {kinds[c]}) AS {c}" for c in FIRST]
+    return deltas.selectExpr(*table.keys, *measures, *table.described, *nothing).select(*deltas.columns)
+
+
+def firsts(rows: DataFrame, table: StatTable) -> DataFrame:
+    """Per key the first row's description and place in order, as in `aggregate`."""
+    earliest = f"min(struct({_ORDER} AS first_order, ts, event_id, {', '.join(table.described)})) AS first"
+    found = rows.groupBy(*table.keys).agg(F.expr(earliest))
+    return found.selectExpr(
+        *table.keys, *[f"first.{c} AS {c}" for c in table.described], f"first.ts AS {FIRST[0]}", f"first.event_id AS {FIRST[1]}"
+    )
+
+
 def daily(facts: DataFrame) -> DataFrame:
     """Launches, activations, active devices, registrations and payments per app, plan and day."""
     return aggregate(
@@ -111,16 +129,19 @@ def retention(facts: DataFrame) -> DataFrame:
     return aggregate(retained(facts), RETENTION, {"retention_count": "count(1)"})
 
 
+def payments(facts: DataFrame) -> DataFrame:
+    return facts.where(f"kind = '{PAY}'").selectExpr(
+        "*", f"{S.day_number('active_date', 'stat_date')} AS pay_days", "stat_date AS pay_date"
+    )
+
+
 def pay_cohort(facts: DataFrame) -> DataFrame:
     """Payments per app, plan, activation day and age of the cohort."""
     new_payer = f"NOT {S.has_bit('pay_status', S.PAID_BEFORE)}"
     first_today = f"NOT {S.has_bit('pay_status', S.PAID_TODAY)}"
     active_today = S.has_bit("pay_status", S.ACTIVE_TODAY)
-    payments = facts.where(f"kind = '{PAY}'").selectExpr(
-        "*", f"{S.day_number('active_date', 'stat_date')} AS pay_days", "stat_date AS pay_date"
-    )
     return aggregate(
-        payments,
+        payments(facts),
         PAY_COHORT,
         {
             "pay_count": "count(1)",

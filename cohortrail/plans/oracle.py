@@ -383,6 +383,10 @@ def statements() -> dict[str, str]:
     out["attribution_indexed"] = _attribution(0)
     out["attribution_indexed_dirty"] = out["attribution_dirty_clicks"]
     out["app_tables_indexed"] = out["daily_base_full"]
+    out["daily_any_order"] = out["daily_base_full"]
+    out["retention_any_order"] = out["retention_cohort"]
+    out["pay_cohort_any_order"] = out["pay_cohort"]
+    out["late_launch_facts"] = out["launch_facts"]
     out["daily_base_rollup"] = out["daily_base_full"]
     out["pay_cohort_rollup"] = out["pay_cohort"]
     out["state_from_logs"] = out["device_state_snapshot"]

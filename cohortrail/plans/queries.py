@@ -17,6 +17,7 @@ from cohortrail.session import shared_dir
 from cohortrail.sources import given_tables as given
 from cohortrail.sources import payload, stored
 from cohortrail.streaming.bucketed import ClickIndex
+from cohortrail.streaming.corrected import CorrectedStream
 from cohortrail.streaming.streams import AppStream, WebStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +146,31 @@ def app_tables_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(stream.current(stream.daily).drop(*FIRST))
 
 
+def _corrected(spark: SparkSession, sf_dir: str) -> CorrectedStream:
+    """All messages and clicks in batches that don't follow time: launches, registrations, payments and clicks may each
+    come before or after what they belong to."""
+    root = f"{shared_dir(spark)}/corrected-{uuid.uuid4().hex}"
+    index = ClickIndex(spark, f"{root}/clicks", buckets=4, compact_every=2)
+    stream = CorrectedStream(spark, f"{root}/tables", index, buckets=4, compact_every=2)
+    raw, clicks = given.raw_payloads(spark, sf_dir), given.clicks(spark, sf_dir)
+    for nr in range(STREAM_RUNS):
+        index.add(clicks.where(f"pmod(xxhash64(click_id), {STREAM_RUNS}) = {nr}"), nr)
+        stream.process(raw.where(f"pmod(xxhash64(value), {STREAM_RUNS}) = {nr}").select("kind", "value"), nr)
+    return stream
+
+
+def _corrected_of(read: Callable[[CorrectedStream], DataFrame]) -> Query:
+    return lambda spark, sf_dir: present(read(_corrected(spark, sf_dir)))
+
+
+def late_launch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of launches as they are after events and clicks have come in any order."""
+    stream = _corrected(spark, sf_dir)
+    facts = stream.facts_of(stream.next_batch()).where(f"kind = '{LAUNCH}'")
+    return present(facts, "event_id", "app_id", "device_id", "plan_id", "channel_id", "ts", "active_time",
+                   "prev_launch_time", "is_new", "new_today")
+
+
 def device_identity_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = payload.accepted(payload.app_events(given.raw_payloads(spark, sf_dir)))
     return present(events, "event_id", "kind", "app_id", "os", "device_id", "imei", "oaid", "androidid", "mac", "uuid", "idfa")
@@ -400,6 +426,10 @@ def registered() -> dict[str, Query]:
         "attribution_indexed": _indexed("true"),
         "attribution_indexed_dirty": _indexed("click_id % 3 <> 0"),
         "app_tables_indexed": app_tables_indexed,
+        "daily_any_order": _corrected_of(lambda s: s.current(s.daily).drop(*FIRST)),
+        "retention_any_order": _corrected_of(lambda s: s.current(s.retention).drop(*FIRST)),
+        "pay_cohort_any_order": _corrected_of(lambda s: s.current(s.pay_cohort).drop(*FIRST)),
+        "late_launch_facts": late_launch_facts,
         "event_accounting": event_accounting,
         "state_text_round_trip": state_text_round_trip,
         "retention_stream": retention_stream,

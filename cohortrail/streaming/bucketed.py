@@ -36,16 +36,20 @@ class BucketedTable(BatchedTable):
         keys: Sequence[str],
         buckets: int = BUCKETS,
         compact_every: int = 50,
+        bucket: str | None = None,
     ):
-        """`keys` and `buckets` belong to the stored layout, as `compact_every` does: keep them for the table's life.
+        """`bucket` is an SQL expression of a small integer, by default the hash of `keys` over `buckets`.
+
+        `keys` and `buckets` belong to the stored layout, as `compact_every` does: keep them for the table's life.
 
         Choose `buckets` for some ten thousand rows each.
         """
         super().__init__(spark, root, schema, fold, compact_every)
         self.keys, self.buckets = list(keys), buckets
+        self.bucket = bucket or f"pmod(xxhash64({', '.join(keys)}), {buckets})"
 
     def _bucket(self) -> str:
-        return f"CAST(pmod(xxhash64({', '.join(self.keys)}), {self.buckets}) AS int) AS bucket"
+        return f"CAST({self.bucket} AS int) AS bucket"
 
     def seed(self, rows: DataFrame) -> None:
         # The map is written last, so a seed that was cut short is written again.
@@ -215,5 +219,17 @@ class ClickIndex:
         before = self.next_batch()
         return lambda keys: self.table.read(before, keys, self.on)
 
+    def changes(self, since: int, before: int) -> DataFrame | None:
+        """The earliest click of each key among those taken in by the batches from `since` on; None if there were none.
+
+        Where batches that far back are gone, the whole index, which holds all of them.
+        """
+        if since >= before:
+            return None
+        if since < self.table._base(before) - self.table.compact_every:
+            return self.table.read(before)
+        folders = [f"{self.table.root}/delta/{BATCH}={b}" for b in range(since, before)]
+        return self._fold(self.spark.read.schema(self.table.schema).parquet(*folders))
+
     def current(self) -> DataFrame:
         return self.table.read(self.next_batch())

@@ -39,7 +39,7 @@ _DATES = ("stat_date", "active_date", "pay_date")
 _DAYS = ("retention_days", "pay_days")
 
 
-def _stat_schema(table: StatTable) -> StructType:
+def stat_schema(table: StatTable) -> StructType:
     def field(name: str) -> StructField:
         if name in _DATES:
             return StructField(name, DateType())
@@ -80,7 +80,7 @@ WAITING = StructType([*APP_EVENT.fields, *_flags("open")])
 _EVENT_KEYS = [*DEVICE_KEYS, "kind", "event_id"]
 SIGNALS = StructType([StructField("app_id", StringType()), *_flags(*onboarding.SIGNALS)])
 
-class _Stream:
+class Stream:
     """Common part: tables under one root, the order of writes, and reading them back."""
 
     def __init__(self, spark: SparkSession, root: str, compact_every: int, hot_rows: int):
@@ -97,7 +97,7 @@ class _Stream:
         return BucketedTable(self.spark, f"{self.root}/{name}", schema, fold, keys, buckets, self.compact_every)
 
     def _stat(self, name: str, table: StatTable) -> BatchedTable:
-        return self._table(name, _stat_schema(table), lambda rows: stats.merge_deltas(rows, table))
+        return self._table(name, stat_schema(table), lambda rows: stats.merge_deltas(rows, table))
 
     def _scratch(self, batch_id: int) -> str:
         """Two folders in turn, so that intermediate tables do not pile up."""
@@ -145,7 +145,7 @@ class _Stream:
         return writer.trigger(processingTime=f"{TRIGGER_SECONDS} seconds").start()
 
 
-class AppStream(_Stream):
+class AppStream(Stream):
     """Launches, registrations and payments to facts, device state, statistics, app signals and rejects.
 
     A registration or payment without an activation is a reject when it comes. It waits, and counts once if its
@@ -177,7 +177,7 @@ class AppStream(_Stream):
         self.facts = self._table("facts", APP_FACT, partition_by=("stat_date", "os"))
         self.state = self._keyed("state", DEVICE_STATE, DEVICE_KEYS, buckets)
         self.waiting = self._keyed("waiting", WAITING, DEVICE_KEYS, buckets, _EVENT_KEYS)
-        self.signals = self._table("signals", SIGNALS, _fold_signals)
+        self.signals = self._table("signals", SIGNALS, fold_signals)
         self.daily = self._stat("stat_daily", stats.DAILY)
         self.retention = self._stat("stat_retention", stats.RETENTION)
         self.pay_cohort = self._stat("stat_pay", stats.PAY_COHORT)
@@ -241,11 +241,11 @@ class AppStream(_Stream):
         return self.spark.read.parquet(path)
 
 
-def _fold_signals(rows: DataFrame) -> DataFrame:
+def fold_signals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("app_id").agg(*[F.expr(f"max({n}) AS {n}") for n in onboarding.SIGNALS])
 
 
-class WebStream(_Stream):
+class WebStream(Stream):
     """Web launches to facts, click state, statistics and rejects."""
 
     def __init__(
