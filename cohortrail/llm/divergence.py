@@ -1,11 +1,11 @@
 """How far the sources of a language differ in their words, from counts by single-pass in-memory indexing.
 
 Each task reads its documents once and posts terms to a block in memory: per language and source, occurrences and
-holding documents of each term. A block of BLOCK postings is spilled as a run: entries in the order of terms, cut by
-the hash of the term into shards and into chunks of CHUNK entries. Runs of a shard meet in one task and are merged with
-a heap. Chunks come sorted by their first term, so an entry leaves the heap once it lies before the first term of the
+holding documents of each term. A block of BLOCK postings is spilled as a run: terms in order with their postings, cut by
+the hash of the term into shards and into chunks of CHUNK terms. Runs of a shard meet in one task and are merged with
+a heap. Chunks come sorted by their first term, so a term leaves the heap once it lies before the first term of the
 next chunk, and a task holds the chunks that overlap at one term, not the shard. Beyond FAN_IN runs, groups of runs are
-merged to longer runs first. An entry per run and group is all that a frequent term costs.
+merged to longer runs first. A posting per run and group is all that a frequent term costs.
 
 The merge gives each kept term of a language its counts by source. A term's rate in a group is smoothed, so that every
 group has a rate for every term, and the divergence of two sources is a sum over all kept terms. Most of them are
@@ -25,6 +25,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ from cohortrail.llm import common
 HOLDERS = 10  # documents of a language that must hold a kept term
 TOP = 10  # ranks of terms
 UNIT = 1_000_000_000
-BLOCK = 200_000  # postings that a task holds before it spills
-CHUNK = 512  # entries
+BLOCK = 500_000  # postings that a task holds before it spills
+CHUNK = 512  # terms
+GATHERED = 4096  # terms whose postings are added up at a time
 FAN_IN = 1_000
 STEP_BYTES = 4 << 20
 MAX_GROUPS = 200_000  # groups whose totals are sent to tasks at a time
@@ -48,10 +50,10 @@ _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 _OTHER = re.compile(rb"[^A-Za-z\x80-\xff]")
 
 RUN = (
-    "run bigint, shard bigint, first binary, terms array<binary>, langs array<string>, sources array<string>,"
-    " counts array<bigint>, holders array<bigint>"
+    "run bigint, shard bigint, first binary, terms binary, langs array<string>, sources array<string>,"
+    " ends binary, groups binary, counts binary, holders binary"
 )
-_RUN_NAMES = ["run", "shard", "first", "terms", "langs", "sources", "counts", "holders"]
+_RUN_NAMES = ["run", "shard", "first", "terms", "langs", "sources", "ends", "groups", "counts", "holders"]
 
 
 def steps(text: bytes) -> Iterator[bytes]:
@@ -66,6 +68,27 @@ def steps(text: bytes) -> Iterator[bytes]:
         at = end
 
 
+class Postings(NamedTuple):
+    """Terms in order, and of each the groups that have it: those of term i end at ends[i]."""
+
+    terms: list[bytes]
+    ends: np.ndarray
+    groups: np.ndarray  # places in a list of groups
+    counts: np.ndarray
+    holders: np.ndarray
+
+    def chunks(self, run: int, shard: int, names: list[tuple[str, str]]) -> Iterator[tuple]:
+        """The rows of a run."""
+        langs, sources = zip(*names, strict=True)
+        for at in range(0, len(self.terms), CHUNK):
+            terms, ends = self.terms[at : at + CHUNK], self.ends[at : at + CHUNK]
+            low, high = int(self.ends[at - 1]) if at else 0, int(ends[-1])
+            numbers = [(ends - low).astype("<i4"), self.groups[low:high].astype("<u4")]
+            numbers += [self.counts[low:high].astype("<i8"), self.holders[low:high].astype("<i8")]
+            # No term holds the byte 0.
+            yield (run, shard, terms[0], b"\0".join(terms), langs, sources, *(x.tobytes() for x in numbers))
+
+
 class Block:
     """Postings of some documents: per language and source, occurrences and holding documents of each term."""
 
@@ -84,31 +107,42 @@ class Block:
         self.size += len(counts) - before
 
     def spill(self, run: int, shards: int) -> Iterator[pa.RecordBatch]:
-        """The run: (shard, term, lang, source) in order."""
-        entries: list[list[tuple]] = [[] for _ in range(shards)]
-        for (lang, source), (counts, holders) in self.groups.items():
-            for term, n in counts.items():
-                entries[zlib.crc32(term) % shards].append((term, lang, source, n, holders[term]))
-        rows = []
-        for shard, own in enumerate(entries):
-            own.sort()
-            rows.extend(chunks(own, run, shard))
-            if len(rows) >= 256:
+        """The run: terms by shard and in order."""
+        if not self.size:
+            return
+        terms = sorted(set().union(*(c for c, _ in self.groups.values())))
+        shard = np.fromiter((zlib.crc32(t) % shards for t in terms), np.int64, len(terms))
+        order = np.argsort(shard, kind="stable")
+        place = dict(zip((terms[i] for i in order.tolist()), range(len(terms)), strict=True))
+        columns = []
+        for g, (counts, holders) in enumerate(self.groups.values()):
+            n = len(counts)
+            own = [map(place.__getitem__, counts), counts.values(), map(holders.__getitem__, counts)]
+            columns.append([np.full(n, g), *(np.fromiter(x, np.int64, n) for x in own)])
+        group, at, n, h = (np.concatenate(c) for c in zip(*columns, strict=True))
+        by_term = np.argsort(at, kind="stable")
+        group, at, n, h = group[by_term], at[by_term], n[by_term], h[by_term]
+        ends = np.searchsorted(at, np.arange(len(terms)), side="right")
+        del place, columns, by_term, at
+        cuts = np.searchsorted(shard[order], np.arange(shards + 1)).tolist()
+        names, rows = list(self.groups), []
+        for s in range(shards):
+            i, j = cuts[s : s + 2]
+            if i < j:
+                low, high = int(ends[i - 1]) if i else 0, int(ends[j - 1])
+                own = [terms[k] for k in order[i:j].tolist()]
+                part = Postings(own, ends[i:j] - low, group[low:high], n[low:high], h[low:high])
+                rows.extend(part.chunks(run, s, names))
+            if len(rows) >= 64:
                 yield _batch(rows)
                 rows = []
         if rows:
             yield _batch(rows)
 
 
-def chunks(entries: list[tuple], run: int, shard: int) -> Iterator[tuple]:
-    for at in range(0, len(entries), CHUNK):
-        columns = [list(c) for c in zip(*entries[at : at + CHUNK], strict=True)]
-        yield (run, shard, columns[0][0], *columns)
-
-
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    text, number = pa.list_(pa.string()), pa.list_(pa.int64())
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()), text, text, number, number]
+    number, data, names = pa.int64(), pa.binary(), pa.list_(pa.string())
+    kinds = [number, number, data, data, names, names, data, data, data, data]
     columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
     return pa.RecordBatch.from_arrays(columns, _RUN_NAMES)
 
@@ -132,44 +166,71 @@ def runs(documents: DataFrame) -> DataFrame:
     return documents.selectExpr("coalesce(lang, '') AS lang", "coalesce(source, '') AS source", "text").mapInArrow(index, RUN)
 
 
-def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Merge runs: (shard, term, lang, source, count, holders) once each, in order.
+class Merge:
+    """Runs merged with a heap. Chunks come sorted by shard and first term, those of any number of runs."""
 
-    Chunks come sorted by shard and first term, those of any number of runs.
-    """
-    heap: list[tuple] = []  # the next entry of each chunk that was begun
-    last: list | None = None
-    number, place = 0, None
-
-    def popped(until: bytes | None) -> Iterator[tuple]:
-        nonlocal last
+    def __init__(self):
+        self.places: dict[tuple[str, str], int] = {}  # groups of all runs
+        self.heap: list[tuple] = []  # the next term of each chunk that was begun
+        self.terms: list[bytes] = []
+        self.parts: list[tuple] = []  # of each term: its place, and what one chunk has of it
+        self.begun = 0
+
+    def push(self, row: dict) -> None:
+        names = zip(row["langs"], row["sources"], strict=True)
+        own = np.array([self.places.setdefault(name, len(self.places)) for name in names], np.int64)
+        groups = own[np.frombuffer(row["groups"], "<u4")]
+        counts, holders = (np.frombuffer(row[c], "<i8") for c in ("counts", "holders"))
+        chunk = row["terms"].split(b"\0"), [0, *np.frombuffer(row["ends"], "<i4").tolist()], groups, counts, holders
+        self.begun += 1
+        heapq.heappush(self.heap, (chunk[0][0], self.begun, 0, chunk))
+
+    def pop(self, until: bytes | None) -> Iterator[Postings]:
+        """Terms before `until`, some thousands at a time; None: all there are."""
+        heap, terms, parts = self.heap, self.terms, self.parts
         while heap and (until is None or heap[0][0] < until):
-            term, lang, source, _, at, chunk = heap[0]
-            n, h = chunk[3][at], chunk[4][at]
+            term, number, at, chunk = heap[0]
+            if not terms or terms[-1] != term:
+                if len(terms) >= GATHERED:
+                    yield self._gathered()
+                terms.append(term)
+            ends = chunk[1]
+            parts.append((len(terms) - 1, chunk, ends[at], ends[at + 1]))
             if at + 1 < len(chunk[0]):
-                heapq.heapreplace(heap, (*(c[at + 1] for c in chunk[:3]), heap[0][3], at + 1, chunk))
+                heapq.heapreplace(heap, (chunk[0][at + 1], number, at + 1, chunk))
             else:
                 heapq.heappop(heap)
-            if last is not None and last[1] == term and last[2] == lang and last[3] == source:
-                last[4] += n
-                last[5] += h
-            else:
-                if last is not None:
-                    yield tuple(last)
-                last = [place, term, lang, source, n, h]
-        if until is None and last is not None:
-            yield tuple(last)
-            last = None
-
+        if until is None and terms:
+            yield self._gathered()
+
+    def _gathered(self) -> Postings:
+        """What the chunks have of the terms popped so far, added up by term and group."""
+        sizes = np.array([j - i for *_, i, j in self.parts])
+        term = np.repeat(np.array([t for t, *_ in self.parts]), sizes)
+        group, n, h = (np.concatenate([c[k][i:j] for _, c, i, j in self.parts]) for k in (2, 3, 4))
+        order = np.lexsort((group, term))
+        term, group, n, h = term[order], group[order], n[order], h[order]
+        first = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (group[1:] != group[:-1]))))
+        terms = list(self.terms)
+        ends = np.searchsorted(term[first], np.arange(len(terms)), side="right")
+        self.terms.clear()
+        self.parts.clear()
+        return Postings(terms, ends, group[first], np.add.reduceat(n, first), np.add.reduceat(h, first))
+
+
+def merging(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Postings, list[tuple[str, str]]]]:
+    """(shard, postings, names of the groups), each term of a shard once."""
+    merge, shard = Merge(), None
     for batch in batches:
         names = batch.schema.names
         for i in range(batch.num_rows):
-            row = {c: batch.column(names.index(c))[i].as_py() for c in ("shard", "first", *_RUN_NAMES[3:])}
-            yield from popped(row["first"] if row["shard"] == place else None)
-            place, number = row["shard"], number + 1
-            chunk = [row[c] for c in _RUN_NAMES[3:]]
-            heapq.heappush(heap, (*(c[0] for c in chunk[:3]), number, 0, chunk))
-    yield from popped(None)
+            row = {name: batch.column(k)[i].as_py() for k, name in enumerate(names)}
+            for found in merge.pop(row["first"] if row["shard"] == shard else None):
+                yield shard, found, list(merge.places)
+            shard = row["shard"]
+            merge.push(row)
+    for found in merge.pop(None):
+        yield shard, found, list(merge.places)
 
 
 def merged(runs: DataFrame) -> DataFrame:
@@ -178,18 +239,9 @@ def merged(runs: DataFrame) -> DataFrame:
     parts = runs.select("run").distinct().count() // FAN_IN + 1
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def run(own: list[tuple]) -> pa.RecordBatch:
-            part, shard = divmod(own[0][0], shards)
-            return _batch(list(chunks([e[1:] for e in own], part, shard)))
-
-        own: list[tuple] = []
-        for entry in entries(batches):
-            if own and (len(own) >= CHUNK or own[0][0] != entry[0]):
-                yield run(own)
-                own = []
-            own.append(entry)
-        if own:
-            yield run(own)
+        for place, found, names in merging(batches):
+            part, shard = divmod(place, shards)
+            yield _batch(list(found.chunks(part, shard, names)))
 
     # A part of the runs and a shard make one place, in which runs are merged.
     place = runs.withColumn("shard", F.expr(f"pmod(xxhash64(run), {parts}) * {shards} + shard"))
@@ -207,24 +259,11 @@ def frequencies(documents: DataFrame) -> tuple[DataFrame, list[str]]:
         made.append(path)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, own, held = [], None, 0
-
-        def kept() -> list[tuple]:
-            return [own] if own is not None and held >= HOLDERS else []
-
-        for _, term, lang, source, n, h in entries(batches):
-            if own is None or own[1] != term or own[0] != lang:
-                rows += kept()
-                own, held = (lang, term, [], []), 0
-                if len(rows) >= 4096:
-                    yield _kept(rows)
-                    rows = []
-            own[2].append(source)
-            own[3].append(n)
-            held += h
-        rows += kept()
-        if rows:
-            yield _kept(rows)
+        for _, found, names in merging(batches):
+            kept = _kept(found, names)
+            if kept.num_rows:
+                yield kept
+        common.give_back()
 
     dealt = spilled.repartitionById(shards, F.expr("CAST(shard AS int)")).sortWithinPartitions("shard", "first")
     found = dealt.mapInArrow(count, "lang string, term string, sources array<string>, counts array<bigint>")
@@ -232,13 +271,27 @@ def frequencies(documents: DataFrame) -> tuple[DataFrame, list[str]]:
     return kept, [*made, path]
 
 
-def _kept(rows: list[tuple]) -> pa.RecordBatch:
-    langs, terms, sources, counts = zip(*rows, strict=True)
+def _kept(found: Postings, names: list[tuple[str, str]]) -> pa.RecordBatch:
+    """A row for each term and language with enough holders, its sources in order."""
+    langs = sorted({lang for lang, _ in names})
+    lang_of = np.searchsorted(np.array(langs, object), np.array([lang for lang, _ in names], object))
+    in_order = np.empty(len(names), np.int64)
+    in_order[sorted(range(len(names)), key=lambda g: names[g][1])] = np.arange(len(names))
+    sizes = np.diff(found.ends, prepend=0)
+    term, lang = np.repeat(np.arange(len(found.terms)), sizes), lang_of[found.groups]
+    order = np.lexsort((in_order[found.groups], lang, term))
+    term, lang, group, n = term[order], lang[order], found.groups[order], found.counts[order]
+    first = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (lang[1:] != lang[:-1]))))
+    enough = np.add.reduceat(found.holders[order], first) >= HOLDERS
+    size = np.diff(np.append(first, len(term)))
+    own, first, size = np.repeat(enough, size), first[enough], size[enough]
+    ends = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32())
+    sources = pa.array([s for _, s in names], pa.string()).take(pa.array(group[own]))
     columns = [
-        pa.array(langs, pa.string()),
-        pa.array([t.decode() for t in terms], pa.string()),
-        pa.array(sources, pa.list_(pa.string())),
-        pa.array(counts, pa.list_(pa.int64())),
+        pa.array(langs, pa.string()).take(pa.array(lang[first])),
+        pa.array([found.terms[i].decode() for i in term[first].tolist()], pa.string()),
+        pa.ListArray.from_arrays(ends, sources),
+        pa.ListArray.from_arrays(ends, pa.array(n[own])),
     ]
     return pa.RecordBatch.from_arrays(columns, ["lang", "term", "sources", "counts"])
 
