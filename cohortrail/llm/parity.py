@@ -11,8 +11,8 @@ words, all but `errors` are equal, and each choice of so many words gives a sign
 The more documents there are, the more words a signature covers (`choice`), so that chance meetings stay a few a set; this
 decides on speed alone. Signatures leave a task packed by target partition, six bytes each.
 
-Where several sets meet, each is first compared with the first of them, by a sketch of its own and then by the whole sets
-in integers. What is linked needs no further pair. Only groups that still hold sets of different components are compared
+Where several sets meet, each is first compared with one of them, by a sketch of its own and then by the whole sets
+in integers. That one is the set that meets others most often. What is linked needs no further pair. Only groups that still hold sets of different components are compared
 within, in tiles of bounded size, and only pairs whose sketches are near enough leave the task. Equal sets (128 bits of
 their hash) are linked directly.
 
@@ -29,6 +29,7 @@ import itertools
 import math
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +40,13 @@ from pyspark.sql import functions as F
 
 from cohortrail.llm import common
 from cohortrail.llm.components import components
+from cohortrail.operators.skew import heaviest, join_unique
 
 SHINGLE = 4
 PERCENT = 85
 # Words of a piece and bits in which it may differ, in the order of growing cover and number of signatures.
 CHOICES = ((2, 1), (4, 1), (5, 2), (7, 3), (10, 5), (12, 6))
-MEETINGS = 16  # chance meetings of a set that are put up with
+MEETINGS = 0.25  # chance meetings of a set that are put up with
 BANDS = 8  # over which sets are thought to spread when meetings are estimated
 LEAST_SKETCH, LARGEST_SKETCH = 64, 1 << 15
 SEEN = 500_000  # distinct sets that a task remembers
@@ -53,6 +55,7 @@ WINDOW = 1 << 16  # sets whose signatures are packed together, as a place in the
 PACKED = 2_000_000  # signatures held before they are packed
 TILE = 1024
 STEP_BYTES = 16 << 20
+LARGE = 1_000  # rows of a large component
 BROADCAST_NODES = 500_000  # rows of 24 bytes
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -137,18 +140,20 @@ def parity(elements: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
+@cache
+def _chosen(words: int, errors: int) -> np.ndarray:
+    return np.array(list(itertools.combinations(range(words), words - errors)))
+
+
 def signatures(elements: np.ndarray, band: int, top: int, words: int, errors: int) -> np.ndarray:
     """Of a set in a band of sizes up to `top`."""
-    pieces = difference(top, top) // (errors + 1) + 1
+    pieces, chosen = difference(top, top) // (errors + 1) + 1, _chosen(words, errors)
     sketch = parity(elements, pieces * words).reshape(pieces, words)
     start = _mix(np.arange(pieces, dtype=np.uint64) * _ODD[0] + np.uint64(band))
-    out = []
-    for nr, chosen in enumerate(itertools.combinations(range(words), words - errors)):
-        key = start + np.uint64(nr * int(_ODD[1]) % 2**64)
-        for i in chosen:
-            key = _mix(key ^ sketch[:, i])
-        out.append(key)
-    return np.concatenate(out)
+    key = start[:, None] + np.arange(len(chosen), dtype=np.uint64) * _ODD[1]
+    for words_of in chosen.T:
+        key = _mix(key ^ sketch[:, words_of])
+    return key.ravel()
 
 
 def sketch(elements: np.ndarray) -> bytes:
@@ -264,8 +269,8 @@ def _prints(documents: DataFrame) -> tuple[DataFrame, str]:
 
 
 def _meetings(packs: DataFrame) -> DataFrame:
-    """a, b: the first node and another one of a group that shares a signature; and, for groups of three or more, rows with
-    their `nodes` and a hash of these, each set of nodes once a task."""
+    """The groups of two or more nodes that share a signature: `nodes` and a hash of these. Groups of the same nodes are
+    one in each task."""
     spark = packs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,35 +289,35 @@ def _meetings(packs: DataFrame) -> DataFrame:
         key, node = key[keep], node[keep]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         size = np.diff(np.append(first, len(key)))
-        group = np.repeat(np.arange(len(first)), size)
-        others = np.flatnonzero((size[group] > 1) & (np.arange(len(key)) != first[group]))
-        a, b = node[first[group[others]]], node[others]
-        order = np.lexsort((b, a))
-        pairs = np.stack([a[order], b[order]])
-        pairs = pairs[:, np.concatenate(([True], (np.diff(pairs) != 0).any(axis=0)))[: len(order)]]
-        none = pa.nulls(pairs.shape[1], pa.binary()), pa.nulls(pairs.shape[1], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), *none], ["a", "b", "hash", "nodes"])
-
-        large = np.flatnonzero(size > 2)
-        if len(large):
-            mixed = node.view(np.uint64)
-            sums = [np.add.reduceat(_mix(mixed * _ODD[i] + _ODD[i + 1]), first)[large] for i in (0, 2)]
-            hashes = np.stack([*sums, size[large].astype(np.uint64)], axis=1)
-            _, chosen = np.unique(hashes, axis=0, return_index=True)
-            for at in range(0, len(chosen), 4096):
-                part = large[chosen[at : at + 4096]]
-                lists = [node[first[g] : first[g] + size[g]] for g in part]
-                ends = np.concatenate(([0], np.cumsum(size[part])))
-                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))
-                names = [hashes[c].tobytes() for c in chosen[at : at + 4096]]
-                empty = pa.nulls(len(part), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [empty, empty, pa.array(names, pa.binary()), column], ["a", "b", "hash", "nodes"]
-                )
+        mixed = node.view(np.uint64)
+        sums = [np.add.reduceat(_mix(mixed * _ODD[i] + _ODD[i + 1]), first) for i in (0, 2)]
+        several = np.flatnonzero(size > 1)
+        hashes = np.stack([*(x[several] for x in sums), size[several].astype(np.uint64)], axis=1)
+        _, chosen = np.unique(hashes, axis=0, return_index=True)
+        for at in range(0, len(chosen), 4096):
+            part = several[chosen[at : at + 4096]]
+            ends = np.concatenate(([0], np.cumsum(size[part])))
+            where = np.arange(ends[-1]) - np.repeat(ends[:-1], size[part]) + np.repeat(first[part], size[part])
+            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(node[where]))
+            names = [hashes[c].tobytes() for c in chosen[at : at + 4096]]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), column], ["hash", "nodes"])
         common.give_back()
 
     dealt = packs.repartitionById(common.shuffle_partitions(spark), F.col("part"))
-    return dealt.select("base", "signatures", "places").mapInArrow(run, "a bigint, b bigint, hash binary, nodes array<bigint>")
+    return dealt.select("base", "signatures", "places").mapInArrow(run, "hash binary, nodes array<bigint>")
+
+
+def _stars(groups: DataFrame) -> DataFrame:
+    """a, b: the centre of a group and another node. The centre is the node that meets others most often over all groups:
+    of the copies of one text, each with changes of its own, that is the text itself, with which all of them are linked."""
+    pairs = groups.where("size(nodes) = 2").selectExpr("nodes[0] AS a", "nodes[1] AS b")
+    large = groups.where("size(nodes) > 2").dropDuplicates(["hash"])
+    held = large.selectExpr("hash", "size(nodes) AS n", "explode(nodes) AS node")
+    meets = held.groupBy("node").agg(F.expr("sum(n) AS meets"))
+    centres = held.join(meets, "node").groupBy("hash").agg(F.expr("max(struct(meets, node)).node AS a"))
+    stars = held.join(centres, "hash").where("node <> a").selectExpr("a", "node AS b")
+    both = pairs.unionByName(stars)
+    return both.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
 
 def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -460,11 +465,11 @@ def clusters(documents: DataFrame) -> DataFrame:
     equal = sets.groupBy("digest").agg(F.min("node").alias("b"), F.expr("count(1) AS times")).where("times > 1")
     equal = sets.join(equal, "digest").where("node <> b").selectExpr("node AS a", "b")
 
-    pairs, pairs_path = common.stored(_likely(met.where("a IS NOT NULL").select("a", "b").distinct(), sets), "likely")
+    pairs, pairs_path = common.stored(_likely(_stars(met), sets), "likely")
     links, _ = common.stored(_verified(documents, prints, pairs).unionByName(equal), "links")
     roots = components(links)
     more, more_path = common.stored(
-        _apart(met.where("nodes IS NOT NULL").select("hash", "nodes"), roots, sets), "likely"
+        _apart(met.where("size(nodes) > 2"), roots, sets), "likely"
     )
     found = _verified(documents, prints, more)
     roots = components(links.unionByName(found))
@@ -477,5 +482,9 @@ def clusters(documents: DataFrame) -> DataFrame:
 def linked(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of each row."""
     named = clusters(documents)
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "root").selectExpr("doc_id", "n AS n_shingles", "component_id")
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.expr("count(1) AS n_rows"))
+    least, _ = common.stored(least, "least")
+    # Rows of large components are joined where they lie.
+    hot = heaviest(least, ["root"], LARGE, "n_rows")
+    joined = join_unique(named, least.drop("n_rows"), ["root"], "inner", hot)
+    return joined.selectExpr("doc_id", "n AS n_shingles", "component_id")

@@ -53,7 +53,7 @@ def found(spark, docs, parts=3):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in parity.linked(clashing).collect()}
 
 
-@pytest.mark.parametrize("limits", [{}, {"TILE": 5, "PACKED": 50, "SEEN": 4}, {"MEETINGS": 0, "WINDOW": 3, "BROADCAST_NODES": 0}])
+@pytest.mark.parametrize("limits", [{}, {"TILE": 5, "PACKED": 50, "SEEN": 4}, {"MEETINGS": 1e9, "WINDOW": 3, "BROADCAST_NODES": 0, "LARGE": 3}])
 def test_links_are_those_of_all_pairs(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(parity, name, value)
