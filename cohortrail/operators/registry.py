@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortrail.operators.skew import HOT_ROWS, hot_keys, join_unique
+from cohortrail.operators.stats import of_parts
 from cohortrail.schemas import LAUNCH, PAY, REG
 
 # Fixed value: an app at this step or beyond is fully onboarded and no longer changes.
@@ -20,6 +21,16 @@ def signals(facts: DataFrame) -> DataFrame:
     )
 
 
+def signals_of_parts(parts: DataFrame) -> DataFrame:
+    """The same from the statistics that `stats.parts` made of the facts."""
+    daily = parts.where("stat = 'daily'")
+    counts = dict(zip(SIGNALS, ("launch_count", "reg_count", "pay_count"), strict=True))
+    rows = of_parts(daily, "daily")
+    return rows.groupBy("app_id").agg(
+        *[F.expr(f"CAST(max(if({count} > 0, 1, 0)) AS int) AS {flag}") for flag, count in counts.items()]
+    )
+
+
 def _step_of(flags: dict[str, str]) -> str:
     all_set = " AND ".join(f"{f} > 0" for f in flags.values())
     return f"CASE WHEN {all_set} THEN {DONE} ELSE {DONE - 1} END"

@@ -119,10 +119,17 @@ def daily(facts: DataFrame) -> DataFrame:
     )
 
 
+# Age of the device's cohort on the day of a fact; the facts and payments that count.
+_AGE = S.day_number("active_date", "stat_date")
+_RETAINED = f"new_today = 1 AND is_new = 0 AND {_AGE} > 1"
+_NEW_PAYER = f"NOT {S.has_bit('pay_status', S.PAID_BEFORE)}"
+_FIRST_TODAY = f"NOT {S.has_bit('pay_status', S.PAID_TODAY)}"
+_ACTIVE_TODAY = S.has_bit("pay_status", S.ACTIVE_TODAY)
+
+
 def retained(facts: DataFrame) -> DataFrame:
     """First launches of a day by devices activated on an earlier day."""
-    age = S.day_number("active_date", "stat_date")
-    return facts.where(f"new_today = 1 AND is_new = 0 AND {age} > 1").selectExpr("*", f"{age} AS retention_days")
+    return facts.where(_RETAINED).selectExpr("*", f"{_AGE} AS retention_days")
 
 
 def retention(facts: DataFrame) -> DataFrame:
@@ -130,28 +137,95 @@ def retention(facts: DataFrame) -> DataFrame:
 
 
 def payments(facts: DataFrame) -> DataFrame:
-    return facts.where(f"kind = '{PAY}'").selectExpr(
-        "*", f"{S.day_number('active_date', 'stat_date')} AS pay_days", "stat_date AS pay_date"
-    )
+    return facts.where(f"kind = '{PAY}'").selectExpr("*", f"{_AGE} AS pay_days", "stat_date AS pay_date")
 
 
 def pay_cohort(facts: DataFrame) -> DataFrame:
     """Payments per app, plan, activation day and age of the cohort."""
-    new_payer = f"NOT {S.has_bit('pay_status', S.PAID_BEFORE)}"
-    first_today = f"NOT {S.has_bit('pay_status', S.PAID_TODAY)}"
-    active_today = S.has_bit("pay_status", S.ACTIVE_TODAY)
     return aggregate(
         payments(facts),
         PAY_COHORT,
         {
             "pay_count": "count(1)",
             "pay_amount": "sum(amount)",
-            "pay_new_devices": S.count_if(new_payer),
-            "pay_new_amount": S.sum_if(new_payer, "amount"),
-            "pay_total_devices": S.count_if(first_today),
-            "pay_active_count": S.count_if(active_today),
-            "pay_active_amount": S.sum_if(active_today, "amount"),
+            "pay_new_devices": S.count_if(_NEW_PAYER),
+            "pay_new_amount": S.sum_if(_NEW_PAYER, "amount"),
+            "pay_total_devices": S.count_if(_FIRST_TODAY),
+            "pay_active_count": S.count_if(_ACTIVE_TODAY),
+            "pay_active_amount": S.sum_if(_ACTIVE_TODAY, "amount"),
+        },
+    )
+
+
+# Places of each statistic's measures in a part, and the SQL of each over facts.
+_PARTS = {
+    "daily": (
+        DAILY,
+        "stat_date",
+        "CAST(NULL AS int)",
+        "true",
+        {
+            "launch_count": f"kind = '{LAUNCH}'",
+            "active_count": "is_new = 1",
+            "vibrant_count": "new_today = 1",
+            "reg_count": f"kind = '{REG}'",
+            "onlyreg_count": "new_reg = 1",
+            "pay_count": f"kind = '{PAY}'",
         },
+        {"pay_amount": f"kind = '{PAY}'"},
+    ),
+    "retention": (RETENTION, "active_date", _AGE, _RETAINED, {"retention_count": "true"}, {}),
+    "pay": (
+        PAY_COHORT,
+        "active_date",
+        _AGE,
+        f"kind = '{PAY}'",
+        {
+            "pay_count": "true",
+            "pay_new_devices": _NEW_PAYER,
+            "pay_total_devices": _FIRST_TODAY,
+            "pay_active_count": _ACTIVE_TODAY,
+        },
+        {"pay_amount": "true", "pay_new_amount": _NEW_PAYER, "pay_active_amount": _ACTIVE_TODAY},
+    ),
+}
+_COUNTS, _MONEY = (max(len(p[i]) for p in _PARTS.values()) for i in (4, 5))
+
+
+def parts(facts: DataFrame) -> DataFrame:
+    """Daily, retention and payment statistics of facts in one pass: each fact becomes a row for each statistic that
+    counts it, and one aggregation adds all of them up. One scan, one exchange, and numbers only, so that hash
+    aggregation combines on the map side.
+
+    There may be several rows per key, one for each description; `of_parts` gives them as deltas of a statistic.
+    """
+    rows = []
+    for name, (_, day, age, where, counts, money) in _PARTS.items():
+        fields = [f"'{name}' AS stat", f"{day} AS day", f"{age} AS age"]
+        each = list(counts.values()) + ["false"] * (_COUNTS - len(counts))
+        fields += [f"if({c}, 1L, 0L) AS c{i}" for i, c in enumerate(each)]
+        each = list(money.values()) + ["false"] * (_MONEY - len(money))
+        fields += [f"CAST(if({c}, amount, 0) AS {S.MONEY_TYPE}) AS m{i}" for i, c in enumerate(each)]
+        rows.append(f"if({where}, struct({', '.join(fields)}), NULL)")
+    tagged = facts.selectExpr(
+        "app_id", "plan_id", "channel_id", "ts", f"{_ORDER} AS place", f"inline(array_compact(array({', '.join(rows)})))"
+    )
+    sums = [F.expr(f"sum({c}) AS {c}") for c in [*(f"c{i}" for i in range(_COUNTS)), *(f"m{i}" for i in range(_MONEY))]]
+    grouped = tagged.groupBy("stat", "app_id", "plan_id", "day", "age", "channel_id")
+    return grouped.agg(*sums, F.expr("min(place) AS first_order"), F.expr("min(ts) AS first_ts"))
+
+
+def of_parts(found: DataFrame, name: str) -> DataFrame:
+    """Deltas of one of the statistics of `parts`: daily, retention or pay."""
+    table, _, _, _, counts, money = _PARTS[name]
+    columns = {"stat_date": "day", "active_date": "day", "retention_days": "age", "pay_days": "age"}
+    columns |= {"pay_date": "date_add(day, age - 1)"}
+    columns |= {c: f"c{i}" for i, c in enumerate(counts)} | {c: f"CAST(m{i} AS {S.MONEY_TYPE})" for i, c in enumerate(money)}
+    wanted = [*table.keys, *table.counts, *table.money, *table.described]
+    return found.where(f"stat = '{name}'").selectExpr(
+        *[f"{columns.get(c, c)} AS {c}" for c in wanted],
+        f"first_ts AS {FIRST[0]}",
+        f"{S.order_id('first_order', 'first_ts')} AS {FIRST[1]}",
     )
 
 

@@ -4,8 +4,9 @@
 was activated and by which click, then derives for every event whether it opens something (device, day, registration,
 payer). Events are ordered by `(ts, event_id)`; a registration or payment counts from the activation time on.
 
-One shuffle of the events serves all windows. A device with very many events is cut into minutes: windows run per
-`(device, slice)` and what earlier minutes contribute comes from a table with one row per minute.
+One shuffle of the events serves all windows. Devices with very many events are cut into even ranges of their time line,
+whatever the times are: windows run per `(device, slice)`, and what earlier slices contribute comes from one summary a
+slice, added up along the line.
 """
 
 from __future__ import annotations
@@ -25,8 +26,7 @@ from cohortrail.schemas import DEVICE_KEYS, DEVICE_STATE, LAUNCH, ORGANIC, PAY,
 SLICE = "slice"
 # Devices per shuffle partition up to which their side of a join is hashed in memory; beyond, both sides are sorted.
 HASHED_ROWS = 2_000_000
-_WHOLE = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
-_MINUTE = "CAST(date_trunc('minute', ts) AS timestamp_ntz)"
+_WHOLE = "-1"  # the slice of devices that are not cut
 
 _LAUNCH, _REG, _PAY = (f"kind = '{k}'" for k in (LAUNCH, REG, PAY))
 # A launch that does not lie before the last one already in state.
@@ -123,42 +123,52 @@ def resolve_devices(
     )
 
 
-def cut_hot(events: DataFrame, hot: HotKeys | None, keys: Sequence[str]) -> DataFrame:
-    """Add the slice: the minute for hot keys, one constant for all others."""
+class Line(NamedTuple):
+    """Events with their slice; those of hot keys apart, as a written table that is cut by range."""
+
+    events: DataFrame
+    cut: DataFrame | None
+
+
+def cut_hot(
+    events: DataFrame, hot: HotKeys | None, keys: Sequence[str], name: str = "line", scratch: str | None = None
+) -> Line:
+    """Lay the events of hot keys on one line in the order of key, time and id, and cut it into even ranges.
+
+    The number of a range is the slice of its events. All others have one slice. A range may hold several keys and a key
+    any number of ranges, so a key's events spread evenly, also those of one minute or of the same time.
+    """
     if hot is None:
-        return events.selectExpr("*", f"{_WHOLE} AS {SLICE}")
-    flagged = hot.rows.selectExpr(*keys, "true AS is_hot")
-    return (
-        events.join(hot.spread(flagged), list(keys), "left")
-        .selectExpr("*", f"CASE WHEN is_hot THEN {_MINUTE} ELSE {_WHOLE} END AS {SLICE}")
-        .drop("is_hot")
-    )
+        return Line(events.selectExpr("*", f"{_WHOLE} AS {SLICE}"), None)
+    few = hot.spread(hot.rows)
+    apart = events.join(few, list(keys), "left_semi")
+    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Events of the same time and id are told apart by a hash, so that even they can be cut.
+    ties = f"xxhash64({', '.join(events.columns)})"
+    ranged = apart.withColumn("tie", F.expr(ties)).repartitionByRange(n, *keys, "ts", "event_id", "tie").drop("tie")
+    cut = materialize(ranged.withColumn(SLICE, F.expr("spark_partition_id()")), name, scratch)
+    rest = events.join(few, list(keys), "left_anti").selectExpr("*", f"{_WHOLE} AS {SLICE}")
+    return Line(rest.unionByName(cut), cut)
 
 
 def carry(
-    events: DataFrame,
-    devices: DataFrame,
-    hot: HotKeys | None,
-    keys: Sequence[str],
-    measures: dict[str, str],
-    needs: Sequence[str],
+    line: Line, devices: DataFrame, keys: Sequence[str], measures: dict[str, str], needs: Sequence[str]
 ) -> DataFrame:
     """Devices, spread over the slices of their events, with `carry_*`: each measure's maximum over earlier slices.
 
-    A device that is not hot has one slice and nothing before it. `needs` are the device columns the measures use.
+    A parallel prefix scan: one summary of each slice and key, and a running maximum over these few. A device that is not
+    hot has one slice and nothing before it. `needs` are the device columns the measures use.
     """
-    if hot is None:
+    if line.cut is None:
         nothing = [f"CAST(NULL AS timestamp_ntz) AS carry_{m}" for m in measures]
         return devices.selectExpr("*", f"{_WHOLE} AS {SLICE}", *nothing)
-    few = devices.join(hot.spread(hot.rows), list(keys), "left_semi").select(*keys, *needs)
-    minutes = (
-        events.selectExpr("*", f"{_MINUTE} AS {SLICE}")
-        .join(hot.spread(few), list(keys))
+    summaries = (
+        line.cut.join(devices.select(*keys, *needs), list(keys))
         .groupBy(*keys, SLICE)
         .agg(*[F.expr(f"max({c}) AS {m}") for m, c in measures.items()])
     )
     earlier = f"PARTITION BY {', '.join(keys)} ORDER BY {SLICE} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    carried = minutes.selectExpr(*keys, SLICE, *[f"max({m}) OVER ({earlier}) AS carry_{m}" for m in measures])
+    carried = summaries.selectExpr(*keys, SLICE, *[f"max({m}) OVER ({earlier}) AS carry_{m}" for m in measures])
     return devices.join(carried, list(keys), "left").withColumn(SLICE, F.expr(f"coalesce({SLICE}, {_WHOLE})"))
 
 
@@ -202,9 +212,10 @@ def step(
     devices = resolve_devices(firsts, clicks, state, hot_rows, scratch, **match)
     if scratch is not None:
         devices = materialize(devices, "devices", scratch)
-    spread = carry(events, devices, hot, DEVICE_KEYS, APP_MEASURES, ["active_time", "s_last_launch_time"])
+    line = cut_hot(events, hot, DEVICE_KEYS, "line", scratch)
+    spread = carry(line, devices, DEVICE_KEYS, APP_MEASURES, ["active_time", "s_last_launch_time"])
     joined = (
-        cut_hot(events, hot, DEVICE_KEYS)
+        line.events
         .join(_hashed(spread.drop("n"), firsts.count()), [*DEVICE_KEYS, SLICE])
         .selectExpr("*", f"({_LAUNCH} OR {_SINCE_ACTIVE}) AS valid")
     )
@@ -324,8 +335,9 @@ def web_step(
     )
     if scratch is not None:
         devices = materialize(devices, "web-devices", scratch)
-    spread = carry(events, devices, hot, WEB_KEYS, WEB_MEASURES, ["s_last_launch_time"])
-    joined = cut_hot(events, hot, WEB_KEYS).join(_hashed(spread, firsts.count()), [*WEB_KEYS, SLICE])
+    line = cut_hot(events, hot, WEB_KEYS, "web-line", scratch)
+    spread = carry(line, devices, WEB_KEYS, WEB_MEASURES, ["s_last_launch_time"])
+    joined = line.events.join(_hashed(spread, firsts.count()), [*WEB_KEYS, SLICE])
     facts = joined.selectExpr(
         "*",
         f"coalesce({_latest_before(WEB_KEYS, WEB_MEASURES['launch'])}, carry_launch, s_last_launch_time)"

@@ -387,6 +387,11 @@ def statements() -> dict[str, str]:
     out["retention_any_order"] = out["retention_cohort"]
     out["pay_cohort_any_order"] = out["pay_cohort"]
     out["late_launch_facts"] = out["launch_facts"]
+    out["statistics_at_once"] = " UNION ALL BY NAME ".join(
+        f"SELECT '{name}' AS stat, * FROM ({out[key]})"
+        for name, key in (("daily", "daily_base_full"), ("retention", "retention_cohort"), ("pay", "pay_cohort"))
+    )
+    out["app_signals_at_once"] = out["app_registry_merge"]
     out["daily_base_rollup"] = out["daily_base_full"]
     out["pay_cohort_rollup"] = out["pay_cohort"]
     out["state_from_logs"] = out["device_state_snapshot"]

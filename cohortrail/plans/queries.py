@@ -86,6 +86,24 @@ def pay_cohort_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(rollup.pay_cohort(_days(spark, sf_dir)).drop(*FIRST))
 
 
+def statistics_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily, retention and payment statistics from one pass over the facts."""
+    parts = materialize(stats.parts(_step(spark, sf_dir).facts), "parts")
+    out = None
+    for name, table in (("daily", stats.DAILY), ("retention", stats.RETENTION), ("pay", stats.PAY_COHORT)):
+        merged = stats.merge_deltas(stats.of_parts(parts, name), table).drop(*FIRST)
+        merged = merged.withColumn("stat", F.lit(name))
+        out = merged if out is None else out.unionByName(merged, allowMissingColumns=True)
+    return present(out)
+
+
+def app_signals_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Onboarding from the same pass."""
+    parts = materialize(stats.parts(_step(spark, sf_dir).facts), "parts")
+    merged = registry.merge(given.app_registry(spark, sf_dir), registry.signals_of_parts(parts))
+    return present(merged, "app_id", "app_step", f"{registry.EVENT_TEXT} AS app_event")
+
+
 def pay_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(stats.pay_cohort(_step(spark, sf_dir).facts).drop(*FIRST))
 
@@ -417,6 +435,8 @@ def registered() -> dict[str, Query]:
         "reg_daily": _daily_of(REG, REG_COUNTS),
         "pay_daily_base": _daily_of(PAY, PAY_COUNTS),
         "pay_cohort": pay_cohort,
+        "statistics_at_once": statistics_at_once,
+        "app_signals_at_once": app_signals_at_once,
         "daily_base_rollup": daily_base_rollup,
         "pay_cohort_rollup": pay_cohort_rollup,
         "attribution_android": _attribution("os = 1"),

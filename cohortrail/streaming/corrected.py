@@ -66,16 +66,16 @@ class CorrectedStream(Stream):
         self.by_key = BucketedTable(spark, f"{self.root}/by_key", KEYED, by_key, attribution.KEY, buckets, compact_every)
         self.signals = self._table("signals", SIGNALS, fold_signals)
         cohort_day = "date_add(active_date, {} - 1)"
-        self.daily = self._days("stat_daily", stats.DAILY, "stat_date", lambda facts: facts, stats.daily)
+        self.daily = self._days("stat_daily", stats.DAILY, "stat_date", lambda facts: facts, "daily")
         self.retention = self._days(
-            "stat_retention", stats.RETENTION, cohort_day.format("retention_days"), stats.retained, stats.retention
+            "stat_retention", stats.RETENTION, cohort_day.format("retention_days"), stats.retained, "retention"
         )
         self.pay_cohort = self._days(
-            "stat_pay", stats.PAY_COHORT, cohort_day.format("pay_days"), stats.payments, stats.pay_cohort
+            "stat_pay", stats.PAY_COHORT, cohort_day.format("pay_days"), stats.payments, "pay"
         )
 
-    def _days(self, name: str, table: stats.StatTable, day: str, rows, count) -> DayTable:
-        return DayTable(self.spark, f"{self.root}/{name}", stat_schema(table), table, day, rows, count)
+    def _days(self, folder: str, table: stats.StatTable, day: str, rows, name: str) -> DayTable:
+        return DayTable(self.spark, f"{self.root}/{folder}", stat_schema(table), table, day, rows, name)
 
     def parse(self, raw: DataFrame) -> DataFrame:
         return payload.app_events(raw, self.hash_ids)
@@ -150,10 +150,12 @@ class CorrectedStream(Stream):
         self.rejects.write(payload.rejected(tagged).unionByName(texts), batch_id)
 
         counted = earlier.where("fact = 1").select(*APP_FACT.fieldNames())
-        old = None if counted.isEmpty() else counted
+        parts = materialize(stats.parts(facts), "parts", scratch)
+        old_parts = None if counted.isEmpty() else materialize(stats.parts(counted), "old-parts", scratch)
+        both = facts, counted, lambda days: self.facts_of(batch_id + 1, days)
         for table in (self.daily, self.retention, self.pay_cohort):
-            table.update(batch_id, facts, old, lambda days: self.facts_of(batch_id + 1, days), scratch)
-        self.signals.write(onboarding.signals(facts), batch_id)
+            table.update(batch_id, parts, old_parts, both, scratch)
+        self.signals.write(onboarding.signals_of_parts(parts), batch_id)
 
         launches = facts.where(f"kind = '{LAUNCH}' AND is_new = 1")
         self.by_key.write(attribution.unpivot_keys(launches, self.clicks.levels, [*DEVICE_KEYS, "active_time"]), batch_id)

@@ -19,8 +19,8 @@ _EPOCH = date(1970, 1, 1)
 
 
 class DayTable(BucketedTable):
-    """`day` is the day of the events that a row counts, as SQL over the key; `rows` turns facts into the rows a
-    statistic counts.
+    """`day` is the day of the events that a row counts, as SQL over the key; `rows` turns facts into the rows that the
+    statistic counts; `name` is its name in `stats.parts`.
 
     Facts can be taken back: their statistics are subtracted, and a row that counts nothing any more goes. The
     description of a row is that of its first event. Where that event was taken back, the facts of that day tell the next.
@@ -34,12 +34,12 @@ class DayTable(BucketedTable):
         table: StatTable,
         day: str,
         rows: Callable[[DataFrame], DataFrame],
-        count: Callable[[DataFrame], DataFrame],
+        name: str,
     ):
         super().__init__(
             spark, root, schema, lambda found: found, table.keys, compact_every=1, bucket=f"unix_date({day})"
         )
-        self.stat, self.day, self.counted, self.count = table, day, rows, count
+        self.stat, self.day, self.counted, self.name = table, day, rows, name
 
     def read(self, before: int, only: DataFrame | None = None, keys: list[str] | None = None) -> DataFrame:
         if only is not None:
@@ -57,23 +57,26 @@ class DayTable(BucketedTable):
     def update(
         self,
         batch_id: int,
-        new: DataFrame,
-        old: DataFrame | None = None,
-        facts_of: Callable[[DataFrame], DataFrame] | None = None,
+        parts: DataFrame,
+        old_parts: DataFrame | None = None,
+        facts: tuple[DataFrame, DataFrame, Callable[[DataFrame], DataFrame]] | None = None,
         scratch: str | None = None,
     ) -> None:
-        """Count the facts `new`, and take back `old`, which were counted before. `facts_of` gives all facts as of this
-        batch on the days of a table with the column `stat_date`."""
-        deltas = self.count(new)
-        if old is not None:
-            deltas = deltas.unionByName(stats.taken_back(self.count(old), self.stat))
+        """Count what `parts` holds of the new facts, and take back `old_parts`, of facts that were counted before.
+
+        With old ones, `facts` gives the new facts, the old facts, and a function for all facts as of this batch on the
+        days of a table with the column `stat_date`.
+        """
+        deltas = stats.of_parts(parts, self.name)
+        if old_parts is not None:
+            deltas = deltas.unionByName(stats.taken_back(stats.of_parts(old_parts, self.name), self.stat))
         name = self.root.rsplit("/", 1)[-1]
         deltas = materialize(self._typed(deltas), f"{name}-deltas", scratch)
         days = self.touched(deltas)
         folded = stats.merge_deltas(deltas.unionByName(self._of(batch_id, days)), self.stat)
         folded = folded.where(" + ".join(self.stat.counts) + " > 0")
-        if old is not None:
-            folded = self._mended(folded, new, old, facts_of, scratch)
+        if old_parts is not None:
+            folded = self._mended(folded, *facts, scratch)
         self._write_base(self._typed(folded), batch_id + 1)
         filled = self._filled(batch_id + 1)
         kept = self.places(batch_id).where(~F.col("bucket").isin(days))

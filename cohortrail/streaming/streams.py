@@ -205,10 +205,10 @@ class AppStream(Stream):
             # The statistics come from the written facts; state and clicks went into the written devices.
             self.facts.write(step.facts, batch_id)
             facts = self.facts.read_batch(batch_id)
-            self.daily.write(stats.daily(facts), batch_id)
-            self.retention.write(stats.retention(facts), batch_id)
-            self.pay_cohort.write(stats.pay_cohort(facts), batch_id)
-            self.signals.write(onboarding.signals(facts), batch_id)
+            parts = materialize(stats.parts(facts), "parts", scratch)
+            for table, name in ((self.daily, "daily"), (self.retention, "retention"), (self.pay_cohort, "pay")):
+                table.write(stats.of_parts(parts, name), batch_id)
+            self.signals.write(onboarding.signals_of_parts(parts), batch_id)
             known = earlier.select(*_EVENT_KEYS)
             unmatched = materialize(step.rejects.join(known, _EVENT_KEYS, "left_anti"), "unmatched", scratch)
             recovered = facts.join(known, _EVENT_KEYS, "left_semi")
