@@ -409,6 +409,7 @@ def statements() -> dict[str, str]:
         f"SELECT * FROM ({out['daily_base_full']}) WHERE stat_date >="
         f" (SELECT strftime(CAST({half} AS DATE), '%Y-%m-%d') FROM events)"
     )
+    out["stream_log_fallback"] = out["stream_from_history"]
     out["device_identity_clear"] = (
         f"{_with(RAW)} SELECT event_id, kind, app_id, {big('os', 'os')}, usr AS device_id FROM msg WHERE reason IS NULL"
     )

@@ -389,15 +389,28 @@ def _app_logs(events: DataFrame, clicks: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily statistics of the later half of the days, streamed on state rebuilt from the logs of the earlier half."""
+def _two_halves(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The logs of the earlier half of the days, and the messages of the later half."""
     events, clicks = given.app_events(spark, sf_dir), given.clicks(spark, sf_dir)
     half = "timestampadd(MICROSECOND, timestampdiff(MICROSECOND, min(ts), max(ts)) DIV 2, min(ts))"
     cut = given.table(spark, sf_dir, "events").selectExpr(f"CAST(to_date({half}) AS string)").first()[0]
     logs = _app_logs(events.where(f"ts < TIMESTAMP_NTZ '{cut} 00:00:00'"), clicks)
+    return logs, given.raw_payloads(spark, sf_dir).where(f"ts >= TIMESTAMP_NTZ '{cut} 00:00:00'")
+
+
+def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily statistics of the later half of the days, streamed on state rebuilt from the logs of the earlier half."""
+    logs, later = _two_halves(spark, sf_dir)
     initial = stored.split_incomplete(stored.state_from_logs(*logs.values()))[0]
-    later = given.raw_payloads(spark, sf_dir).where(f"ts >= TIMESTAMP_NTZ '{cut} 00:00:00'")
-    stream = replay(later, 2, lambda root: AppStream(spark, root, lambda: clicks, initial=initial))
+    stream = replay(later, 2, lambda root: AppStream(spark, root, lambda: given.clicks(spark, sf_dir), initial=initial))
+    return present(stream.current(stream.daily).drop(*FIRST))
+
+
+def stream_log_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without a seed: devices that state lacks are looked up in the logs, batch by batch."""
+    logs, later = _two_halves(spark, sf_dir)
+    history = lambda devices: stored.state_of(devices, *logs.values())
+    stream = replay(later, 2, lambda root: AppStream(spark, root, lambda: given.clicks(spark, sf_dir), history=history))
     return present(stream.current(stream.daily).drop(*FIRST))
 
 
@@ -458,6 +471,7 @@ def registered() -> dict[str, Query]:
         "stream_rejects": stream_rejects,
         "stream_redelivered": stream_redelivered,
         "stream_from_history": stream_from_history,
+        "stream_log_fallback": stream_log_fallback,
         "log_rejects": log_rejects,
         "rejects_recovered": rejects_recovered,
         "web_retention_stream": web_retention_stream,

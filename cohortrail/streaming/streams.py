@@ -166,14 +166,19 @@ class AppStream(Stream):
         hot_rows: int = HOT_ROWS,
         initial: DataFrame | None = None,
         buckets: int = BUCKETS,
+        history: Callable[[DataFrame], DataFrame] | None = None,
         **match,
     ):
         """`initial` is the device state to start from (`stored.state_from_logs`), written before the first batch.
 
+        `history` stands in for it where the logs are many: a function that gives the state of some devices
+        (`stored.state_of`). A batch asks it for the devices that the stream's own state lacks.
+
         `buckets` belongs to the stored layout of the device state: choose it for some ten thousand devices each.
         """
         super().__init__(spark, root, compact_every, hot_rows)
         self.clicks, self.registry, self.hash_ids, self.match = clicks, registry, hash_ids, match
+        self.history = history
         self.facts = self._table("facts", APP_FACT, partition_by=("stat_date", "os"))
         self.state = self._keyed("state", DEVICE_STATE, DEVICE_KEYS, buckets)
         self.waiting = self._keyed("waiting", WAITING, DEVICE_KEYS, buckets, _EVENT_KEYS)
@@ -187,6 +192,15 @@ class AppStream(Stream):
     def parse(self, raw: DataFrame) -> DataFrame:
         return payload.app_events(raw, self.hash_ids)
 
+    def _state_of(self, devices: DataFrame, batch_id: int) -> DataFrame:
+        own = self.state.read(batch_id, devices, DEVICE_KEYS)
+        if self.history is None:
+            return own
+        scratch = self._scratch(batch_id)
+        own = materialize(own, "own-state", scratch)
+        missing = materialize(devices.join(own.select(*DEVICE_KEYS), DEVICE_KEYS, "left_anti"), "missing", scratch)
+        return own.unionByName(self.history(missing).select(*DEVICE_STATE.fieldNames()))
+
     def apply(self, tagged: DataFrame, batch_id: int) -> None:
         parsed = tagged = tagged.persist()
         try:
@@ -199,7 +213,7 @@ class AppStream(Stream):
             earlier = materialize(earlier, "earlier", scratch)
             step = timeline.step(
                 fresh.unionByName(earlier), self.clicks(),
-                lambda devices: self.state.read(batch_id, devices, DEVICE_KEYS), self.hot_rows,
+                lambda devices: self._state_of(devices, batch_id), self.hot_rows,
                 scratch, **self.match,
             )
             # The statistics come from the written facts; state and clicks went into the written devices.
