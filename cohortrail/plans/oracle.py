@@ -387,6 +387,25 @@ def statements() -> dict[str, str]:
     out["retention_any_order"] = out["retention_cohort"]
     out["pay_cohort_any_order"] = out["pay_cohort"]
     out["late_launch_facts"] = out["launch_facts"]
+    devices = big("count(DISTINCT device_id)", "device_count")
+    out["distinct_devices"] = " UNION ALL ".join(
+        f"SELECT * FROM ({_FACTS} SELECT app_id, plan_id, {day('d')} AS stat_date, {devices}, '{name}' AS kind FROM facts"
+        f" WHERE kind = '{kind}' GROUP BY app_id, plan_id, d)"
+        for name, kind in (("active", "launch"), ("paying", "pay"))
+    )
+    out["distinct_retention"] = (
+        f"{_FACTS} SELECT app_id, plan_id, {day('active_date')} AS active_date, {big('age', 'retention_days')},"
+        f" {big('count(DISTINCT device_id)', 'retention_count')} FROM facts"
+        " WHERE kind = 'launch' AND age > 1 GROUP BY app_id, plan_id, active_date, age"
+    )
+    out["distinct_over_days"] = (
+        f"{_FACTS}, days AS (SELECT DISTINCT app_id, plan_id, d, device_id FROM facts WHERE kind = 'launch')"
+        f" SELECT e.app_id, e.plan_id, {big('n', 'days')}, {day('e.d')} AS stat_date,"
+        f" {big('count(DISTINCT x.device_id)', 'device_count')}"
+        " FROM (SELECT DISTINCT app_id, plan_id, d FROM days) e, (VALUES (1), (7), (30)) t(n), days x"
+        " WHERE x.app_id = e.app_id AND x.plan_id = e.plan_id AND x.d <= e.d AND x.d > e.d - n"
+        " GROUP BY e.app_id, e.plan_id, n, e.d"
+    )
     out["statistics_at_once"] = " UNION ALL BY NAME ".join(
         f"SELECT '{name}' AS stat, * FROM ({out[key]})"
         for name, key in (("daily", "daily_base_full"), ("retention", "retention_cohort"), ("pay", "pay_cohort"))

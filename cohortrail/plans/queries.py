@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortrail.operators import attribution, registry, rollup, stats, timeline
+from cohortrail.operators import attribution, distinct, registry, rollup, stats, timeline
 from cohortrail.operators.skew import materialize
 from cohortrail.plans import tables
 from cohortrail.plans.replay import replay
@@ -104,6 +104,37 @@ def app_signals_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(merged, "app_id", "app_step", f"{registry.EVENT_TEXT} AS app_event")
 
 
+def _device_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The facts and the numbers of their devices, both written; devices are numbered in two steps."""
+    facts = materialize(_step(spark, sf_dir).facts, "facts")
+    first = materialize(distinct.numbered(facts.where("os = 1")), "numbers")
+    return facts, materialize(first.unionByName(distinct.numbered(facts, first)), "numbers")
+
+
+def distinct_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active and paying devices per app, plan and day, by bitmaps; the sets of one batch are merged twice."""
+    facts, numbers = _device_sets(spark, sf_dir)
+    out = None
+    for kind, made in (("active", distinct.active), ("paying", distinct.paying)):
+        halves = [made(facts.where(f"pmod(event_id, 2) = {i}"), numbers) for i in (0, 1, 1)]
+        merged = distinct.union(halves[0].unionByName(halves[1]).unionByName(halves[2]), distinct.ACTIVE_KEYS)
+        rows = distinct.counted(merged, distinct.ACTIVE_KEYS).withColumn("kind", F.lit(kind))
+        out = rows if out is None else out.unionByName(rows)
+    return present(out)
+
+
+def distinct_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices of a cohort that came back, by bitmaps."""
+    facts, numbers = _device_sets(spark, sf_dir)
+    return present(distinct.counted(distinct.returning(facts, numbers), distinct.RETENTION_KEYS, "retention_count"))
+
+
+def distinct_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices active within the last 1, 7 and 30 days."""
+    facts, numbers = _device_sets(spark, sf_dir)
+    return present(distinct.over_days(distinct.active(facts, numbers), (1, 7, 30)))
+
+
 def pay_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(stats.pay_cohort(_step(spark, sf_dir).facts).drop(*FIRST))
 
@@ -449,6 +480,9 @@ def registered() -> dict[str, Query]:
         "pay_daily_base": _daily_of(PAY, PAY_COUNTS),
         "pay_cohort": pay_cohort,
         "statistics_at_once": statistics_at_once,
+        "distinct_devices": distinct_devices,
+        "distinct_retention": distinct_retention,
+        "distinct_over_days": distinct_over_days,
         "app_signals_at_once": app_signals_at_once,
         "daily_base_rollup": daily_base_rollup,
         "pay_cohort_rollup": pay_cohort_rollup,
