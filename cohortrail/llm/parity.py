@@ -48,12 +48,13 @@ PERCENT = 85
 CHOICES = ((2, 1), (4, 1), (5, 2), (7, 3), (10, 5), (12, 6))
 MEETINGS = 0.25  # chance meetings of a set that are put up with
 BANDS = 8  # over which sets are thought to spread when meetings are estimated
-LEAST_SKETCH, LARGEST_SKETCH = 64, 1 << 15
+LEAST_SKETCH, LARGEST_SKETCH = 64, 1 << 16
 SEEN = 500_000  # distinct sets that a task remembers
 WORDS = 500_000  # hashes of words that a task remembers
 WINDOW = 1 << 16  # sets whose signatures are packed together, as a place in the pack has two bytes
 PACKED = 2_000_000  # signatures held before they are packed
 TILE = 1024
+TOLD = 500_000  # pairs that a task remembers
 STEP_BYTES = 16 << 20
 LARGE = 1_000  # rows of a large component
 BROADCAST_NODES = 500_000  # rows of 24 bytes
@@ -157,9 +158,9 @@ def signatures(elements: np.ndarray, band: int, top: int, words: int, errors: in
 
 
 def sketch(elements: np.ndarray) -> bytes:
-    """The set's own sketch: at least a bit for each element, by powers of two, so that two can be folded to one size."""
+    """The set's own sketch: at least two bits for each element, by powers of two, so that two can be folded to one size."""
     bits = LEAST_SKETCH
-    while bits < len(elements) and bits < LARGEST_SKETCH:
+    while bits < 2 * len(elements) and bits < LARGEST_SKETCH:
         bits *= 2
     slots, times = np.unique((elements >> np.uint64(13)) & np.uint64(bits - 1), return_counts=True)
     out = np.zeros(bits, bool)
@@ -439,15 +440,25 @@ def _apart(groups: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
+        told: set[tuple[int, int]] = set()  # pairs meet in several groups
+
+        def new(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            for found in compare(rows):
+                if len(told) >= TOLD:
+                    told.clear()
+                pairs = set(zip(found.column("a").to_pylist(), found.column("b").to_pylist(), strict=True)) - told
+                told.update(pairs)
+                yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in pairs], schema=found.schema)
+
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[:3] != key:
                     if rows:
-                        yield from compare(rows)
+                        yield from new(rows)
                     key, rows = row[:3], []
                 rows.append(row[3:])
         if rows:
-            yield from compare(rows)
+            yield from new(rows)
 
     dealt = tiles.repartition(common.shuffle_partitions(spark), "hash", "i", "j").sortWithinPartitions("hash", "i", "j")
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
