@@ -99,18 +99,17 @@ QUERIES = (
 
 TOP_K_SQL = """
 WITH v AS (
-    SELECT vec_id, min([CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]) AS v
+    SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-    GROUP BY vec_id
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id,
+    SELECT q.r, q.vec_id AS query_id, c.vec_id,
            CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    FROM v q JOIN v c ON q.r <> c.r
     WHERE q.vec_id % 20 = 0
 ), ranked AS (
-    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+    SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """

@@ -168,13 +168,14 @@ def test_top_k_with_odd_vectors(spark):
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").unionByName(
         spark.createDataFrame(rows[:3], "vec_id bigint, embedding array<double>")
     )
-    ints = {i: np.floor(64 * np.array(v)).astype(int) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()}
+    usable = [(i, v) for i, v in rows + rows[:3] if i is not None and v and None not in v and np.isfinite(v).all()]
+    ints = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in usable]
     want = []
-    for q, v in ints.items():
-        if q % 20 == 0:
-            score = {i: int(sum(a * b for a, b in zip(v, w, strict=False))) for i, w in ints.items() if i != q}
-            best = sorted(score, key=lambda i: (-score[i], i))[:20]
-            want += [(q, n, i, score[i]) for n, i in enumerate(best, 1)]
+    for q, (own, v) in enumerate(ints):
+        if own % 20 == 0:
+            # Every row but the query's own, also one of the same id.
+            score = [(-int(sum(a * b for a, b in zip(v, w, strict=False))), i) for c, (i, w) in enumerate(ints) if c != q]
+            want += [(own, n, i, -x) for n, (x, i) in enumerate(sorted(score)[:20], 1)]
     assert sorted(map(tuple, topk.neighbours(frame).collect())) == sorted(want)
     assert topk.neighbours(frame.limit(0)).count() == 0
 
@@ -184,3 +185,31 @@ def test_bounds_lie_above_the_scores():
     a, b = rng.normal(size=(20, 64)), rng.normal(size=(30, 64))
     for n in topk.LEVELS:
         assert (topk.statistics(a, n) @ topk.statistics(b, n).T >= a @ b.T - 1e-9).all()
+
+
+def test_bounds_rule_out_most_pairs_where_segments_tell_vectors_apart():
+    """Vectors that change slowly from one component to the next."""
+    rng = np.random.default_rng(4)
+    v = np.floor(64 * np.cumsum(rng.normal(size=(3000, 64)), axis=1)).astype(np.int64)
+    nrs = np.arange(len(v))
+    best = topk.Best(nrs[:100], nrs[:100], v[:100], 20)
+    for at in range(0, len(v), topk.TILE):
+        best.add(nrs[at : at + topk.TILE], nrs[at : at + topk.TILE], v[at : at + topk.TILE])
+    assert best.left < 0.3 * best.met
+    scores = v[:100] @ v.T
+    scores[nrs[:100], nrs[:100]] = np.iinfo(np.int64).min
+    want = [sorted((-x, j) for j, x in enumerate(row.tolist()))[:20] for row in scores]
+    found = list(zip(best.rows.tolist(), (-best.scores).tolist(), best.found.tolist(), strict=True))
+    assert found == [(i, x, j) for i, row in enumerate(want) for x, j in row]
+
+
+def test_scores_beyond_a_double_are_exact():
+    rng = np.random.default_rng(5)
+    v = rng.integers(-(2**28), 2**28, (400, 8))
+    nrs = np.arange(len(v))
+    best = topk.Best(nrs[:5], nrs[:5], v[:5], 7)
+    best.add(nrs, nrs, v)
+    for q in range(5):
+        want = sorted((-int(x), j) for j, x in enumerate((v[q] * v).sum(axis=1)) if j != q)[:7]
+        mine = best.rows == q
+        assert list(zip((-best.scores[mine]).tolist(), best.found[mine].tolist(), strict=True)) == want
