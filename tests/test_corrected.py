@@ -124,8 +124,13 @@ def test_a_description_whose_first_event_leaves_is_that_of_the_next(spark, tmp_p
     batch = [message("launch", "a", 5, 1, imei="i"), message("launch", "b", 5, 2, imei="j")]
     stream.process(spark.createDataFrame(batch, files.RAW_SCHEMA), 0)
     assert counts(stream, stream.daily, "plan_id", "channel_id", "launch_count") == [("3", "chi", 2)]
-    index.add(click(spark, 9, 1, "i", "8"), 2)
+    # A change of channel within the plan: to one that sorts behind the first.
+    same = click(spark, 5, 3, "i", "3")
+    index.add(same.selectExpr(*["'zz' AS channel_id" if c == "channel_id" else c for c in same.columns]), 2)
     stream.process(spark.createDataFrame([], files.RAW_SCHEMA), 1)
+    assert counts(stream, stream.daily, "plan_id", "channel_id", "launch_count") == [("3", "zz", 2)]
+    index.add(click(spark, 9, 1, "i", "8"), 3)
+    stream.process(spark.createDataFrame([], files.RAW_SCHEMA), 2)
     assert counts(stream, stream.daily, "plan_id", "channel_id", "launch_count") == [("3", "chj", 1), ("8", "c8", 1)]
 
 
