@@ -116,7 +116,7 @@ def test_queries_match_their_sql(spark, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 14))
 
 
 def test_pipeline_stages_take_odd_rows(docs, spark):
