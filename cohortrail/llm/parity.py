@@ -49,10 +49,10 @@ CHOICES = ((2, 1), (4, 1), (5, 2), (7, 3), (10, 5), (12, 6))
 MEETINGS = 0.25  # chance meetings of a set that are put up with
 BANDS = 8  # over which sets are thought to spread when meetings are estimated
 LEAST_SKETCH, LARGEST_SKETCH = 64, 1 << 16
-SEEN = 500_000  # distinct sets that a task remembers
-WORDS = 500_000  # hashes of words that a task remembers
+SEEN = 250_000  # distinct sets that a task remembers
+WORDS = 250_000  # hashes of words that a task remembers
 WINDOW = 1 << 16  # sets whose signatures are packed together, as a place in the pack has two bytes
-PACKED = 2_000_000  # signatures held before they are packed
+PACKED = 1_000_000  # signatures held before they are packed
 TILE = 1024
 TOLD = 500_000  # pairs that a task remembers
 STEP_BYTES = 16 << 20
