@@ -48,6 +48,7 @@ class Step(NamedTuple):
     facts: DataFrame
     rejects: DataFrame
     state: DataFrame  # complete rows of the devices this batch touched
+    devices: DataFrame | None = None  # of app events: the resolved devices, a row each
 
 
 def _unusable(rules: dict[str, str]) -> str:
@@ -252,32 +253,40 @@ def step(
         *passed,
     )
     rejects = joined.where("NOT valid").selectExpr("'no_activation' AS reason", *events.columns)
-    return Step(facts, rejects.unionByName(unusable), _next_state(joined))
+    return Step(facts, rejects.unionByName(unusable), _next_state(joined), devices)
+
+
+_CARRIED_OVER = ["plan_id", "channel_id", "active_time", "s_last_launch_time", "s_registered", "s_first_pay_time", "s_last_pay_date"]
 
 
 def _next_state(joined: DataFrame) -> DataFrame:
     """State after the batch; needs no order, only minima and maxima."""
-    carried_over = ["plan_id", "channel_id", "active_time", "s_last_launch_time", "s_registered",
-                    "s_first_pay_time", "s_last_pay_date"]
-    return (
-        joined.where("active_time IS NOT NULL AND valid")
-        .groupBy(*DEVICE_KEYS, *carried_over)
-        .agg(
-            F.expr(f"max(CASE WHEN {_LAUNCH} THEN ts END) AS launch"),
-            F.expr(f"count_if({_REG}) AS regs"),
-            F.expr(f"min(CASE WHEN {_PAY} THEN ts END) AS pay"),
-            F.expr(f"max(CASE WHEN {_PAY} THEN to_date(ts) END) AS pay_day"),
-        )
-        .selectExpr(
-            *DEVICE_KEYS,
-            "plan_id",
-            "channel_id",
-            "active_time",
-            "greatest(s_last_launch_time, launch) AS last_launch_time",
-            "s_registered OR regs > 0 AS registered",
-            "coalesce(s_first_pay_time, pay) AS first_pay_time",
-            "greatest(s_last_pay_date, pay_day) AS last_pay_date",
-        )
+    return _moved_on(joined.where("active_time IS NOT NULL AND valid"), [*DEVICE_KEYS, *_CARRIED_OVER])
+
+
+def state_after(facts: DataFrame, devices: DataFrame) -> DataFrame:
+    """The state of a step from its facts and devices, where both are written: few columns are read, and no event is
+    shuffled and joined again."""
+    kept = devices.where("active_time IS NOT NULL").select(*DEVICE_KEYS, *_CARRIED_OVER)
+    return _moved_on(facts.select(*DEVICE_KEYS, "kind", "ts"), DEVICE_KEYS, kept)
+
+
+def _moved_on(counted: DataFrame, by: Sequence[str], devices: DataFrame | None = None) -> DataFrame:
+    seen = counted.groupBy(*by).agg(
+        F.expr(f"max(CASE WHEN {_LAUNCH} THEN ts END) AS launch"),
+        F.expr(f"count_if({_REG}) AS regs"),
+        F.expr(f"min(CASE WHEN {_PAY} THEN ts END) AS pay"),
+        F.expr(f"max(CASE WHEN {_PAY} THEN to_date(ts) END) AS pay_day"),
+    )
+    return (seen if devices is None else seen.join(devices, DEVICE_KEYS)).selectExpr(
+        *DEVICE_KEYS,
+        "plan_id",
+        "channel_id",
+        "active_time",
+        "greatest(s_last_launch_time, launch) AS last_launch_time",
+        "s_registered OR regs > 0 AS registered",
+        "coalesce(s_first_pay_time, pay) AS first_pay_time",
+        "greatest(s_last_pay_date, pay_day) AS last_pay_date",
     )
 
 

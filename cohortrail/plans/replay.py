@@ -22,7 +22,9 @@ def replay(raw: DataFrame, runs: int, make: Callable[[str], object], redelivery:
         start, end = (low + (high - low) * j / runs for j in (i, i + 1))
         upper = "true" if i == runs - 1 else f"ts < TIMESTAMP_NTZ '{end}'"
         part = raw.where(f"ts >= TIMESTAMP_NTZ '{start}' AND {upper}")
-        part.select("kind", "value", *(["arrival", "position"] if redelivery else [])).write.parquet(f"{root}/inbox/{i}")
+        messages = part.select("kind", "value", *(["arrival", "position"] if redelivery else []))
+        # Dealt evenly, however few or uneven the pieces of the source are: a batch is parsed in the pieces it finds here.
+        messages.repartition("value").write.parquet(f"{root}/inbox/{i}")
         source = files.stream_parquet(spark, f"{root}/inbox", files.DELIVERED_SCHEMA if redelivery else files.RAW_SCHEMA)
         stream.start(source, f"{root}/checkpoint", available_now=True, redelivery=redelivery).awaitTermination()
     return stream
