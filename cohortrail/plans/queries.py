@@ -15,7 +15,7 @@ from cohortrail.plans.replay import replay
 from cohortrail.schemas import FIRST, LAUNCH, PAY, REG
 from cohortrail.session import shared_dir
 from cohortrail.sources import given_tables as given
-from cohortrail.sources import payload, stored
+from cohortrail.sources import files, payload, stored
 from cohortrail.streaming.bucketed import ClickIndex
 from cohortrail.streaming.corrected import CorrectedStream
 from cohortrail.streaming.streams import AppStream, WebStream
@@ -201,10 +201,14 @@ def _corrected(spark: SparkSession, sf_dir: str) -> CorrectedStream:
     root = f"{shared_dir(spark)}/corrected-{uuid.uuid4().hex}"
     index = ClickIndex(spark, f"{root}/clicks", buckets=4, compact_every=2)
     stream = CorrectedStream(spark, f"{root}/tables", index, buckets=4, compact_every=2)
-    raw, clicks = given.raw_payloads(spark, sf_dir), given.clicks(spark, sf_dir)
+    clicks = given.clicks(spark, sf_dir)
+    # Dealt once: each text is made and hashed once, and a batch reads its own messages alone, in even pieces.
+    dealt = given.raw_payloads(spark, sf_dir).selectExpr("kind", "value", f"pmod(xxhash64(value), {STREAM_RUNS}) AS nr")
+    dealt.repartition("value").write.partitionBy("nr").parquet(f"{root}/inbox")
     for nr in range(STREAM_RUNS):
         index.add(clicks.where(f"pmod(xxhash64(click_id), {STREAM_RUNS}) = {nr}"), nr)
-        stream.process(raw.where(f"pmod(xxhash64(value), {STREAM_RUNS}) = {nr}").select("kind", "value"), nr)
+        messages = files.read_table(spark, f"{root}/inbox", f"{files.RAW_SCHEMA}, nr bigint").where(f"nr = {nr}")
+        stream.process(messages.select("kind", "value"), nr)
     return stream
 
 
@@ -215,9 +219,10 @@ def _corrected_of(read: Callable[[CorrectedStream], DataFrame]) -> Query:
 def late_launch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The facts of launches as they are after events and clicks have come in any order."""
     stream = _corrected(spark, sf_dir)
-    facts = stream.facts_of(stream.next_batch()).where(f"kind = '{LAUNCH}'")
-    return present(facts, "event_id", "app_id", "device_id", "plan_id", "channel_id", "ts", "active_time",
-                   "prev_launch_time", "is_new", "new_today")
+    wanted = ["event_id", "app_id", "device_id", "plan_id", "channel_id", "ts", "active_time", "prev_launch_time",
+              "is_new", "new_today"]
+    facts = stream.facts_of(stream.next_batch(), columns=wanted).where(f"kind = '{LAUNCH}'")
+    return present(facts, *wanted)
 
 
 def device_identity_md5(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,10 @@ After each batch, facts and statistics are those of one batch over all events an
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Collection, Sequence
+from datetime import date
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +22,10 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from cohortrail.operators import attribution, stats, timeline
 from cohortrail.operators import registry as onboarding
-from cohortrail.operators.skew import HOT_ROWS, materialize
+from cohortrail.operators.skew import HOT_ROWS, at_once, materialize
 from cohortrail.schemas import APP_EVENT, DEVICE_KEYS, DEVICE_STATE, LAUNCH
 from cohortrail.sources import payload
-from cohortrail.streaming.batched import latest_per_key
+from cohortrail.streaming.batched import BATCH, latest_per_key
 from cohortrail.streaming.bucketed import BUCKETS, BucketedTable, ClickIndex
 from cohortrail.streaming.days import DayTable
 from cohortrail.streaming.streams import _EVENT_KEYS, APP_FACT, SIGNALS, Stream, fold_signals, stat_schema
@@ -39,6 +42,8 @@ KEYED = StructType(
         StructField("active_time", TimestampNTZType()),
     ]
 )
+# Columns of facts that say which row of a statistic they count in, and how it is described.
+DESCRIBING = ["ts", "stat_date", "plan_id", "channel_id", "active_date", "is_new", "new_today"]
 DONE = StructType([StructField("done", LongType()), StructField("clicks", LongType())])
 
 
@@ -96,17 +101,13 @@ class CorrectedStream(Stream):
         return held.join(new, attribution.KEY).where("click_ts <= active_time").select(*keys).distinct()
 
     def apply(self, tagged: DataFrame, batch_id: int) -> None:
-        parsed = tagged = tagged.persist()
-        try:
-            if self.registry is not None:
-                tagged = onboarding.flag_unknown_apps(tagged, self.registry(), self.hot_rows)
-            known_clicks = self.clicks.next_batch()
-            self._count(tagged, batch_id, known_clicks)
-        finally:
-            parsed.unpersist()
-        for table in (self.seen, self.history, self.by_key, self.signals):
-            table.compact(batch_id)
-            table.tidy(batch_id)
+        tagged = self._parsed(tagged, batch_id, self.registry is not None)
+        if self.registry is not None:
+            tagged = onboarding.flag_unknown_apps(tagged, self.registry(), self.hot_rows)
+        known_clicks = self.clicks.next_batch()
+        self._count(tagged, batch_id, known_clicks)
+        kept = (self.seen, self.history, self.by_key, self.signals)
+        at_once(self.spark, *[lambda table=table: (table.compact(batch_id), table.tidy(batch_id)) for table in kept])
         for table in (self.daily, self.retention, self.pay_cohort):
             table.tidy(batch_id)
         done = f"CAST({batch_id} AS bigint) AS done", f"CAST({known_clicks} AS bigint) AS clicks"
@@ -114,7 +115,7 @@ class CorrectedStream(Stream):
 
     def _count(self, tagged: DataFrame, batch_id: int, known_clicks: int) -> None:
         scratch = self._scratch(batch_id)
-        fresh = materialize(payload.accepted(tagged).select(*APP_EVENT.fieldNames()), "fresh", scratch)
+        fresh = payload.accepted(tagged)
         usable = fresh.where(f"{timeline.APP_UNUSABLE} IS NULL")
         arrived = usable.groupBy(*DEVICE_KEYS).agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
         recredited = self._recredited(batch_id, known_clicks).withColumn("recredited", F.lit(True))
@@ -126,6 +127,7 @@ class CorrectedStream(Stream):
         late = materialize(known.where(again).select(*DEVICE_KEYS), "late", scratch)
         earlier = materialize(self.history.read(batch_id, late, DEVICE_KEYS), "earlier", scratch)
         replayed = earlier.select(*APP_EVENT.fieldNames()).join(fresh.select(*_EVENT_KEYS), _EVENT_KEYS, "left_anti")
+        replayed = materialize(replayed, "replayed", scratch)
         on_time = known.where(f"active_time IS NOT NULL AND NOT ({again})").select(*DEVICE_STATE.fieldNames())
 
         before = known_clicks
@@ -137,38 +139,80 @@ class CorrectedStream(Stream):
             f"{scratch}/step",
             levels=self.clicks.levels,
         )
-        self.facts.write(step.facts, batch_id)
-        facts = self.facts.read_batch(batch_id)
-        rejects = materialize(step.rejects, "rejects", scratch)
-        waiting = rejects.where("reason = 'no_activation'").select(*APP_EVENT.fieldNames())
-        self.history.write(
-            facts.withColumn("fact", F.lit(1)).unionByName(waiting.withColumn("fact", F.lit(0)), allowMissingColumns=True),
-            batch_id,
+        at_once(
+            self.spark,
+            lambda: self.facts.write(step.facts, batch_id),
+            lambda: materialize(step.rejects, "rejects", scratch),
         )
-        told = rejects.join(earlier.select(*_EVENT_KEYS), _EVENT_KEYS, "left_anti")
-        texts = told.selectExpr("reason", "kind", f"to_json(struct({', '.join(APP_EVENT.fieldNames())})) AS raw")
-        self.rejects.write(payload.rejected(tagged).unionByName(texts), batch_id)
-
-        counted = earlier.where("fact = 1").select(*APP_FACT.fieldNames())
-        parts = materialize(stats.parts(facts), "parts", scratch)
-        old_parts = None if counted.isEmpty() else materialize(stats.parts(counted), "old-parts", scratch)
-        both = facts, counted, lambda days: self.facts_of(batch_id + 1, days)
-        for table in (self.daily, self.retention, self.pay_cohort):
-            table.update(batch_id, parts, old_parts, both, scratch)
-        self.signals.write(onboarding.signals_of_parts(parts), batch_id)
+        facts = self.facts.read_batch(batch_id)
+        rejects = self.spark.read.schema(step.rejects.schema).parquet(f"{scratch}/rejects")
+        recent = self._facts_by_day(batch_id + 1)
+
+        def keep() -> None:
+            waiting = rejects.where("reason = 'no_activation'").select(*APP_EVENT.fieldNames())
+            every = facts.withColumn("fact", F.lit(1)).unionByName(waiting.withColumn("fact", F.lit(0)), allowMissingColumns=True)
+            told = rejects.join(earlier.select(*_EVENT_KEYS), _EVENT_KEYS, "left_anti")
+            texts = told.selectExpr("reason", "kind", f"to_json(struct({', '.join(APP_EVENT.fieldNames())})) AS raw")
+            at_once(
+                self.spark,
+                lambda: self.history.write(every, batch_id),
+                lambda: self.rejects.write(payload.rejected(tagged).unionByName(texts), batch_id),
+            )
+
+        def count() -> None:
+            counted = earlier.where("fact = 1").select(*APP_FACT.fieldNames())
+            parts = materialize(stats.parts(facts), "parts", scratch)
+            old_parts = None if counted.isEmpty() else materialize(stats.parts(counted), "old-parts", scratch)
+            both = facts, counted, recent
+            at_once(
+                self.spark,
+                *[
+                    lambda table=table: table.update(batch_id, parts, old_parts, both, scratch)
+                    for table in (self.daily, self.retention, self.pay_cohort)
+                ],
+                lambda: self.signals.write(onboarding.signals_of_parts(parts), batch_id),
+            )
 
         launches = facts.where(f"kind = '{LAUNCH}' AND is_new = 1")
-        self.by_key.write(attribution.unpivot_keys(launches, self.clicks.levels, [*DEVICE_KEYS, "active_time"]), batch_id)
+        keys = attribution.unpivot_keys(launches, self.clicks.levels, [*DEVICE_KEYS, "active_time"])
         last = known.selectExpr(*DEVICE_KEYS, "greatest(last_event_time, last_ts) AS last_event_time")
-        self.seen.write(last.join(step.state, DEVICE_KEYS, "left"), batch_id)
+        state = timeline.state_after(facts, step.devices)
+        at_once(
+            self.spark,
+            keep,
+            count,
+            lambda: self.by_key.write(keys, batch_id),
+            lambda: self.seen.write(last.join(state, DEVICE_KEYS, "left"), batch_id),
+        )
 
-    def facts_of(self, before: int, days: DataFrame | None = None) -> DataFrame:
+    def _facts_by_day(self, before: int) -> Callable[[DataFrame], DataFrame]:
+        """Facts of some days, as far as statistics describe their rows by them. Days asked for again are not read again."""
+        lock, found = Lock(), {}
+
+        def of(days: DataFrame) -> DataFrame:
+            with lock:
+                wanted = {r.stat_date for r in days.collect()}
+                if wanted - found.keys():
+                    missing = self._facts_on(before, wanted - found.keys(), DESCRIBING)
+                    made = materialize(missing, f"facts-{len(found)}", self._scratch(before - 1))
+                    found.update(dict.fromkeys(wanted - found.keys(), made))
+                tables = list({id(found[d]): found[d] for d in wanted}.values())
+            return functools.reduce(DataFrame.unionByName, tables).where(F.col("stat_date").isin(list(wanted)))
+
+        return of
+
+    def facts_of(self, before: int, days: DataFrame | None = None, columns: Sequence[str] = APP_FACT.fieldNames()) -> DataFrame:
         """Facts as they are after all batches below `before`; with `days`, those of some `stat_date` alone.
 
-        Facts of a device that was worked through again replace those of the same events.
+        Facts of a device that was worked through again replace those of the same events. `columns` names those that are
+        needed besides the keys of an event; no others are read.
         """
+        return self._facts_on(before, None if days is None else {r.stat_date for r in days.collect()}, columns)
+
+    def _facts_on(self, before: int, days: Collection[date] | None, columns: Sequence[str]) -> DataFrame:
+        schema = StructType([f for f in APP_FACT if f.name in _EVENT_KEYS or f.name in columns])
         rows = self.facts.rows(before)
         if days is not None:
             # Named one by one, so that the scan leaves out the other days' folders.
-            rows = rows.where(F.col("stat_date").isin([r.stat_date for r in days.collect()]))
-        return latest_per_key(_EVENT_KEYS, APP_FACT)(rows)
+            rows = rows.where(F.col("stat_date").isin(list(days)))
+        return latest_per_key(_EVENT_KEYS, schema)(rows.select(*schema.fieldNames(), BATCH))

@@ -85,11 +85,14 @@ class DayTable(BucketedTable):
     def _mended(self, folded: DataFrame, new: DataFrame, old: DataFrame, facts_of, scratch: str | None) -> DataFrame:
         """Rows whose first event was taken back get the description of the next one."""
         name, keys = self.root.rsplit("/", 1)[-1], self.stat.keys
+        folded = materialize(self._typed(folded), f"{name}-folded", scratch)
+        # Only the first events of rows matter, which are few.
+        first = [*keys, "ts", "event_id"]
+        heads = folded.selectExpr(*keys, f"{FIRST[0]} AS ts", f"{FIRST[1]} AS event_id")
         # An event whose description changed is one that left, too.
-        place = list(dict.fromkeys([*keys, "ts", "event_id", *self.stat.described]))
-        gone, stays = (self.counted(f).select(*place) for f in (old, new))
+        place = list(dict.fromkeys([*first, *self.stat.described]))
+        gone, stays = (self.counted(f).select(*place).join(heads, first, "left_semi") for f in (old, new))
         lost = gone.join(stays, place, "left_anti").selectExpr(*keys, f"ts AS {FIRST[0]}", f"event_id AS {FIRST[1]}")
-        folded = materialize(self._typed(folded), f"{name}-folded", scratch)
         broken = folded.join(lost, [*keys, *FIRST], "left_semi").selectExpr(*keys, f"{self.day} AS event_day")
         broken = materialize(broken, f"{name}-broken", scratch)
         if broken.isEmpty():

@@ -3,8 +3,13 @@
 import json
 import os
 
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
 from cohortrail.operators import timeline
 from cohortrail.plans.replay import replay
+from cohortrail.streaming.batched import latest_per_key
+from cohortrail.streaming.bucketed import BucketedTable, ClickIndex
+from cohortrail.streaming.corrected import CorrectedStream
 from cohortrail.streaming.streams import AppStream
 from tests.build import at, click, clicks_frame, event, events_frame
 from tests.compare import spark_rows
@@ -53,6 +58,23 @@ def test_messages_of_one_piece_are_dealt_evenly_and_texts_kept_for_rejects_alone
     assert [r.reason for r in stream.current(stream.rejects).collect()] == ["platform"]
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    schema = StructType([StructField("key", IntegerType()), StructField("text", StringType())])
+    table = BucketedTable(spark, str(tmp_path), schema, latest_per_key(["key"], schema), ["key"], 1, 1)
+    rows = spark.range(20_000, numPartitions=8).selectExpr("CAST(id AS int) AS key", "sha2(CAST(id AS string), 256) AS text")
+    # The fold in several tasks, as in a large table, whose output can then be cut between them.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.write(rows, 0)
+        table.compact(0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts_in(tmp_path / "base/before=1/bucket=0")) > 1
+    assert table.read(1).count() == 20_000
+
+
 def test_state_from_written_facts_is_that_of_the_step(spark):
     events = [
         event("pay", "d", "1 07:00", amount="2.00"), event("launch", "d", "1 08:00", external_ip="x"), event("reg", "d", "1 09:00"),
@@ -63,3 +85,22 @@ def test_state_from_written_facts_is_that_of_the_step(spark):
     later = [event("pay", "d", "1 12:00", amount="4.00"), event("launch", "e", "2 08:00"), event("reg", "e", "3 09:00")]
     second = timeline.step(events_frame(spark, later), clicks_frame(spark), first.state.persist())
     assert spark_rows(timeline.state_after(second.facts, second.devices)) == spark_rows(second.state)
+
+
+def test_facts_of_a_day_are_folded_once_and_only_in_the_columns_asked_for(spark, tmp_path):
+    index = ClickIndex(spark, f"{tmp_path}/clicks", buckets=2)
+    stream = CorrectedStream(spark, f"{tmp_path}/t", index, buckets=2)
+    for batch, device in enumerate(("a", "b")):
+        rows = [message(device, when, event_id=str(i)) for i, when in enumerate(("1 10:00", "2 10:00", "3 10:00"))]
+        stream.process(messages(spark, rows).select("kind", "value"), batch)
+    whole = stream.facts_of(2)
+    asked = ["ts", "new_today"]
+    narrow = stream.facts_of(2, columns=asked)
+    assert set(narrow.columns) == {"app_id", "device_id", "kind", "event_id", *asked}
+    assert spark_rows(narrow) == spark_rows(whole.select(*narrow.columns))
+    of = stream._facts_by_day(2)
+    days = whole.select("stat_date").distinct().orderBy("stat_date")
+    first, again = of(days.limit(2)), of(days)
+    assert spark_rows(first) == spark_rows(whole.where("stat_date < DATE'2024-01-03'").select(*first.columns))
+    assert spark_rows(again) == spark_rows(whole.select(*again.columns))
+    assert set(first.inputFiles()) <= set(again.inputFiles())
