@@ -6,10 +6,10 @@
 2. Before the shuffle, equal fragments of a batch are reduced to those of the first document; the others are removed
    windows already. So a passage that very many documents share reaches a task once per batch.
 3. In a task, equal fragments are taken once, and those are left out of which neither side next to the minimizer is
-   shared between documents. An enhanced suffix array of the rest (order of the suffixes, common prefixes of
-   neighbours) is scanned with a stack: each interval of suffixes with a common prefix of LENGTH bytes or more, whose
-   left neighbours differ or are unknown, is a maximal repeat with all its occurrences. An occurrence in another
-   document than the first of its group is removed.
+   shared between documents; of the rest, suffixes whose first LENGTH bytes are those of no other document. An enhanced
+   suffix array of what is left (order of the suffixes, common prefixes of neighbours) is scanned with a stack: each
+   interval of suffixes with a common prefix of LENGTH bytes or more, whose left neighbours differ or are unknown, is a
+   maximal repeat with all its occurrences. An occurrence in another document than the first of its group is removed.
 4. Removed stretches meet their texts, which travel in compressed batches, in the task of their document.
 
 Null doc_id: comes after all others. Rows of the same doc_id never remove anything of each other. Null text: empty.
@@ -120,15 +120,16 @@ def equal_stretches(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -
     """A number per stretch of at most MOST + LENGTH - 1 bytes; equal stretches have equal numbers, and only those."""
     padded = _padded(data)
     hashes = _mix(lengths.astype(np.uint64) + _M2)
-    words = []
+    words, whole = [], int(lengths.min(initial=0)) - 8
     for k in range(0, int(lengths.max(initial=0)), 8):
-        spare = np.clip(8 - (lengths - k), 0, 8)
         word = _words(padded, starts + k)
-        shift = (np.minimum(spare, 7) * 8).astype(np.uint64)
-        word = np.where(spare == 8, np.uint64(0), word << shift >> shift)
+        if k > whole:
+            spare = np.clip(8 - (lengths - k), 0, 8)
+            shift = (np.minimum(spare, 7) * 8).astype(np.uint64)
+            word = np.where(spare == 8, np.uint64(0), word << shift >> shift)
         words.append(word)
         hashes = _mix(hashes ^ word) + _M1
-    order = np.argsort(hashes, kind="stable")
+    order = np.argsort(hashes)
     new = np.ones(len(order), bool)
     new[1:] = hashes[order[1:]] != hashes[order[:-1]]
     # Equal hashes of different bytes would be told apart here.
@@ -139,22 +140,33 @@ def equal_stretches(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -
     return numbers
 
 
-def suffix_array(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of the suffixes of LENGTH bytes or more of the stretches, in order: stretch, offset in it, and the common prefix
-    with the suffix before (0 for the first)."""
+def _suffixes(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretch and offset of the suffixes of LENGTH bytes or more."""
     counts = lengths - LENGTH + 1
-    stretch = np.repeat(np.arange(len(starts)), counts)
-    offset = np.arange(len(stretch)) - np.repeat(np.cumsum(counts) - counts, counts)
+    stretch = np.repeat(np.arange(len(lengths)), counts)
+    return stretch, np.arange(len(stretch)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def suffix_array(
+    data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, kept: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
+    """Of the suffixes of LENGTH bytes or more of the stretches, or of those `kept`, in order: stretch, offset in it, and
+    the common prefix with the suffix before (0 for the first)."""
+    stretch, offset = _suffixes(lengths)
+    if kept is not None:
+        stretch, offset = stretch[kept], offset[kept]
     places, sizes = starts[stretch] + offset, lengths[stretch] - offset
     padded = _padded(data)
     # Big-endian words compare as their bytes do. Bytes behind the end of a suffix are cleared; ties go by size.
-    columns = []
+    columns, whole = [], int(sizes.min(initial=0)) - 8
     for k in range(0, int(sizes.max(initial=0)), 8):
-        spare = np.clip(8 - (sizes - k), 0, 8)
         word = _words(padded, places + k).byteswap()
-        shift = (np.minimum(spare, 7) * 8).astype(np.uint64)
-        columns.append(np.where(spare == 8, np.uint64(0), word >> shift << shift))
-    order = np.argsort(columns[0], kind="stable") if columns else _EMPTY
+        if k > whole:
+            spare = np.clip(8 - (sizes - k), 0, 8)
+            shift = (np.minimum(spare, 7) * 8).astype(np.uint64)
+            word = np.where(spare == 8, np.uint64(0), word >> shift << shift)
+        columns.append(word)
+    order = np.argsort(columns[0]) if columns else _EMPTY
     breaks = np.ones(len(order), bool)
     breaks[1:] = columns[0][order[1:]] != columns[0][order[:-1]] if columns else False
     # Each further word sorts only what is still equal.
@@ -191,9 +203,10 @@ def maximal_repeats(prefixes: np.ndarray, left: np.ndarray, least: int = LENGTH)
     changed = np.concatenate(([True], (left[1:] != left[:-1]) | (left[1:] < 0)))
     since = np.maximum.accumulate(np.where(changed, np.arange(len(left)), 0)).tolist()
     heights = prefixes.tolist()
-    for group in np.split(runs, np.flatnonzero(np.diff(runs) > 1) + 1):
+    gaps = np.diff(runs) > 1
+    starts, stops = runs[np.concatenate(([True], gaps))], runs[np.concatenate((gaps, [True]))] + 1
+    for start, stop in zip(starts.tolist(), stops.tolist(), strict=True):
         stack: list[tuple[int, int]] = []
-        start, stop = int(group[0]), int(group[-1]) + 1
         for i in range(start, stop + 1):
             height = heights[i] if i < stop else 0
             first = i - 1
@@ -206,12 +219,14 @@ def maximal_repeats(prefixes: np.ndarray, left: np.ndarray, least: int = LENGTH)
 
 
 def _shared(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Whether the key of a row also has rows of another document; low, high: the row's first and last document."""
-    order = np.argsort(keys, kind="stable")
+    """Whether a row has its key from several rows, and these are of several documents; low, high: the row's first and last
+    document."""
+    order = np.argsort(keys)
     cuts = np.flatnonzero(np.concatenate(([True], keys[order[1:]] != keys[order[:-1]])))
     spread = np.minimum.reduceat(low[order], cuts) < np.maximum.reduceat(high[order], cuts)
+    counts = np.diff(np.concatenate((cuts, [len(keys)])))
     out = np.empty(len(keys), bool)
-    out[order] = np.repeat(spread, np.diff(np.concatenate((cuts, [len(keys)]))))
+    out[order] = np.repeat(spread & (counts > 1), counts)
     return out
 
 
@@ -238,6 +253,27 @@ def _candidates(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ancho
     return np.flatnonzero(keep)
 
 
+def _windows(data: np.ndarray) -> np.ndarray:
+    """A hash of LENGTH bytes from each place that has so many."""
+    out, size = _words(data), 8
+    while size * 2 <= LENGTH:
+        out, size = _mix(out[:-size]) + out[size:], size * 2
+    # Two that overlap cover the rest.
+    rest = LENGTH - size
+    return _mix(out[: len(out) - rest]) + out[rest:] if rest else out
+
+
+def _meeting(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The suffixes, by number, whose first LENGTH bytes another suffix has too, in several documents.
+
+    No other suffix is in an interval with a common prefix of LENGTH bytes that holds several documents.
+    """
+    stretch, offset = _suffixes(lengths)
+    inside = (np.cumsum(lengths) - lengths)[stretch] + offset
+    keys = _windows(_gather(data, starts, lengths))[inside]
+    return np.flatnonzero(_shared(keys, low[stretch], high[stretch]))
+
+
 def removed_stretches(
     data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, anchors: np.ndarray, docs: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -245,7 +281,7 @@ def removed_stretches(
     if not len(starts):
         return _EMPTY, _EMPTY, _EMPTY
     numbers = equal_stretches(data, starts, lengths)
-    owners = np.argsort(numbers, kind="stable")
+    owners = np.argsort(numbers)
     cuts = np.flatnonzero(np.concatenate(([True], numbers[owners[1:]] != numbers[owners[:-1]])))
     counts = np.diff(np.concatenate((cuts, [len(owners)])))
     low, high = np.minimum.reduceat(docs[owners], cuts), np.maximum.reduceat(docs[owners], cuts)
@@ -255,8 +291,8 @@ def removed_stretches(
     found = [(later, np.zeros(len(later), np.int64), lengths[later])]
     rows = _candidates(data, starts[one], lengths[one], anchors[one], low, high)
     kmers = _words(_padded(data), starts[one[rows]] + anchors[one[rows]])
-    rows = rows[np.argsort(kmers, kind="stable")]
-    kmers = np.sort(kmers)
+    order = np.argsort(kmers)
+    rows, kmers = rows[order], kmers[order]
     # Arrays of some size each; equal minimizers stay together.
     total = np.cumsum(lengths[one[rows]] - LENGTH + 1)
     ends = np.flatnonzero(np.concatenate((kmers[1:] != kmers[:-1], [True]))) + 1 if len(rows) else _EMPTY
@@ -268,7 +304,10 @@ def removed_stretches(
         part = rows[begin:stop]
         begin = stop
         s = one[part]
-        stretch, offset, prefixes = suffix_array(data, starts[s], lengths[s])
+        kept = _meeting(data, starts[s], lengths[s], low[part], high[part])
+        if not len(kept):
+            continue
+        stretch, offset, prefixes = suffix_array(data, starts[s], lengths[s], kept)
         left = np.where(offset > 0, data[np.maximum(starts[s][stretch] + offset - 1, 0)].astype(np.int64), -1)
         groups = np.array(list(maximal_repeats(prefixes, left)), np.int64).reshape(-1, 3)
         if not len(groups):
@@ -288,6 +327,17 @@ def removed_stretches(
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def _numbered(ids: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different documents (id, mark) in order, and the number in it of each given one."""
+    order = np.lexsort((marks, ids))
+    keys = np.stack((ids[order], marks[order]), axis=1)
+    new = np.ones(len(order), bool)
+    new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+    numbers = np.empty(len(order), np.int64)
+    numbers[order] = np.cumsum(new) - 1
+    return keys[new], numbers
+
+
 def union(rows: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Merge stretches of the same row that overlap or touch."""
     if not len(rows):
@@ -329,8 +379,8 @@ def _target(ids: np.ndarray, marks: np.ndarray, parts: int) -> np.ndarray:
 
 def _span_blobs(parts: int, ids: np.ndarray, marks: np.ndarray, starts: np.ndarray, stops: np.ndarray):
     """Merged stretches of documents (id, mark), a blob for each part that has some."""
-    keys, rows = np.unique(np.stack((ids, marks), axis=1), axis=0, return_inverse=True)
-    rows, starts, stops = union(rows.reshape(-1), starts, stops)
+    keys, rows = _numbered(ids, marks)
+    rows, starts, stops = union(rows, starts, stops)
     target = _target(keys[:, 0].copy(), keys[:, 1].copy(), parts)
     order = np.argsort(target[rows], kind="stable")
     cuts = np.flatnonzero(np.diff(target[rows][order], prepend=np.uint64(parts)))
@@ -426,8 +476,8 @@ class _Share:
         ids, marks, offset, sizes, anchors = (np.concatenate(x) for x in zip(*columns, strict=True))
         data = np.concatenate(texts)
         which, at, length = removed_stretches(data, np.cumsum(sizes) - sizes, sizes, anchors, ids)
-        keys, row = np.unique(np.stack((ids[which], marks[which]), axis=1), axis=0, return_inverse=True)
-        row, start, stop = union(row.reshape(-1), offset[which] + at, offset[which] + at + length)
+        keys, row = _numbered(ids[which], marks[which])
+        row, start, stop = union(row, offset[which] + at, offset[which] + at + length)
         self.add_spans((keys[row, 0], keys[row, 1], start, stop))
 
     def flush(self) -> Iterator[tuple[int, bytes]]:
@@ -520,8 +570,8 @@ def _by_document(spans: list[tuple[np.ndarray, ...]]) -> dict[tuple[int, int], n
     if not spans:
         return {}
     ids, marks, starts, stops = (np.concatenate(x) for x in zip(*spans, strict=True))
-    keys, row = np.unique(np.stack((ids, marks), axis=1), axis=0, return_inverse=True)
-    row, starts, stops = union(row.reshape(-1), starts, stops)
+    keys, row = _numbered(ids, marks)
+    row, starts, stops = union(row, starts, stops)
     cuts = np.flatnonzero(np.diff(row, prepend=-1)).tolist()
     pairs = np.stack((starts, stops), axis=1)
     whole = itertools.pairwise([*cuts, len(row)])

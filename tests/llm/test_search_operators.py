@@ -68,6 +68,29 @@ def test_repeats_by_brute_force(seed, monkeypatch):
     assert all((a == b).all() for a, b in zip(removed_by_brute_force(docs), got, strict=True))
 
 
+def test_suffixes_that_meet_no_other_document_are_not_sorted(monkeypatch):
+    """A phrase of 45 bytes that all hold makes no repeat of 50; one text is repeated within itself, one in another."""
+    random.seed(1)
+
+    def noise(n):
+        return bytes(random.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    phrase, own, shared = noise(45), noise(80), noise(52)
+    docs = [(d, noise(90) + phrase + noise(90)) for d in range(40)]
+    docs += [(50, own + noise(9) + own), (60, noise(60) + shared + noise(60)), (61, noise(60) + shared + noise(60))]
+    sorted_suffixes, plain = [], repeats.suffix_array
+
+    def counted(*given):
+        out = plain(*given)
+        sorted_suffixes.extend(out[0].tolist())
+        return out
+
+    monkeypatch.setattr(repeats, "suffix_array", counted)
+    got = removed_in_shares(docs, 2, 5)
+    assert all((a == b).all() for a, b in zip(removed_by_brute_force(docs), got, strict=True))
+    assert sum(g.sum() for g in got) == 52 and len(sorted_suffixes) == 6
+
+
 def test_suffix_array_and_maximal_repeats():
     data = np.frombuffer(b"xabcabcabcy", np.uint8)
     stretch, offset, prefixes = repeats.suffix_array(
