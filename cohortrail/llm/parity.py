@@ -9,12 +9,12 @@ Sets are joined within bands of sizes, a set near the upper end of its band in t
 into pieces of several 64-bit words, so many that some piece has at most `errors` of the differing bits; of that piece's
 words, all but `errors` are equal, and each choice of so many words gives a signature. Sets that share a signature meet.
 The more documents there are, the more words a signature covers (`choice`), so that chance meetings stay a few a set; this
-decides on speed alone. Signatures leave a task packed by target partition, six bytes each.
+decides on speed alone. Signatures leave a task packed by target partition, six bytes each. Of equal sets (128 bits of
+their hash), which are linked directly, only the first node's signatures are dealt.
 
 Where several sets meet, each is first compared with one of them, by a sketch of its own and then by the whole sets
 in integers. That one is the set that meets others most often. What is linked needs no further pair. Only groups that still hold sets of different components are compared
-within, in tiles of bounded size, and only pairs whose sketches are near enough leave the task. Equal sets (128 bits of
-their hash) are linked directly.
+within, in tiles of bounded size, and only pairs whose sketches are near enough leave the task.
 
 Words are cut at ASCII white space, A-Z are lower-cased, shingles are compared by 64-bit hashes. Fewer words than SHINGLE:
 the whole sequence is one. Null text, no words: the empty set, linked with nothing. Null doc_id: linked, but no
@@ -53,6 +53,7 @@ SEEN = 250_000  # distinct sets that a task remembers
 WORDS = 250_000  # hashes of words that a task remembers
 WINDOW = 1 << 16  # sets whose signatures are packed together, as a place in the pack has two bytes
 PACKED = 1_000_000  # signatures held before they are packed
+BROADCAST_PLACES = 1 << 22  # of four bytes
 TILE = 1024
 TOLD = 500_000  # pairs that a task remembers
 STEP_BYTES = 16 << 20
@@ -183,8 +184,8 @@ def near(a: bytes, b: bytes, most: int) -> bool:
 
 
 def _prints(documents: DataFrame) -> tuple[DataFrame, str]:
-    """Written: a row per document (doc_id, h, node, n; digest and sketch where the task has not met the set before), and
-    rows with `part` that hold the signatures of many sets."""
+    """Written: a row per document (doc_id, h, node, n; digest, sketch and base where the task has not met the set before),
+    and rows with `part` that hold the signatures of many sets, by their places behind `base`."""
     spark = documents.sparkSession
     parts = common.shuffle_partitions(spark)
     words, errors = choice(documents.count())
@@ -220,7 +221,7 @@ def _prints(documents: DataFrame) -> tuple[DataFrame, str]:
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
         for batch in batches:
-            nodes, sizes, digests, sketches = [], [], [], []
+            nodes, sizes, digests, sketches, bases = [], [], [], [], []
             kinds = [*(c.type for c in batch.columns[:2]), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             for text in batch.column("text"):
                 own = known.of(text.as_py())
@@ -230,10 +231,12 @@ def _prints(documents: DataFrame) -> tuple[DataFrame, str]:
                     nodes.append(seen[digest])
                     digests.append(None)
                     sketches.append(None)
+                    bases.append(None)
                     continue
                 nodes.append(at)
                 digests.append(digest if len(own) else None)
                 sketches.append(sketch(own) if len(own) else None)
+                bases.append(base if len(own) else None)
                 if len(own):
                     if len(seen) >= SEEN:
                         seen.clear()
@@ -258,7 +261,7 @@ def _prints(documents: DataFrame) -> tuple[DataFrame, str]:
             columns = [
                 *batch.columns[:2], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
                 pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), pa.nulls(n, pa.int32()),
-                pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+                pa.array(bases, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
         if keys:
@@ -269,6 +272,41 @@ def _prints(documents: DataFrame) -> tuple[DataFrame, str]:
     return common.stored(rows.mapInArrow(run, schema), "prints")
 
 
+def _equal(sets: DataFrame) -> tuple[DataFrame, str]:
+    """a, b: a node and the first one of the same set; and the node's base. Written."""
+    first = sets.groupBy("digest").agg(F.min("node").alias("b"), F.expr("count(1) AS times")).where("times > 1")
+    same = sets.select("node", "digest", "base").join(first, "digest").where("node <> b")
+    return common.stored(same.selectExpr("node AS a", "b", "base"), "equal")
+
+
+def _of_first(packs: DataFrame, equal: DataFrame) -> DataFrame:
+    """The packs without the signatures of nodes `a`. Few such nodes are sent to the packs, where these lie."""
+    gone = equal.groupBy("base").agg(F.expr("collect_set(CAST(a - base AS int)) AS gone"))
+    if equal.count() <= BROADCAST_PLACES:
+        gone = F.broadcast(gone)
+    rows = packs.select("part", "base", "signatures", "places").join(gone, "base", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, places = [], []
+            for key, place, out in zip(*batch.columns[2:], strict=True):
+                key, place = np.frombuffer(key.as_buffer(), "<u4"), np.frombuffer(place.as_buffer(), "<u2")
+                if out.is_valid:
+                    stays = np.ones(WINDOW, bool)
+                    stays[out.values.to_numpy()] = False
+                    kept = stays[place]
+                    key, place = key[kept], place[kept]
+                keys.append(key.tobytes())
+                places.append(place.tobytes())
+            columns = [*batch.columns[:2], pa.array(keys, pa.binary()), pa.array(places, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "base", "signatures", "places"])
+            del batch, keys, places, columns
+        common.give_back()
+
+    narrow = rows.select("part", "base", "signatures", "places", "gone")
+    return narrow.mapInArrow(run, "part int, base bigint, signatures binary, places binary")
+
+
 def _meetings(packs: DataFrame) -> DataFrame:
     """The groups of two or more nodes that share a signature: `nodes` and a hash of these. Groups of the same nodes are
     one in each task."""
@@ -469,15 +507,14 @@ def clusters(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     documents = documents.select("doc_id", "text")
     stored, path = _prints(documents)
-    prints = stored.where("part IS NULL").select("doc_id", "h", "node", "n", "digest", "sketch")
+    prints = stored.where("part IS NULL").select("doc_id", "h", "node", "n", "digest", "sketch", "base")
     sets = prints.where("digest IS NOT NULL")
 
-    met, met_path = common.stored(_meetings(stored.where("part IS NOT NULL")), "meetings")
-    equal = sets.groupBy("digest").agg(F.min("node").alias("b"), F.expr("count(1) AS times")).where("times > 1")
-    equal = sets.join(equal, "digest").where("node <> b").selectExpr("node AS a", "b")
+    equal, equal_path = _equal(sets)
+    met, met_path = common.stored(_meetings(_of_first(stored.where("part IS NOT NULL"), equal)), "meetings")
 
     pairs, pairs_path = common.stored(_likely(_stars(met), sets), "likely")
-    links, _ = common.stored(_verified(documents, prints, pairs).unionByName(equal), "links")
+    links, _ = common.stored(_verified(documents, prints, pairs).unionByName(equal.select("a", "b")), "links")
     roots = components(links)
     more, more_path = common.stored(
         _apart(met.where("size(nodes) > 2"), roots, sets), "likely"
@@ -486,7 +523,7 @@ def clusters(documents: DataFrame) -> DataFrame:
     roots = components(links.unionByName(found))
     named = prints.join(roots, "node", "left").selectExpr("doc_id", "n", "node", "coalesce(root, node) AS root")
     out, _ = common.stored(named, "named")
-    common.discard(spark, path, met_path, pairs_path, more_path)
+    common.discard(spark, path, equal_path, met_path, pairs_path, more_path)
     return out
 
 

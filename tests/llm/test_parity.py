@@ -61,6 +61,24 @@ def test_links_are_those_of_all_pairs(spark, monkeypatch, limits):
     assert found(spark, docs) == plain(docs)
 
 
+@pytest.mark.parametrize("places", [1 << 22, 0])
+def test_equal_sets_of_several_tasks_meet_others_once(spark, monkeypatch, places):
+    """Copies are linked by their hash: none but the first forms groups with others, however many tasks hold them."""
+    monkeypatch.setattr(parity, "BROADCAST_PLACES", places, raising=False)
+    pick, groups, stars = random.Random(3), [], parity._stars
+    base = [pick.choices([f"w{i}" for i in range(900)], k=120) for _ in range(3)]
+    near = [*base[2][:60], "other", *base[2][61:]]
+    docs = [(i, " ".join(w)) for i, w in enumerate([base[0]] * 9 + [base[1]] * 2 + [base[2]] * 4 + [near] * 3)]
+
+    def counted(met):
+        groups.extend(len(r.nodes) for r in met.collect())
+        return stars(met)
+
+    monkeypatch.setattr(parity, "_stars", counted)
+    assert found(spark, docs, 6) == plain(docs)
+    assert set(groups) == {2}  # the first nodes of the last two texts
+
+
 def test_null_ids_repeated_rows_and_empty_tables(spark):
     text = "one two three four five six"
     rows = [(5, text), (5, text), (None, text), (None, "alone with no id here"), (9, "ONE two three four five six")]
