@@ -351,7 +351,8 @@ def _stars(groups: DataFrame) -> DataFrame:
     of the copies of one text, each with changes of its own, that is the text itself, with which all of them are linked."""
     pairs = groups.where("size(nodes) = 2").selectExpr("nodes[0] AS a", "nodes[1] AS b")
     large = groups.where("size(nodes) > 2").dropDuplicates(["hash"])
-    held = large.selectExpr("hash", "size(nodes) AS n", "explode(nodes) AS node")
+    # Two groups that a short hash takes for one have one centre; `_apart` compares within groups.
+    held = large.selectExpr("xxhash64(hash) AS hash", "size(nodes) AS n", "explode(nodes) AS node")
     meets = held.groupBy("node").agg(F.expr("sum(n) AS meets"))
     centres = held.join(meets, "node").groupBy("hash").agg(F.expr("max(struct(meets, node)).node AS a"))
     stars = held.join(centres, "hash").where("node <> a").selectExpr("a", "node AS b")
@@ -430,11 +431,12 @@ def _verified(documents: DataFrame, prints: DataFrame, pairs: DataFrame) -> Data
 def _apart(groups: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs a, b within the groups that belong to different components and have near sketches.
 
-    A group of more than TILE nodes is cut into chunks, and each pair of chunks is a tile.
+    A group of more than TILE nodes is cut into chunks, and each pair of chunks is a tile. Two groups that a short hash
+    takes for one only compare more.
     """
     spark = groups.sparkSession
     chunked = groups.dropDuplicates(["hash"]).selectExpr(
-        "hash", f"CAST(ceil(size(nodes) / {TILE}) AS int) AS chunks", "posexplode(nodes) AS (at, node)"
+        "xxhash64(hash) AS hash", f"CAST(ceil(size(nodes) / {TILE}) AS int) AS chunks", "posexplode(nodes) AS (at, node)"
     )
     rooted = chunked.join(roots, "node", "left").selectExpr("*", "coalesce(root, node) AS own").drop("root")
     mixed = rooted.groupBy("hash").agg(F.expr("min(own) < max(own) AS apart")).where("apart").select("hash")
