@@ -5,12 +5,16 @@
    documents in fragments of equal minimizers. Fragments are dealt to tasks by the minimizer.
 2. Before the shuffle, equal fragments of a batch are reduced to those of the first document; the others are removed
    windows already. So a passage that very many documents share reaches a task once per batch.
-3. In a task, equal fragments are taken once, and those are left out of which neither side next to the minimizer is
-   shared between documents; of the rest, suffixes whose first LENGTH bytes are those of no other document. An enhanced
-   suffix array of what is left (order of the suffixes, common prefixes of neighbours) is scanned with a stack: each
-   interval of suffixes with a common prefix of LENGTH bytes or more, whose left neighbours differ or are unknown, is a
-   maximal repeat with all its occurrences. An occurrence in another document than the first of its group is removed.
-4. Removed stretches meet their texts, which travel in compressed batches, in the task of their document.
+3. A task works on its fragments in steps, by their minimizers. A step of more than STEP_WINDOWS windows, as a frequent
+   minimizer makes it, is cut again, by the least string of 24 bytes in a window, and where that is frequent too by the
+   window itself. So no step grows with the table.
+4. In a step, equal fragments are taken once, and those are left out of which neither side next to the minimizer is
+   shared between documents; of the rest, suffixes whose first LENGTH bytes are those of no other document. Enhanced
+   suffix arrays of what is left (order of the suffixes, common prefixes of neighbours; suffixes that begin with the same
+   LENGTH bytes in the same one) are scanned with a stack: each interval of suffixes with a common prefix of LENGTH bytes
+   or more, whose left neighbours differ or are unknown, is a maximal repeat with all its occurrences. An occurrence in
+   another document than the first of its group is removed.
+5. Removed stretches meet their texts, which travel in compressed batches, in the task of their document.
 
 Null doc_id: comes after all others. Rows of the same doc_id never remove anything of each other. Null text: empty.
 Texts shorter than LENGTH bytes keep everything. Repeated rows: each has its row. Very long texts: whole, in memory
@@ -20,6 +24,7 @@ one at a time.
 from __future__ import annotations
 
 import itertools
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +39,20 @@ ANCHOR = 8
 WINDOWS = LENGTH - ANCHOR + 1  # anchors of a window
 SIDE = (WINDOWS - 1) // 2  # one side of the anchor has so many bytes of a window at least
 MOST = WINDOWS  # windows of a fragment
-SUBS = 8  # steps in which a task works on its share
+# Bytes of the strings that windows are dealt by: the minimizers, and those that steps of too many windows are cut by.
+ANCHORS = (ANCHOR, 24, LENGTH)
+STEPS = 16  # steps in which a task works on its share
+FINER_STEPS = 64  # of a step that is cut again
+STEP_WINDOWS = 1 << 21
 NONE = (1 << 63) - 1  # stands for a null doc_id
 BATCH_BYTES = 12 << 20
 STEP_BYTES = 1 << 20
-# Suffixes that one array holds; fragments of equal minimizers stay together.
+# Suffixes that one array holds; those that begin with the same LENGTH bytes stay together.
 ARRAY_SUFFIXES = 1 << 19
 HELD_SPANS = 1 << 21
+PILED_BYTES = 2 << 20  # of blobs that are dealt to steps together
+HELD_BYTES = 64 << 20  # of a task's compressed fragments; more lie in a temporary file
+SENT_BYTES = 4 << 20
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = np.uint64(63)
@@ -62,6 +74,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _hashes(data: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """A hash of `size` bytes from each place, or from the places `at`; different 8 bytes have different ones."""
+    words = _words(data) if at is None else None
+    n = len(data) - size + 1
+    out = None
+    for k in (*range(0, size - 8, 8), size - 8):
+        word = words[k : k + n] if at is None else _words(data, at + k)
+        out = _mix(word if out is None else out + word)
+    return out
+
+
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     size, out = 1, x
     while size * 2 <= width:
@@ -71,8 +94,8 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def fragments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, length, and place of the minimizer of all fragments of texts laid end to end in `data`.
+def fragments(data: np.ndarray, ends: np.ndarray, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length, and place of the minimizer, `anchor` bytes long, of all fragments of texts laid end to end in `data`.
 
     Windows that cross the end of a text belong to none.
     """
@@ -82,16 +105,18 @@ def fragments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     out = []
     # In steps, since each byte takes many while its windows are worked out.
     for at in range(0, n, STEP_BYTES):
-        out.append(_fragments(data[at : at + STEP_BYTES + LENGTH - 1], ends - at, at))
+        out.append(_fragments(data[at : at + STEP_BYTES + LENGTH - 1], ends - at, at, anchor))
     starts, lengths, where = (np.concatenate(x) for x in zip(*out, strict=True))
     return starts, lengths, where
 
 
-def _fragments(data: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _fragments(
+    data: np.ndarray, ends: np.ndarray, base: int, anchor: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(data) - LENGTH + 1
     # The last bits of a hash give way to the place, which so comes with the minimum.
-    places = np.arange(len(data) - ANCHOR + 1, dtype=np.uint64) & _PLACE
-    low = _sliding_min(_mix(_words(data)) & ~_PLACE | places, WINDOWS)
+    places = np.arange(len(data) - anchor + 1, dtype=np.uint64) & _PLACE
+    low = _sliding_min(_hashes(data, anchor) & ~_PLACE | places, LENGTH - anchor + 1)
     inside = np.ones(n, bool)
     for end in ends[(ends > 0) & (ends < len(data))].tolist():
         inside[max(0, end - LENGTH + 1) : end] = False
@@ -102,14 +127,22 @@ def _fragments(data: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarra
     return starts + base, stops - starts + LENGTH - 1, where + base
 
 
+def _runs(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches that have some STEP_BYTES together, as ranges."""
+    total = np.cumsum(lengths)
+    cuts = np.searchsorted(total, np.arange(STEP_BYTES, int(total[-1]), STEP_BYTES)) if len(total) else []
+    return itertools.pairwise(np.unique([0, *cuts, len(lengths)]).tolist())
+
+
 def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The stretches of `data`, none of them empty, end to end."""
-    if not len(starts):
-        return data[:0]
-    steps = np.ones(int(lengths.sum()), np.int64)
-    steps[0] = starts[0]
-    steps[np.cumsum(lengths)[:-1]] = starts[1:] - (starts[:-1] + lengths[:-1] - 1)
-    return data[np.cumsum(steps)]
+    out = [data[:0]]
+    for a, b in _runs(lengths):
+        steps = np.ones(int(lengths[a:b].sum()), np.int64)
+        steps[0] = starts[a]
+        steps[np.cumsum(lengths[a:b])[:-1]] = starts[a + 1 : b] - (starts[a : b - 1] + lengths[a : b - 1] - 1)
+        out.append(data[np.cumsum(steps)])
+    return np.concatenate(out) if len(out) > 2 else out[-1]
 
 
 def _padded(data: np.ndarray) -> np.ndarray:
@@ -263,15 +296,32 @@ def _windows(data: np.ndarray) -> np.ndarray:
     return _mix(out[: len(out) - rest]) + out[rest:] if rest else out
 
 
-def _meeting(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """The suffixes, by number, whose first LENGTH bytes another suffix has too, in several documents.
+def _meeting(
+    data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, low: np.ndarray, high: np.ndarray
+) -> Iterator[np.ndarray]:
+    """The suffixes, by number, whose first LENGTH bytes another suffix has too, in several documents; those of an array.
 
     No other suffix is in an interval with a common prefix of LENGTH bytes that holds several documents.
     """
-    stretch, offset = _suffixes(lengths)
-    inside = (np.cumsum(lengths) - lengths)[stretch] + offset
-    keys = _windows(_gather(data, starts, lengths))[inside]
-    return np.flatnonzero(_shared(keys, low[stretch], high[stretch]))
+    keys = []
+    for a, b in _runs(lengths):
+        stretch, offset = _suffixes(lengths[a:b])
+        inside = (np.cumsum(lengths[a:b]) - lengths[a:b])[stretch] + offset
+        keys.append(_windows(_gather(data, starts[a:b], lengths[a:b]))[inside])
+    keys, stretch = np.concatenate(keys), np.repeat(np.arange(len(lengths)), lengths - LENGTH + 1)
+    kept = np.flatnonzero(_shared(keys, low[stretch], high[stretch]))
+    if len(kept) <= ARRAY_SUFFIXES:
+        if len(kept):
+            yield kept
+        return
+    kept = kept[np.argsort(keys[kept])]
+    ends = np.flatnonzero(np.diff(keys[kept], append=~keys[kept[-1:]])) + 1
+    begin = 0
+    while begin < len(kept):
+        last = int(np.searchsorted(ends, begin + ARRAY_SUFFIXES, "right"))
+        stop = int(ends[max(last - 1, int(np.searchsorted(ends, begin, "right")))])
+        yield np.sort(kept[begin:stop])
+        begin = stop
 
 
 def removed_stretches(
@@ -293,7 +343,7 @@ def removed_stretches(
     kmers = _words(_padded(data), starts[one[rows]] + anchors[one[rows]])
     order = np.argsort(kmers)
     rows, kmers = rows[order], kmers[order]
-    # Arrays of some size each; equal minimizers stay together.
+    # Some suffixes at a time; equal minimizers stay together.
     total = np.cumsum(lengths[one[rows]] - LENGTH + 1)
     ends = np.flatnonzero(np.concatenate((kmers[1:] != kmers[:-1], [True]))) + 1 if len(rows) else _EMPTY
     begin = 0
@@ -304,26 +354,24 @@ def removed_stretches(
         part = rows[begin:stop]
         begin = stop
         s = one[part]
-        kept = _meeting(data, starts[s], lengths[s], low[part], high[part])
-        if not len(kept):
-            continue
-        stretch, offset, prefixes = suffix_array(data, starts[s], lengths[s], kept)
-        left = np.where(offset > 0, data[np.maximum(starts[s][stretch] + offset - 1, 0)].astype(np.int64), -1)
-        groups = np.array(list(maximal_repeats(prefixes, left)), np.int64).reshape(-1, 3)
-        if not len(groups):
-            continue
-        sizes = groups[:, 1] - groups[:, 0] + 1
-        inside = np.repeat(groups[:, 0] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        which, at = part[stretch[inside]], offset[inside]
-        first = np.minimum.reduceat(low[which], np.cumsum(sizes) - sizes)
-        # Only stretches with a later document than the first of the group.
-        use = np.flatnonzero(high[which] > np.repeat(first, sizes))
-        which, at = which[use], at[use]
-        length, first = np.repeat(groups[:, 2], sizes)[use], np.repeat(first, sizes)[use]
-        n = counts[which]
-        occurrence = owners[np.repeat(cuts[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-        later = docs[occurrence] > np.repeat(first, n)
-        found.append((occurrence[later], np.repeat(at, n)[later], np.repeat(length, n)[later]))
+        for kept in _meeting(data, starts[s], lengths[s], low[part], high[part]):
+            stretch, offset, prefixes = suffix_array(data, starts[s], lengths[s], kept)
+            left = np.where(offset > 0, data[np.maximum(starts[s][stretch] + offset - 1, 0)].astype(np.int64), -1)
+            groups = np.array(list(maximal_repeats(prefixes, left)), np.int64).reshape(-1, 3)
+            if not len(groups):
+                continue
+            sizes = groups[:, 1] - groups[:, 0] + 1
+            inside = np.repeat(groups[:, 0] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+            which, at = part[stretch[inside]], offset[inside]
+            first = np.minimum.reduceat(low[which], np.cumsum(sizes) - sizes)
+            # Only stretches with a later document than the first of the group.
+            use = np.flatnonzero(high[which] > np.repeat(first, sizes))
+            which, at = which[use], at[use]
+            length, first = np.repeat(groups[:, 2], sizes)[use], np.repeat(first, sizes)[use]
+            n = counts[which]
+            occurrence = owners[np.repeat(cuts[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            later = docs[occurrence] > np.repeat(first, n)
+            found.append((occurrence[later], np.repeat(at, n)[later], np.repeat(length, n)[later]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -351,12 +399,12 @@ def union(rows: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.n
     return rows[cuts], starts[cuts], np.maximum.reduceat(stops, cuts)
 
 
-def _pack(arrays: list[np.ndarray], text: np.ndarray | None = None) -> bytes:
-    """Arrays of 8-byte integers, as little-endian columns, and bytes, compressed."""
+def _pack(arrays: list[np.ndarray], text: np.ndarray | None = None, level: int = 6) -> bytes:
+    """Arrays of integers, as little-endian columns, and bytes, compressed."""
     sizes = np.array([len(arrays), *map(len, arrays)], "<i8").tobytes()
     body = b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
     kinds = bytes(a.dtype.itemsize for a in arrays)
-    return zstandard.ZstdCompressor(level=3).compress(
+    return zstandard.ZstdCompressor(level=level).compress(
         sizes + kinds + body + (b"" if text is None else text.tobytes())
     )
 
@@ -409,8 +457,39 @@ def _text_blobs(texts: list[bytes], ids: np.ndarray, marks: np.ndarray, parts: i
         yield int(target[own[0]]), _pack([np.diff(ids[own], prepend=0), marks[own].astype("<i4"), lengths[own]], data)
 
 
+def _later(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Whether an earlier document has a stretch equal to this one."""
+    numbers = equal_stretches(data, starts, sizes)
+    first = np.full(int(numbers.max()) + 1, NONE, np.int64)
+    np.minimum.at(first, numbers, docs)
+    return docs > first[numbers]
+
+
+def _blobs(
+    data: np.ndarray, starts, sizes, where, offset, row, ids: np.ndarray, marks: np.ndarray, share: np.ndarray, steps: int
+) -> Iterator[tuple[int, bytes]]:
+    """Fragments in the order of their shares, a blob for `steps` shares in a row, that is for a part."""
+    order = np.argsort(share, kind="stable")
+    share = share[order]
+    part = share // steps
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    for a, b in itertools.pairwise([*cuts.tolist(), len(order)]):
+        own = order[a:b]
+        used, local = np.unique(row[own], return_inverse=True)
+        columns = [
+            np.bincount(share[a:b] - part[a] * steps, minlength=steps).astype("<i4"),
+            ids[used],
+            marks[used].astype("<i4"),
+            np.diff(local, prepend=0).astype("<i4"),
+            offset[own].astype("<i4") if offset[own].max() < 1 << 31 else offset[own],
+            sizes[own].astype(np.uint8),
+            (where[own] - starts[own]).astype(np.uint8),
+        ]
+        yield int(part[a]), _pack(columns, _gather(data, starts[own], sizes[own]))
+
+
 def _deal(texts: list[bytes], ids: np.ndarray, marks: np.ndarray, parts: int) -> Iterator[tuple[int, int, bytes]]:
-    """The fragments of some texts: part, step, blob; stretches that are known to be removed have step -1."""
+    """The fragments of some texts: part, 0, blob; stretches that are known to be removed have -1."""
     lengths = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(lengths)
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -420,70 +499,144 @@ def _deal(texts: list[bytes], ids: np.ndarray, marks: np.ndarray, parts: int) ->
     row = np.searchsorted(ends, starts, "right")
     offset = starts - (ends - lengths)[row]
     # Of equal fragments those of the first document stand for all; the others are removed.
-    numbers = equal_stretches(data, starts, sizes)
-    first = np.full(int(numbers.max()) + 1, NONE, np.int64)
-    np.minimum.at(first, numbers, ids[row])
-    later = ids[row] > first[numbers]
+    later = _later(data, starts, sizes, ids[row])
     if later.any():
         gone = np.flatnonzero(later)
         spans = _span_blobs(parts, ids[row[gone]], marks[row[gone]], offset[gone], offset[gone] + sizes[gone])
         yield from ((part, -1, blob) for part, blob in spans)
     kept = np.flatnonzero(~later)
-    kmers = _words(_padded(data), where[kept])
-    share = (_mix(kmers ^ _M2) >> np.uint64(20)) % np.uint64(parts * SUBS)
-    order = kept[np.argsort(share, kind="stable")]
-    share = np.sort(share)
-    cuts = np.flatnonzero(np.concatenate(([True], share[1:] != share[:-1])))
-    for a, b in itertools.pairwise([*cuts.tolist(), len(order)]):
-        own = order[a:b]
-        used, local = np.unique(row[own], return_inverse=True)
-        columns = [
-            ids[used],
-            marks[used].astype("<i4"),
-            np.diff(local, prepend=0).astype("<i4"),
-            offset[own].astype("<i4") if offset[own].max() < 1 << 31 else offset[own],
-            sizes[own].astype(np.uint8),
-            (where[own] - starts[own]).astype(np.uint8),
-        ]
-        yield int(share[a]) // SUBS, int(share[a]) % SUBS, _pack(columns, _gather(data, starts[own], sizes[own]))
+    share = (_mix(_words(_padded(data), where[kept]) ^ _M2) >> np.uint64(20)) % np.uint64(parts * STEPS)
+    dealt = (x[kept] for x in (starts, sizes, where, offset, row))
+    yield from ((part, 0, blob) for part, blob in _blobs(data, *dealt, ids, marks, share.astype(np.int64), STEPS))
+
+
+class _Pile:
+    """Fragments by step, of which one step at a time is read."""
+
+    def __init__(self, steps: int):
+        self.steps, self.blobs, self.size = steps, [], 0
+        self.pieces: list[list[tuple[int, int]]] = [[] for _ in range(steps)]  # where the fragments of a step lie
+        self.file = tempfile.SpooledTemporaryFile(HELD_BYTES)
+
+    def append(self, blob: bytes) -> None:
+        """Take a blob of `_deal`."""
+        self.blobs.append(blob)
+        self.size += len(blob)
+        if self.size > PILED_BYTES:
+            self.settle()
+
+    def settle(self) -> None:
+        columns, texts, steps = [], [[] for _ in range(self.steps)], []
+        for blob in self.blobs:
+            (counts, ids, marks, local, offset, sizes, anchors), text = _unpack(blob)
+            local = np.cumsum(local, dtype=np.int64)
+            columns.append((ids[local], marks[local], offset, sizes, anchors))
+            steps.append(np.repeat(np.arange(self.steps), counts))
+            ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))[np.cumsum(counts)].tolist()
+            for number, (a, b) in enumerate(itertools.pairwise([0, *ends])):
+                if a < b:
+                    texts[number].append(text[a:b])
+        if columns:
+            steps = np.concatenate(steps)
+            order = np.argsort(steps, kind="stable")
+            ends = np.cumsum(np.bincount(steps, minlength=self.steps)).tolist()
+            columns = [np.concatenate(x)[order] for x in zip(*columns, strict=True)]
+            for number, (a, b) in enumerate(itertools.pairwise([0, *ends])):
+                if a < b:
+                    self.put(number, [c[a:b] for c in columns], np.concatenate(texts[number]))
+        self.blobs, self.size = [], 0
+
+    def put(self, number: int, columns: list[np.ndarray], data: np.ndarray) -> None:
+        """Fragments of a step: id, mark, offset, length, place of the minimizer, and bytes."""
+        blob = _pack(columns, data, 1)
+        self.pieces[number].append((self.file.seek(0, 2), len(blob)))
+        self.file.write(blob)
+
+    def step(self, number: int) -> Iterator[tuple[np.ndarray, ...]]:
+        for at, size in self.pieces[number]:
+            self.file.seek(at)
+            columns, data = _unpack(self.file.read(size))
+            yield *(c.astype(np.int64) for c in columns), data
 
 
 class _Share:
     """What a task finds in its share of the fragments, step by step."""
 
     def __init__(self, parts: int):
-        self.parts, self.step, self.blobs = parts, None, []
+        self.parts, self.step, self.blobs = parts, None, _Pile(STEPS)
         self.spans: list[tuple[np.ndarray, ...]] = []
-        self.held = 0
+        self.held, self.packed = 0, []
 
     def add_spans(self, spans: tuple[np.ndarray, ...]) -> None:
         self.spans.append(spans)
         self.held += len(spans[0])
+        if self.held > HELD_SPANS:
+            self._pack_spans()
+
+    def _pack_spans(self) -> None:
+        if self.held:
+            self.packed += _span_blobs(self.parts, *(np.concatenate(x) for x in zip(*self.spans, strict=True)))
+        self.spans, self.held = [], 0
 
     def finish_step(self) -> None:
-        if not self.blobs:
-            return
-        columns, texts, rows = [], [], 0
-        for blob in self.blobs:
-            (ids, marks, local, offset, sizes, anchors), text = _unpack(blob)
-            local = np.cumsum(local.astype(np.int64))
-            columns.append(
-                (ids[local], marks[local].astype(np.int64), offset.astype(np.int64), sizes.astype(np.int64), anchors.astype(np.int64))
-            )
-            texts.append(text)
-            rows += len(local)
-        self.blobs = []
-        ids, marks, offset, sizes, anchors = (np.concatenate(x) for x in zip(*columns, strict=True))
-        data = np.concatenate(texts)
+        """Work on the fragments that have come, in their steps."""
+        self.blobs.settle()
+        self._work(self.blobs, 0)
+        self.blobs = _Pile(STEPS)
+
+    def _work(self, pile: _Pile, level: int) -> None:
+        with pile.file:
+            for number in range(pile.steps):
+                held, windows, finer = [], 0, None
+                for part in pile.step(number):
+                    held.append(part)
+                    windows += int((part[3] - LENGTH + 1).sum())
+                    if windows > STEP_WINDOWS and level + 1 < len(ANCHORS):
+                        finer = finer or _Pile(FINER_STEPS)
+                        self._cut(held, finer, ANCHORS[level + 1])
+                        held, windows = [], 0
+                if finer:
+                    if held:
+                        self._cut(held, finer, ANCHORS[level + 1])
+                    self._work(finer, level + 1)
+                elif held:
+                    self._find(held)
+
+    def _cut(self, held: list[tuple[np.ndarray, ...]], pile: _Pile, anchor: int) -> None:
+        """Put the windows of fragments into fragments by longer strings."""
+        ids, marks, offset, sizes, _, data = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        ends = np.cumsum(sizes)
+        starts, lengths, where = fragments(data, ends, anchor)
+        row = np.searchsorted(ends, starts, "right")
+        offset = offset[row] + starts - (ends - sizes)[row]
+        ids, marks = ids[row], marks[row]
+        later = _later(data, starts, lengths, ids)
+        gone = np.flatnonzero(later)
+        self.add_spans((ids[gone], marks[gone], offset[gone], offset[gone] + lengths[gone]))
+        kept = np.flatnonzero(~later)
+        share = (_mix(_hashes(_padded(data), anchor, where[kept]) ^ _M2) >> np.uint64(20)) % np.uint64(pile.steps)
+        order = kept[np.argsort(share, kind="stable")]
+        ends = np.cumsum(np.bincount(share.astype(np.int64), minlength=pile.steps)).tolist()
+        for number, (a, b) in enumerate(itertools.pairwise([0, *ends])):
+            if a < b:
+                own = order[a:b]
+                columns = [ids[own], marks[own].astype("<i4"), offset[own], lengths[own].astype(np.uint8)]
+                columns.append((where[own] - starts[own]).astype(np.uint8))
+                pile.put(number, columns, _gather(data, starts[own], lengths[own]))
+
+    def _find(self, held: list[tuple[np.ndarray, ...]]) -> None:
+        ids, marks, offset, sizes, anchors, data = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
         which, at, length = removed_stretches(data, np.cumsum(sizes) - sizes, sizes, anchors, ids)
         keys, row = _numbered(ids[which], marks[which])
         row, start, stop = union(row, offset[which] + at, offset[which] + at + length)
         self.add_spans((keys[row, 0], keys[row, 1], start, stop))
 
     def flush(self) -> Iterator[tuple[int, bytes]]:
-        if self.held:
-            yield from _span_blobs(self.parts, *(np.concatenate(x) for x in zip(*self.spans, strict=True)))
-        self.spans, self.held = [], 0
+        self._pack_spans()
+        yield from self.packed
+        self.packed = []
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
@@ -512,15 +665,10 @@ def without_repeats(documents: DataFrame) -> DataFrame:
         share = _Share(parts)
         for batch in batches:
             for step, blob in zip(batch.column("step").to_pylist(), batch.column("blob"), strict=True):
-                if step != share.step:
-                    share.finish_step()
-                    share.step = step
                 if step < 0:
                     share.add_spans(_read_spans(blob.as_py()))
                 else:
                     share.blobs.append(blob.as_py())
-                if share.held > HELD_SPANS:
-                    yield from _batches(share.flush(), ["part", "blob"])
         share.finish_step()
         yield from _batches(share.flush(), ["part", "blob"])
 
@@ -539,7 +687,6 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     removed = (
         rows.mapInArrow(deal, "part int, step int, blob binary")
         .repartitionById(parts, "part")
-        .sortWithinPartitions("step")
         .select("step", "blob")
         .mapInArrow(scan, "part int, blob binary")
     )
@@ -559,10 +706,16 @@ def without_repeats(documents: DataFrame) -> DataFrame:
 
 def _batches(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
     """Some blobs at a time."""
-    rows, kinds = iter(rows), [pa.binary() if n == "blob" else pa.int32() for n in names]
-    while some := list(itertools.islice(rows, 64)):
-        columns = zip(*some, strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+    kinds = [pa.binary() if n == "blob" else pa.int32() for n in names]
+    some, size = [], 0
+    for row in rows:
+        some.append(row)
+        size += len(row[-1])
+        if len(some) == 64 or size > SENT_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds, strict=True)], names)
+            some, size = [], 0
+    if some:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds, strict=True)], names)
 
 
 def _by_document(spans: list[tuple[np.ndarray, ...]]) -> dict[tuple[int, int], np.ndarray]:

@@ -91,6 +91,35 @@ def test_suffixes_that_meet_no_other_document_are_not_sorted(monkeypatch):
     assert sum(g.sum() for g in got) == 52 and len(sorted_suffixes) == 6
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_steps_of_a_frequent_minimizer_are_cut(seed, monkeypatch):
+    """Texts around one string that is the minimizer of nearly all their windows, and passages that all share."""
+    random.seed(seed)
+    for name, value in (("STEP_WINDOWS", 400), ("FINER_STEPS", 5), ("HELD_BYTES", 1000), ("PILED_BYTES", 2000)):
+        monkeypatch.setattr(repeats, name, value)
+    monkeypatch.setattr(repeats, "ARRAY_SUFFIXES", random.choice([50, 1 << 19]))
+    strings = np.array([random.randbytes(8) for _ in range(100_000)])
+    least = strings[np.argmin(repeats._mix(strings.view("<u8")))].tobytes()
+    base = [least.join(random.randbytes(random.randrange(10, 40)) for _ in range(6)) for _ in range(60)]
+    base += [random.randbytes(20) + least + b"a passage that very many documents hold, " + random.randbytes(30) for _ in range(90)]
+    docs = []
+    for d in random.sample(range(1000), 150):
+        text = random.choice(base)
+        at = random.randrange(30)
+        docs.append((d, text[at:] + random.choice(base)[: random.randrange(200)]))
+    most, plain = [], repeats.removed_stretches
+
+    def counted(data, starts, lengths, *rest):
+        if len(set(lengths.tolist())) > 1:  # else single windows, which nothing cuts
+            most.append(int((lengths - 49).sum()))
+        return plain(data, starts, lengths, *rest)
+
+    monkeypatch.setattr(repeats, "removed_stretches", counted)
+    got = removed_in_shares(docs, 2, random.choice([1, 20]))
+    assert all((a == b).all() for a, b in zip(removed_by_brute_force(docs), got, strict=True))
+    assert max(most) <= 400 and sum(g.sum() for g in got) > 1000
+
+
 def test_suffix_array_and_maximal_repeats():
     data = np.frombuffer(b"xabcabcabcy", np.uint8)
     stretch, offset, prefixes = repeats.suffix_array(
