@@ -48,7 +48,7 @@ class Step(NamedTuple):
     facts: DataFrame
     rejects: DataFrame
     state: DataFrame  # complete rows of the devices this batch touched
-    devices: DataFrame | None = None  # of app events: the resolved devices, a row each
+    devices: DataFrame  # the resolved devices, a row each
 
 
 def _unusable(rules: dict[str, str]) -> str:
@@ -366,4 +366,4 @@ def web_step(
         .agg(F.expr("max(ts) AS launch"))
         .selectExpr(*WEB_KEYS, "active_time", "greatest(s_last_launch_time, launch) AS last_launch_time")
     )
-    return Step(facts, unusable, new_state)
+    return Step(facts, unusable, new_state, devices)
